@@ -8,7 +8,6 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from feedsieve.functions.text import quarantine_line
 from feedsieve.operators.labels import References, failing_rows, offenders
 from feedsieve.operators.load import latest_per_key
 from feedsieve.operators.references import reference_keys
@@ -101,12 +100,6 @@ def quarantine_result(
     )
 
 
-def quarantine_summary(result: DataFrame, by: Sequence[str] = ()) -> DataFrame:
-    """One line of text per ``quarantine_result`` row."""
-    line = quarantine_line(F.col("rows_rejected"), F.col("reason_counts"))
-    return result.select(*by, line.alias("quarantine"))
-
-
 def orphan_trades(trades: DataFrame, instruments: DataFrame) -> DataFrame:
     """Trades whose instrument is not in the reference data."""
     known = exists_in("known_instrument", "instrument_id", "instrument", "instrument_id", "")

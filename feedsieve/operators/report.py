@@ -248,8 +248,11 @@ def rule_report(
     return report
 
 
-def verdict(report: DataFrame, by: Sequence[str] = ()) -> DataFrame:
-    """One row (per run): success, counts and the sorted names of failed rules."""
+def verdict(report: DataFrame, by: Sequence[str] = (), *more: Column) -> DataFrame:
+    """One row (per run): success, counts and the sorted names of failed rules.
+
+    ``more`` are further aggregates of the report rows.
+    """
     return report.groupBy(*by).agg(
         F.bool_and("success").alias("success"),
         F.max("rows_checked").alias("rows_checked"),
@@ -258,6 +261,7 @@ def verdict(report: DataFrame, by: Sequence[str] = ()) -> DataFrame:
         F.array_sort(F.collect_set(F.when(~F.col("success"), F.col("rule")))).alias(
             "failed_rules"
         ),
+        *more,
     )
 
 

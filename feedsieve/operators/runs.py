@@ -8,10 +8,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from feedsieve.functions.text import history_line
+from feedsieve.operators.report import verdict
 from feedsieve.operators.upsert import insert_absent
 from feedsieve.schemas import run_schema
 
@@ -34,29 +35,45 @@ def start_states(starts: DataFrame) -> DataFrame:
     )
 
 
-def finish_states(
-    verdicts: DataFrame, results: DataFrame, details: DataFrame, finishes: DataFrame
-) -> DataFrame:
-    """Closing states of runs, joined on ``run_id``.
+def run_results(report: DataFrame, results: DataFrame) -> DataFrame:
+    """Verdict, rejected rows and JSON details of each run, ready to be closed.
 
-    ``results`` may lack a run: nothing was quarantined for it.
+    ``report`` has a ``run_id`` and one row per rule, so a run collects as many
+    entries as there are rules. ``results`` may lack a run: nothing was
+    quarantined for it.
     """
-    stamp = finishes.schema["finished_at"].dataType
+    outcome = F.struct("success", "category", F.try_parse_json("observed").alias("observed"))
+    judged = verdict(
+        report,
+        ["run_id"],
+        F.map_from_entries(F.collect_list(F.struct("rule", outcome))).alias("rules"),
+    )
+    empty = F.create_map().cast("map<string,bigint>")
+    reasons = F.coalesce(F.map_from_entries("reason_counts"), empty)
+    document = F.to_json(
+        F.struct("rules", reasons.alias("reason_counts")), {"ignoreNullFields": "false"}
+    )
     return (
-        verdicts.join(finishes.select("run_id", "finished_at"), "run_id")
-        .join(results.select("run_id", "rows_rejected"), "run_id", "left")
-        .join(details.select("run_id", "details"), "run_id", "left")
-        .select(
-            "run_id",
-            F.lit(None).cast(stamp).alias("started_at"),
-            "finished_at",
-            F.when(F.col("success"), F.lit("passed")).otherwise(F.lit("failed")).alias("status"),
-            "rows_checked",
-            F.coalesce("rows_rejected", F.lit(0).cast("long")).alias("rows_rejected"),
-            "rules_total",
-            "rules_failed",
-            "details",
-        )
+        judged.join(results, "run_id", "left")
+        .withColumn("details", document)
+        .withColumn("rows_rejected", F.coalesce("rows_rejected", F.lit(0).cast("long")))
+        .drop("rules")
+    )
+
+
+def finish_states(results: DataFrame, finished_at: Column) -> DataFrame:
+    """``run_results`` rows as closing states."""
+    finished = results.withColumn("finished_at", finished_at)
+    return finished.select(
+        "run_id",
+        F.lit(None).cast(finished.schema["finished_at"].dataType).alias("started_at"),
+        "finished_at",
+        F.when(F.col("success"), F.lit("passed")).otherwise(F.lit("failed")).alias("status"),
+        "rows_checked",
+        "rows_rejected",
+        "rules_total",
+        "rules_failed",
+        "details",
     )
 
 
@@ -89,29 +106,6 @@ def finish_run(runs: DataFrame, finished: DataFrame) -> DataFrame:
     return fold_runs(runs.select(*RUN_COLUMNS).unionByName(finished))
 
 
-def run_details(report: DataFrame, results: DataFrame) -> DataFrame:
-    """The JSON document of each run: every rule's outcome and the reason counts.
-
-    ``report`` has a ``run_id`` and one row per rule, so each run collects as
-    many entries as there are rules.
-    """
-    outcome = F.struct("success", "category", F.try_parse_json("observed").alias("observed"))
-    rules = report.groupBy("run_id").agg(
-        F.map_from_entries(F.collect_list(F.struct("rule", outcome))).alias("rules")
-    )
-    empty = F.create_map().cast("map<string,bigint>")
-    return rules.join(results, "run_id", "left").select(
-        "run_id",
-        F.to_json(
-            F.struct(
-                "rules",
-                F.coalesce(F.map_from_entries("reason_counts"), empty).alias("reason_counts"),
-            ),
-            {"ignoreNullFields": "false"},
-        ).alias("details"),
-    )
-
-
 def recent_runs(runs: DataFrame, limit: int = 10) -> DataFrame:
     """Most recent runs, newest first."""
     return (

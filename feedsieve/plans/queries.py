@@ -12,7 +12,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from feedsieve.functions.text import outcome_line
+from feedsieve.functions.text import outcome_line, quarantine_line
 from feedsieve.operators import labels, load, partitions, pnl, quarantine, report, runs, upsert
 from feedsieve.plans import tables as T
 from feedsieve.rules import Rule, positive, predicate, row_rules, trade_rules
@@ -59,7 +59,7 @@ def _batches(landed: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 
 def typed_feed(spark: SparkSession, d: str) -> DataFrame:
-    return T.landed(spark, d)
+    return load.typed_feed(T.feed(spark, d), T.NTZ)
 
 
 def collapse_retries(spark: SparkSession, d: str) -> DataFrame:
@@ -67,14 +67,15 @@ def collapse_retries(spark: SparkSession, d: str) -> DataFrame:
 
 
 def incremental_load(spark: SparkSession, d: str) -> DataFrame:
-    landed = T.landed(spark, d)
-    loaded = landed.where(F.col("ingested_at") < _time(SECOND_BATCH_FROM))
-    return load.newer_than(landed, load.high_watermark(loaded).scalar())
+    loaded = T.landed(spark, d).where(F.col("ingested_at") < _time(SECOND_BATCH_FROM))
+    arrived = load.typed_feed(T.feed(spark, d), T.NTZ)
+    return load.newer_than(arrived, load.high_watermark(loaded).scalar())
 
 
 def trade_upsert(spark: SparkSession, d: str) -> DataFrame:
-    first, second = _batches(T.landed(spark, d))
-    return upsert.upsert(first, second, ["trade_id"])
+    first, _ = _batches(T.landed(spark, d))
+    later = T.feed(spark, d).where(F.col("ingested_at") >= _time(SECOND_BATCH_FROM))
+    return load.load_trades(first, later, incremental=False, timestamp=T.NTZ)
 
 
 def feed_watermark(spark: SparkSession, d: str) -> DataFrame:
@@ -289,13 +290,13 @@ def _starts(spark: SparkSession, d: str) -> DataFrame:
     return _yearly(spark, d).select("run_id").distinct().withColumn("started_at", _opened())
 
 
+def _results(spark: SparkSession, d: str) -> DataFrame:
+    rejected = quarantine.quarantine_result(_yearly_rejected(spark, d), RULES, ["run_id"])
+    return runs.run_results(_yearly_report(spark, d), rejected)
+
+
 def _finished(spark: SparkSession, d: str) -> DataFrame:
-    found = _yearly_report(spark, d)
-    results = quarantine.quarantine_result(_yearly_rejected(spark, d), RULES, ["run_id"])
-    verdicts = report.verdict(found, ["run_id"])
-    closed = (_opened() + F.expr("INTERVAL 10 MINUTES")).alias("finished_at")
-    finishes = verdicts.select("run_id", closed)
-    return runs.finish_states(verdicts, results, runs.run_details(found, results), finishes)
+    return runs.finish_states(_results(spark, d), _opened() + F.expr("INTERVAL 10 MINUTES"))
 
 
 def _history(spark: SparkSession, d: str) -> DataFrame:
@@ -322,13 +323,10 @@ def rejection_trend(spark: SparkSession, d: str) -> DataFrame:
 
 
 def run_details(spark: SparkSession, d: str) -> DataFrame:
-    results = quarantine.quarantine_result(_yearly_rejected(spark, d), RULES, ["run_id"])
-    details = runs.run_details(_yearly_report(spark, d), results)
-
     def at(path: str) -> Column:
         return F.get_json_object("details", path)
 
-    return details.select(
+    return _results(spark, d).select(
         "run_id",
         at("$.rules.price_present.success").alias("price_success"),
         at("$.rules.price_present.category").alias("price_category"),
@@ -341,11 +339,9 @@ def run_details(spark: SparkSession, d: str) -> DataFrame:
 
 
 def run_summary(spark: SparkSession, d: str) -> DataFrame:
-    verdicts = report.verdict(_yearly_report(spark, d), ["run_id"])
-    results = quarantine.quarantine_result(_yearly_rejected(spark, d), RULES, ["run_id"])
-    lines = quarantine.quarantine_summary(results, ["run_id"])
-    return verdicts.join(lines, "run_id").select(
-        "run_id", outcome_line().alias("outcome"), "quarantine"
+    line = quarantine_line(F.col("rows_rejected"), F.col("reason_counts"))
+    return _results(spark, d).select(
+        "run_id", outcome_line().alias("outcome"), line.alias("quarantine")
     )
 
 

@@ -11,7 +11,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from feedsieve.operators.load import collapse_retries, typed_feed
+from feedsieve.operators.load import collapse_retries
+from feedsieve.schemas import PRICE_TYPE, QUANTITY_TYPE
 
 NTZ = T.TimestampNTZType()
 
@@ -24,9 +25,8 @@ def _fault(modulus: int) -> Column:
     return F.col("h") % modulus == 0
 
 
-def feed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The all-text feed, with the file each row came from and its load time."""
-    lines = table(spark, sf_dir, "lineitem").withColumn(
+def _lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return table(spark, sf_dir, "lineitem").withColumn(
         "h",
         F.col("l_orderkey") * 7
         + F.col("l_partkey") * 13
@@ -34,40 +34,70 @@ def feed(spark: SparkSession, sf_dir: str) -> DataFrame:
         + F.col("l_linenumber"),
     )
 
-    def text(name: str) -> Column:
-        return F.col(name).cast("string")
 
-    trade_id = F.concat(
-        F.lit("T"), (F.col("l_orderkey") * 10 + F.col("l_linenumber")).cast("string")
-    )
-    side = (
-        F.when(_fault(211), "")
+def _trade_id() -> Column:
+    number = F.col("l_orderkey") * 10 + F.col("l_linenumber")
+    return F.concat(F.lit("T"), number.cast("string")).alias("trade_id")
+
+
+def _side(missing: Column) -> Column:
+    return (
+        F.when(_fault(211), missing)
         .when(_fault(223), "X")
         .when(_fault(227), "buy")
         .when(F.col("l_returnflag") == "R", "SELL")
         .otherwise("BUY")
+        .alias("side")
     )
+
+
+def _origin() -> list[Column]:
+    return [
+        F.concat(F.lit("feed_"), "l_linestatus").alias("source_file"),
+        (F.col("l_shipdate").cast(NTZ) + F.expr("INTERVAL 1 DAY")).alias("ingested_at"),
+    ]
+
+
+def feed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The all-text feed, with the file each row came from and its load time."""
+
+    def text(name: str) -> Column:
+        return F.col(name).cast("string")
+
     quantity = (
         F.when(_fault(101), "")
         .when(_fault(103), (-F.col("l_quantity")).cast("string"))
         .otherwise(text("l_quantity"))
     )
     price = F.when(_fault(109), "").when(_fault(113), "-1").otherwise(text("l_extendedprice"))
-    return lines.select(
-        trade_id.alias("trade_id"),
+    return _lines(spark, sf_dir).select(
+        _trade_id(),
         F.when(_fault(997), "").otherwise(text("l_partkey")).alias("instrument_id"),
-        side.alias("side"),
+        _side(F.lit("")),
         quantity.alias("quantity"),
         price.alias("price"),
         F.when(_fault(127), "").otherwise(text("l_shipdate")).alias("executed_at"),
-        F.concat(F.lit("feed_"), "l_linestatus").alias("source_file"),
-        (F.col("l_shipdate") + F.expr("INTERVAL 1 DAY")).alias("ingested_at"),
+        *_origin(),
     )
 
 
 def landed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The typed feed before re-sent trades are merged."""
-    return typed_feed(feed(spark, sf_dir), NTZ)
+    """The feed as typed by the load, before re-sent trades are merged.
+
+    Holds the same rows as ``typed_feed(feed(...))`` without going through text:
+    the checks read a typed table, and the load has queries of its own.
+    """
+    quantity = F.when(_fault(103), -F.col("l_quantity")).otherwise(F.col("l_quantity"))
+    price = F.when(_fault(113), F.lit(-1.0)).otherwise(F.col("l_extendedprice"))
+    return _lines(spark, sf_dir).select(
+        _trade_id(),
+        F.when(~_fault(997), F.col("l_partkey").try_cast("int")).alias("instrument_id"),
+        _side(F.lit(None).cast("string")),
+        F.when(~_fault(101), quantity.try_cast(QUANTITY_TYPE)).alias("quantity"),
+        F.when(~_fault(109), price.try_cast(PRICE_TYPE)).alias("price"),
+        F.when(~_fault(127), F.col("l_shipdate").cast(NTZ)).alias("executed_at"),
+        *_origin(),
+    )
 
 
 def trades(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -18,12 +18,11 @@ from pyspark.sql import types as T
 
 from feedsieve.operators.load import source_watermarks
 from feedsieve.operators.quarantine import current_rejected, quarantine_result
-from feedsieve.operators.report import verdict
 from feedsieve.operators.runs import (
     finish_states,
     fold_runs,
     recent_runs,
-    run_details,
+    run_results,
     start_states,
 )
 from feedsieve.rules import Rule
@@ -110,15 +109,9 @@ class QualityTables:
         finished_at: dt.datetime,
     ) -> None:
         """Close a run. What it rejected is read from the quarantine table itself."""
-        tagged = report.withColumn("run_id", F.lit(run_id))
-        result = quarantine_result(self.rejected(run_id), rules, ["run_id"])
-        finishes = self.spark.createDataFrame(
-            [(run_id, finished_at)], "run_id string, finished_at timestamp"
-        )
-        states = finish_states(
-            verdict(tagged, ["run_id"]), result, run_details(tagged, result), finishes
-        )
-        self._append("validation_run", states)
+        rejected = quarantine_result(self.rejected(run_id), rules, ["run_id"])
+        results = run_results(report.withColumn("run_id", F.lit(run_id)), rejected)
+        self._append("validation_run", finish_states(results, F.lit(finished_at)))
 
     def runs(self) -> DataFrame:
         return fold_runs(self._read("validation_run"))
