@@ -1,0 +1,110 @@
+"""The three ways of finding unknown keys give the same rows, hot keys included."""
+
+import pytest
+from pyspark.sql import functions as F
+
+from feedsieve.operators import labels, references, report
+from feedsieve.rules import trade_rules
+from feedsieve.schemas import INSTRUMENT_SCHEMA
+
+RULES = trade_rules()
+
+
+@pytest.fixture(scope="module")
+def skewed(spark):
+    """A third of the rows on one known key, a third unknown, many without a key."""
+    n = 6000
+    key = (
+        F.when(F.col("id") % 3 == 0, F.lit(1))
+        .when(F.col("id") % 3 == 1, F.lit(999))
+        .when(F.col("id") % 6 == 2, F.lit(None).cast("int"))
+        .otherwise((F.col("id") % 500).cast("int"))
+    )
+    return spark.range(n).select(
+        F.concat(F.lit("T"), "id").alias("trade_id"),
+        key.alias("instrument_id"),
+        F.lit("BUY").alias("side"),
+        F.lit("1").cast("decimal(18,4)").alias("quantity"),
+        F.lit("1").cast("decimal(18,6)").alias("price"),
+        F.lit("2024-05-01").cast("timestamp").alias("executed_at"),
+        F.lit("f").alias("source_file"),
+        F.lit("2024-05-01").cast("timestamp").alias("ingested_at"),
+    )
+
+
+@pytest.fixture(scope="module")
+def known(spark):
+    return spark.range(400).select(
+        F.col("id").cast("int").alias("instrument_id"),
+        F.lit("S").alias("symbol"),
+        F.lit("EQUITY").alias("asset_class"),
+        F.lit("USD").alias("currency"),
+    )
+
+
+def flagged(df, known, limit):
+    rules = [r for r in RULES if r.name == "instrument_exists"]
+    marked, flags = references.mark_unknown_keys(df, rules, {"instrument": known}, limit)
+    out = marked.select(*df.columns, flags["instrument_exists"].alias("orphan"))
+    return out
+
+
+def outcome(df, known, limit):
+    rows = flagged(df, known, limit).groupBy("instrument_id", "orphan").count().collect()
+    return sorted((str(r.instrument_id), r.orphan, r["count"]) for r in rows)
+
+
+def brute(df, known):
+    have = {r.instrument_id for r in known.select("instrument_id").collect()}
+    counted: dict = {}
+    for r in df.select("instrument_id").collect():
+        orphan = r.instrument_id is not None and r.instrument_id not in have
+        entry = (str(r.instrument_id), orphan)
+        counted[entry] = counted.get(entry, 0) + 1
+    return sorted((k, o, n) for (k, o), n in counted.items())
+
+
+@pytest.mark.parametrize("limit", [1_000_000, 150, 0], ids=["known", "unknown", "shuffled"])
+def test_every_way_equals_brute_force(skewed, known, limit):
+    assert outcome(skewed, known, limit) == brute(skewed, known)
+
+
+@pytest.mark.parametrize(
+    ("limit", "broadcasts"), [(1_000_000, True), (150, True), (0, False)]
+)
+def test_broadcast_only_below_the_bound(spark, skewed, known, limit, broadcasts):
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = flagged(skewed, known, limit)._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert ("BroadcastHashJoin" in plan) is broadcasts
+
+
+def test_small_enough_measures_rows_and_bytes(known):
+    keys = known.select("instrument_id")
+    assert references.small_enough(keys)
+    assert references.small_enough(keys, max_keys=400)
+    assert not references.small_enough(keys, max_keys=399)
+    assert not references.small_enough(keys, max_bytes=10)
+
+
+def test_small_enough_of_nothing(spark):
+    assert references.small_enough(spark.createDataFrame([], INSTRUMENT_SCHEMA), max_keys=0)
+
+
+def test_report_of_a_skewed_table(skewed, known):
+    rows = report.rule_report(skewed, known, RULES, "2024-05-02").collect()
+    failing = {r.rule: r.failing_rows for r in rows}
+    orphans = sum(n for _, orphan, n in brute(skewed, known) if orphan)
+    assert failing["instrument_exists"] == orphans
+    assert failing["instrument_id_present"] == 1000
+    assert labels.batch_split(skewed, known, RULES).first().rows_rejected == orphans + 1000
+
+
+def test_empty_reference_makes_every_key_unknown(spark, skewed):
+    nothing = spark.createDataFrame([], INSTRUMENT_SCHEMA)
+    keyed = skewed.where("instrument_id is not null").count()
+    for limit in (10, 0):
+        assert flagged(skewed, nothing, limit).where("orphan").count() == keyed
