@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from feedsieve.operators.references import mark_unknown_keys
-from feedsieve.rules import EXISTS_IN, Rule, readable, row_rules
+from feedsieve.rules import Rule, readable, row_rules
 
 References = Mapping[str, DataFrame] | DataFrame
 
@@ -36,13 +36,12 @@ def rule_flags(
     """Input with its reference markers, and one failure flag per readable row rule."""
     usable = [r for r in row_rules(rules) if readable(r, df.columns)]
     marked, unknown = mark_unknown_keys(df, usable, as_references(references))
-    flags = {
-        r.name: F.coalesce(
-            unknown[r.name] if r.kind == EXISTS_IN else F.expr(r.failure), F.lit(False)
-        )
-        for r in usable
-    }
-    return marked, flags
+    return marked, {r.name: unknown[r.name] if r.name in unknown else _flag(r) for r in usable}
+
+
+def _flag(rule: Rule) -> Column:
+    failed = F.expr(rule.failure)
+    return failed if rule.never_null else F.coalesce(failed, F.lit(False))
 
 
 def any_failure(flags: Mapping[str, Column]) -> Column:

@@ -35,6 +35,9 @@ class Rule:
     the input the rule is reported as failed instead of breaking the run.
     ``failure`` is the SQL predicate of a ``predicate`` rule. ``reference``
     names the lookup table and its key column for an ``exists_in`` rule.
+    ``never_null`` says that ``failure`` is true or false for every row; other
+    predicates are read as false where they are null, which keeps them from
+    being pushed to the scan.
     """
 
     name: str
@@ -46,6 +49,7 @@ class Rule:
     reference: tuple[str, str] | None = None
     max_age_days: int | None = None
     expected_columns: tuple[str, ...] = ()
+    never_null: bool = False
 
     @property
     def scope(self) -> str:
@@ -57,12 +61,16 @@ class Rule:
         return self.kind in ROW_KINDS
 
 
+def _guarded(name: str, column: str, failure: str, description: str, category: str) -> Rule:
+    return Rule(name, category, description, PREDICATE, (column,), failure, never_null=True)
+
+
 def not_null(name: str, column: str, description: str, category: str = "completeness") -> Rule:
-    return Rule(name, category, description, PREDICATE, (column,), P.missing(column))
+    return _guarded(name, column, P.missing(column), description, category)
 
 
 def positive(name: str, column: str, description: str, category: str = "value_range") -> Rule:
-    return Rule(name, category, description, PREDICATE, (column,), P.not_positive(column))
+    return _guarded(name, column, P.not_positive(column), description, category)
 
 
 def in_set(
@@ -73,7 +81,7 @@ def in_set(
     category: str = "value_range",
 ) -> Rule:
     """Case-insensitive membership; nulls are left to a ``not_null`` rule."""
-    return Rule(name, category, description, PREDICATE, (column,), P.outside(column, values))
+    return _guarded(name, column, P.outside(column, values), description, category)
 
 
 def exists_in(

@@ -26,6 +26,7 @@ def spark(tmp_path_factory) -> SparkSession:
             "spark.sql.shuffle.partitions": "2",
             "spark.default.parallelism": "2",
             "spark.driver.memory": "4g",
+            "spark.sql.maxMetadataStringLength": "5000",
             "spark.checkpoint.dir": str(tmp_path_factory.mktemp("checkpoint")),
         },
     )

@@ -114,6 +114,17 @@ def test_extra_rules_extend_the_quarantine(load, instruments):
     }
 
 
+def test_a_null_predicate_is_no_failure(load, instruments):
+    rule = predicate("cheap", "price < 1", "x", "value_range", ["price"])
+    trades = load(row("A", price=""), row("B", price="0.5"), row("C"))
+    assert reasons(trades, instruments, [rule]) == {"B": ["cheap"]}
+    assert {r.trade_id for r in labels.valid_rows(trades, instruments, [rule]).collect()} == {
+        "A",
+        "C",
+    }
+    assert labels.batch_split(trades, instruments, [rule]).first().rows_valid == 2
+
+
 def test_two_reference_rules_on_different_tables(spark, load, instruments):
     sides = spark.createDataFrame([("BUY",), ("SELL",)], "code string")
     rule = exists_in("side_known", "side", "sides", "code", "x")
