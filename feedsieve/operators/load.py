@@ -35,17 +35,16 @@ def typed_feed(feed: DataFrame, timestamp: T.DataType | None = None) -> DataFram
 
 
 def latest_per_key(rows: DataFrame, key: str, order: Sequence[str]) -> DataFrame:
-    """One row per key: the greatest by ``order``, nulls last, then by the other columns.
+    """One row per non-null key: the greatest by ``order``, nulls last, then by the other columns.
 
     A maximum over a struct combines on the map side, so a key re-sent a billion
-    times reaches its reducer as one row per task. Rows without a key cannot be
-    matched with each other; each stays, in a group of its own.
+    times reaches its reducer as one row per task. The result stays placed by
+    key, which a following upsert on that key uses without another shuffle.
     """
     ranked = [*order, *[c for c in rows.columns if c != key and c not in order]]
-    alone = F.when(F.col(key).isNull(), F.monotonically_increasing_id())
     return (
-        rows.withColumn("_alone", alone)
-        .groupBy(key, "_alone")
+        rows.where(F.col(key).isNotNull())
+        .groupBy(key)
         .agg(F.max(F.struct(*ranked)).alias("_latest"))
         .select(*[key if c == key else F.col(f"_latest.{c}").alias(c) for c in rows.columns])
     )
@@ -54,8 +53,12 @@ def latest_per_key(rows: DataFrame, key: str, order: Sequence[str]) -> DataFrame
 def collapse_retries(
     trades: DataFrame, key: str = "trade_id", order: Sequence[str] = RESEND_ORDER
 ) -> DataFrame:
-    """The latest re-send of every trade."""
-    return latest_per_key(trades, key, order)
+    """The latest re-send of every trade.
+
+    Rows without a key cannot be matched with each other and all stay; their
+    filter reaches the scan, which skips every row group without null keys.
+    """
+    return latest_per_key(trades, key, order).unionByName(trades.where(F.col(key).isNull()))
 
 
 def high_watermark(trades: DataFrame, column: str = "executed_at") -> DataFrame:
@@ -97,8 +100,8 @@ def load_trades(
     incremental: bool = True,
     timestamp: T.DataType | None = None,
 ) -> DataFrame:
-    """The trade table after loading a feed: type, select, collapse, upsert."""
+    """The trade table after loading a feed: type, select, merge re-sends, upsert."""
     incoming = typed_feed(feed, timestamp)
     if incremental:
         incoming = newer_than(incoming, high_watermark(existing).scalar())
-    return upsert(existing, collapse_retries(incoming), ["trade_id"])
+    return upsert(existing, latest_per_key(incoming, "trade_id", RESEND_ORDER), ["trade_id"])

@@ -55,17 +55,19 @@ def _net_qty() -> Column:
     return (F.col("buy_qty") - F.col("sell_qty")).cast(POSITION_TYPE)
 
 
-def daily_pnl(trades: DataFrame) -> DataFrame:
+def daily_pnl(trades: DataFrame, valid: Column | None = None) -> DataFrame:
     """One row per day and instrument, from valid trades.
 
     The close is the price of the last trade; ``pnl`` is the cash of the day
-    plus the position of the day valued at the close.
+    plus the position of the day valued at the close. With ``valid`` the input
+    may hold other rows too; a group without a valid one then has no trades.
     """
+    last = F.struct("executed_at", "trade_id", "price")
     return (
         trades.groupBy(trade_date().alias("trade_date"), "instrument_id")
         .agg(
-            *_flows(),
-            F.max(F.struct("executed_at", "trade_id", "price")).alias("last"),
+            *_flows(valid),
+            F.max(last if valid is None else F.when(valid, last)).alias("last"),
         )
         .select(
             "trade_date",
@@ -91,7 +93,9 @@ def _addend(name: str) -> Column:
     return F.col(name).cast("decimal(37,10)")
 
 
-def daily_pnl_by(trades: DataFrame, instruments: DataFrame, attribute: str = "asset_class") -> DataFrame:
+def daily_pnl_by(
+    trades: DataFrame, instruments: DataFrame, attribute: str = "asset_class"
+) -> DataFrame:
     """One row per day and instrument attribute.
 
     Trades are summed per day and instrument first, so the join with the
@@ -101,7 +105,7 @@ def daily_pnl_by(trades: DataFrame, instruments: DataFrame, attribute: str = "as
     lookup = instruments.where("instrument_id is not null").groupBy("instrument_id").agg(
         F.min(attribute).alias(attribute)
     )
-    if small_enough(instruments.select("instrument_id")):
+    if small_enough(instruments.select("instrument_id", attribute)):
         lookup = F.broadcast(lookup)
     summed = (
         daily.join(lookup, "instrument_id")

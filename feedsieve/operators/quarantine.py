@@ -11,7 +11,6 @@ from pyspark.sql import functions as F
 from feedsieve.operators.labels import References, failing_rows, offenders
 from feedsieve.operators.load import latest_per_key
 from feedsieve.operators.references import reference_keys
-from feedsieve.operators.upsert import upsert
 from feedsieve.rules import Rule, exists_in, row_rules
 from feedsieve.schemas import rejected_schema
 
@@ -44,15 +43,19 @@ def quarantine(
 def quarantine_upsert(existing: DataFrame, incoming: DataFrame) -> DataFrame:
     """Quarantine after another pass: a re-rejected trade takes its new record.
 
-    A trade that has been fully repaired keeps its old record and run.
+    A trade that has been fully repaired keeps its old record and run. Rejected
+    rows are few beside the trades, so both sides are grouped by trade instead
+    of joined: that computes each of them once.
     """
-    return upsert(existing, incoming, ["trade_id"])
+    passes = existing.withColumn("_pass", F.lit(0)).unionByName(
+        incoming.withColumn("_pass", F.lit(1))
+    )
+    return latest_per_key(passes, "trade_id", ["_pass"]).drop("_pass")
 
 
 def current_rejected(records: DataFrame) -> DataFrame:
     """Latest record per trade from the records of all runs."""
-    keyed = records.where(F.col("trade_id").isNotNull())
-    return latest_per_key(keyed, "trade_id", ["rejected_at", "run_id"])
+    return latest_per_key(records, "trade_id", ["rejected_at", "run_id"])
 
 
 def reason_counts(rejected: DataFrame, by: Sequence[str] = ()) -> DataFrame:

@@ -43,11 +43,14 @@ def small_enough(
     max_keys: int = MAX_BROADCAST_KEYS,
     max_bytes: int = MAX_BROADCAST_BYTES,
 ) -> bool:
-    """Measure a one-column key set against the broadcast bounds (one small job)."""
-    column = F.col(keys.columns[0])
+    """Measure what would be broadcast against the bounds (one small job).
+
+    The size is taken over the text form of all columns of ``keys``.
+    """
+    widths = [F.coalesce(F.octet_length(F.col(c).cast("string")), F.lit(0)) for c in keys.columns]
     size = keys.agg(
         F.count(F.lit(1)).alias("n"),
-        F.coalesce(F.sum(F.octet_length(column.cast("string"))), F.lit(0)).alias("bytes"),
+        F.coalesce(F.sum(sum(widths[1:], widths[0])), F.lit(0)).alias("bytes"),
     ).first()
     return size["n"] <= max_keys and size["bytes"] <= max_bytes
 

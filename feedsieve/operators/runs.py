@@ -13,7 +13,6 @@ from pyspark.sql import functions as F
 
 from feedsieve.functions.text import history_line
 from feedsieve.operators.report import verdict
-from feedsieve.operators.upsert import insert_absent
 from feedsieve.schemas import run_schema
 
 RUN_COLUMNS = tuple(f.name for f in run_schema())
@@ -98,7 +97,16 @@ def fold_runs(states: DataFrame) -> DataFrame:
 
 def start_run(runs: DataFrame, starts: DataFrame) -> DataFrame:
     """Runs with new ones opened; one that is known already is left as it is."""
-    return insert_absent(runs, start_states(starts), ["run_id"])
+    known = runs.select(F.lit(0).alias("_new"), *RUN_COLUMNS)
+    opened = start_states(starts).select(F.lit(1).alias("_new"), *RUN_COLUMNS)
+    row = F.min(F.struct("_new", *RUN_COLUMNS)).alias("_row")
+    return (
+        known.unionByName(opened)
+        .where(F.col("run_id").isNotNull())
+        .groupBy("run_id")
+        .agg(row)
+        .select("run_id", *[F.col(f"_row.{c}").alias(c) for c in RUN_COLUMNS[1:]])
+    )
 
 
 def finish_run(runs: DataFrame, finished: DataFrame) -> DataFrame:

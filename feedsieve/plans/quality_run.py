@@ -10,21 +10,42 @@ import uuid
 from collections.abc import Sequence
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from feedsieve.functions.text import outcome_line, quarantine_line
-from feedsieve.operators.labels import References
+from feedsieve.operators.labels import References, any_failure, rule_flags
+from feedsieve.operators.pnl import daily_pnl
 from feedsieve.operators.quarantine import quarantine, quarantine_result
 from feedsieve.operators.report import rule_report, verdict
-from feedsieve.rules import Rule, row_rules, trade_rules
-from feedsieve.sources.tables import QualityTables
+from feedsieve.rules import Rule, trade_rules
+from feedsieve.sources.tables import QualityTables, write_by_day
 
 ALWAYS = "always"
 ON_FAILURE = "on_failure"
 NEVER = "never"
 
 
+def refresh_daily(
+    trades: DataFrame, references: References | None, path: str, rules: Sequence[Rule] | None = None
+) -> None:
+    """Recompute the daily aggregate of the days in ``trades`` from its valid rows.
+
+    The table is partitioned by day and only the days present are replaced, so
+    passing the days a load touched refreshes those alone. A day and instrument
+    left without a valid trade is stored with none, or its former row would stay.
+    """
+    rules = trade_rules() if rules is None else rules
+    marked, flags = rule_flags(trades, references, rules)
+    daily = daily_pnl(marked, ~any_failure(flags))
+    write_by_day(daily.where(F.col("trade_date").isNotNull()), path)
+
+
+def read_daily(spark: SparkSession, path: str) -> DataFrame:
+    """The stored daily aggregate."""
+    return spark.read.parquet(path).where(F.col("trades") > 0)
+
+
 @dataclass(frozen=True)
 class RunOutcome:
     """What a run found; ``success`` decides what comes next."""
@@ -72,11 +93,14 @@ def run_quality(
     tables.start_run(run_id, stamp)
 
     plan = rule_report(trades, references, rules, as_of)
-    report = spark.createDataFrame(plan.collect(), plan.schema)
+    found = plan.collect()
+    report = spark.createDataFrame(found, plan.schema)
     result = verdict(report).withColumn("summary", outcome_line()).first()
 
     wanted = quarantine_when == ALWAYS or (quarantine_when == ON_FAILURE and not result["success"])
-    if wanted and row_rules(rules):
+    # The report counted the very predicates that label rows: all zero means no rows to copy.
+    broken = any(r["scope"] == "row" and r["failing_rows"] for r in found)
+    if wanted and broken:
         tables.write_rejected(quarantine(trades, references, rules, run_id, F.lit(stamp)))
     line = quarantine_line(F.col("rows_rejected"), F.col("reason_counts"))
     counted = quarantine_result(tables.rejected(run_id), rules)

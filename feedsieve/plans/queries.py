@@ -49,9 +49,9 @@ def _stored(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
 
 def _batches(landed: DataFrame) -> tuple[DataFrame, DataFrame]:
     second = F.col("ingested_at") >= _time(SECOND_BATCH_FROM)
-    return (
-        load.collapse_retries(landed.where(~second)),
-        load.collapse_retries(landed.where(second)),
+    return tuple(
+        load.latest_per_key(landed.where(batch), "trade_id", load.RESEND_ORDER)
+        for batch in (~second, second)
     )
 
 
@@ -63,7 +63,7 @@ def typed_feed(spark: SparkSession, d: str) -> DataFrame:
 
 
 def collapse_retries(spark: SparkSession, d: str) -> DataFrame:
-    return T.trades(spark, d)
+    return load.collapse_retries(T.landed(spark, d))
 
 
 def incremental_load(spark: SparkSession, d: str) -> DataFrame:

@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from feedsieve.operators.load import collapse_retries
+from feedsieve.operators.load import RESEND_ORDER, latest_per_key
 from feedsieve.schemas import PRICE_TYPE, QUANTITY_TYPE
 
 NTZ = T.TimestampNTZType()
@@ -102,7 +102,7 @@ def landed(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def trades(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The trade table: one row per trade_id."""
-    return collapse_retries(landed(spark, sf_dir))
+    return latest_per_key(landed(spark, sf_dir), "trade_id", RESEND_ORDER)
 
 
 def instruments(spark: SparkSession, sf_dir: str) -> DataFrame:

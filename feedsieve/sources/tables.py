@@ -29,6 +29,20 @@ from feedsieve.rules import Rule
 from feedsieve.schemas import rejected_schema, run_schema, watermark_schema
 
 
+def write_by_day(rows: DataFrame, path: str, column: str = "trade_date") -> None:
+    """Store rows in one folder per day, replacing only the days they hold.
+
+    Rebalancing by day gives each day few files and still splits a heavy day.
+    """
+    (
+        rows.hint("rebalance", column)
+        .write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")
+        .partitionBy(column)
+        .parquet(path)
+    )
+
+
 class QualityTables:
     """Handle on the owned tables. Creating it touches nothing."""
 

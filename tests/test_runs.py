@@ -5,7 +5,9 @@ import pytest
 from pyspark.sql import functions as F
 
 from feedsieve.operators import runs as R
-from feedsieve.plans.quality_run import run_quality
+from feedsieve.operators.labels import valid_rows
+from feedsieve.operators.pnl import daily_pnl
+from feedsieve.plans.quality_run import read_daily, refresh_daily, run_quality
 from feedsieve.rules import trade_rules
 from feedsieve.schemas import rejected_schema, run_schema
 from feedsieve.sources.tables import QualityTables
@@ -148,6 +150,46 @@ def test_verdict_routing(tables, load, instruments, when, faulty, stored):
     assert tables.rejected().count() == stored == outcome.rows_rejected
 
 
+def test_daily_refresh_replaces_only_its_days(spark, load, instruments, tmp_path):
+    path = str(tmp_path / "daily")
+
+    def stored():
+        return {str(r.trade_date): r.net_qty for r in read_daily(spark, path).collect()}
+
+    first = load(
+        row("A", quantity=1, executed_at="2024-04-01"),
+        row("B", quantity=2, executed_at="2024-04-02"),
+        row("C", quantity=3, executed_at="2024-04-03"),
+        row("X", price="", executed_at="2024-04-04"),
+        row("Y", executed_at=""),
+    )
+    refresh_daily(first, instruments, path)
+    assert stored() == {"2024-04-01": 1, "2024-04-02": 2, "2024-04-03": 3}
+    again = load(
+        row("B", quantity=5, executed_at="2024-04-02"),
+        row("C", quantity=-3, executed_at="2024-04-03"),
+    )
+    refresh_daily(again, instruments, path)
+    assert stored() == {"2024-04-01": 1, "2024-04-02": 5}
+
+
+def test_daily_refresh_equals_the_daily_query(spark, load, instruments, tmp_path):
+    path = str(tmp_path / "daily")
+    trades = load(row("A"), row("B", side="SELL", price="7"), row("C", price=""))
+    refresh_daily(trades, instruments, path)
+    expected = daily_pnl(valid_rows(trades, instruments, RULES))
+    got = read_daily(spark, path).select(*expected.columns)
+    assert sorted(map(str, got.collect())) == sorted(map(str, expected.collect()))
+
+
+def test_clean_rows_are_not_read_for_quarantine(tables, load, instruments):
+    outcome = run_quality(
+        load(row("A"), row("B")), instruments, tables, as_of=AS_OF, now=NOW
+    )
+    assert outcome.rows_rejected == 0
+    assert tables.rejected().count() == 0
+
+
 def test_unknown_routing_is_an_error(tables, load, instruments):
     with pytest.raises(ValueError, match="quarantine_when"):
         run_quality(load(row("A")), instruments, tables, quarantine_when="perhaps")
