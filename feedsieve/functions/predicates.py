@@ -9,14 +9,23 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 
+def literal(text: str) -> str:
+    """``text`` as a SQL string."""
+    return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+def quoted(column: str) -> str:
+    return f"`{column.replace('`', '``')}`"
+
+
 def missing(column: str) -> str:
-    return f"`{column}` IS NULL"
+    return f"{quoted(column)} IS NULL"
 
 
 def not_positive(column: str) -> str:
-    return f"`{column}` IS NOT NULL AND `{column}` <= 0"
+    return f"{quoted(column)} IS NOT NULL AND {quoted(column)} <= 0"
 
 
 def outside(column: str, values: Sequence[str]) -> str:
-    listed = ", ".join("'" + v.upper().replace("'", "\\'") + "'" for v in values)
-    return f"`{column}` IS NOT NULL AND upper(`{column}`) NOT IN ({listed})"
+    listed = ", ".join(literal(v.upper()) for v in values)
+    return f"{quoted(column)} IS NOT NULL AND upper({quoted(column)}) NOT IN ({listed})"

@@ -9,12 +9,11 @@ the lambda-based array functions it stays inside whole-stage codegen.
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
-from functools import reduce
-from operator import or_
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from feedsieve.functions.predicates import literal, quoted
 from feedsieve.operators.references import mark_unknown_keys
 from feedsieve.rules import Rule, readable, row_rules
 
@@ -32,30 +31,32 @@ def as_references(references: References | None) -> Mapping[str, DataFrame]:
 
 def rule_flags(
     df: DataFrame, references: References | None, rules: Sequence[Rule]
-) -> tuple[DataFrame, dict[str, Column]]:
-    """Input with its reference markers, and one failure flag per readable row rule."""
+) -> tuple[DataFrame, dict[str, str]]:
+    """Input with its reference markers, and one failure flag per readable row rule.
+
+    Flags are SQL text, true for an offending row and never null.
+    """
     usable = [r for r in row_rules(rules) if readable(r, df.columns)]
     marked, unknown = mark_unknown_keys(df, usable, as_references(references))
     return marked, {r.name: unknown[r.name] if r.name in unknown else _flag(r) for r in usable}
 
 
-def _flag(rule: Rule) -> Column:
-    failed = F.expr(rule.failure)
-    return failed if rule.never_null else F.coalesce(failed, F.lit(False))
+def _flag(rule: Rule) -> str:
+    return rule.failure if rule.never_null else f"coalesce({rule.failure}, false)"
 
 
-def any_failure(flags: Mapping[str, Column]) -> Column:
-    return reduce(or_, flags.values(), F.lit(False))
+def any_failure(flags: Mapping[str, str]) -> str:
+    return "(" + (" OR ".join(f"({flag})" for flag in flags.values()) or "false") + ")"
 
 
-def reasons_column(flags: Mapping[str, Column]) -> Column:
+def reasons_column(flags: Mapping[str, str]) -> str:
     """Names of the broken rules, in declaration order."""
-    none = F.slice(F.array(F.lit("")), 1, 0)  # empty, and known to hold no nulls
-    if not flags:
-        return none
-    return F.concat(
-        *[F.when(flag, F.array(F.lit(name))).otherwise(none) for name, flag in flags.items()]
-    )
+    none = "slice(array(''), 1, 0)"  # empty, and known to hold no nulls
+    parts = [
+        f"CASE WHEN {flag} THEN array({literal(name)}) ELSE {none} END"
+        for name, flag in flags.items()
+    ]
+    return f"concat({', '.join(parts)})" if parts else none
 
 
 def _require_row_rules(rules: Sequence[Rule]) -> None:
@@ -63,13 +64,17 @@ def _require_row_rules(rules: Sequence[Rule]) -> None:
         raise ValueError("no quarantinable rules")
 
 
+def _labelled(marked: DataFrame, columns: Sequence[str], flags: Mapping[str, str]) -> DataFrame:
+    return marked.selectExpr(*map(quoted, columns), f"{reasons_column(flags)} AS reasons")
+
+
 def with_reasons(
     df: DataFrame, references: References | None, rules: Sequence[Rule]
 ) -> DataFrame:
     """Every row with its ``reasons`` array; empty for a valid row."""
     _require_row_rules(rules)
     marked, flags = rule_flags(df, references, rules)
-    return marked.select(*df.columns, reasons_column(flags).alias("reasons"))
+    return _labelled(marked, df.columns, flags)
 
 
 def failing_rows(
@@ -78,16 +83,14 @@ def failing_rows(
     """Rows breaking at least one rule, with ``reasons``."""
     _require_row_rules(rules)
     marked, flags = rule_flags(df, references, rules)
-    return marked.where(any_failure(flags)).select(
-        *df.columns, reasons_column(flags).alias("reasons")
-    )
+    return _labelled(marked.where(any_failure(flags)), df.columns, flags)
 
 
 def valid_rows(df: DataFrame, references: References | None, rules: Sequence[Rule]) -> DataFrame:
     """Rows breaking no row-level rule; table-level failures exclude nothing."""
     _require_row_rules(rules)
     marked, flags = rule_flags(df, references, rules)
-    return marked.where(~any_failure(flags)).select(*df.columns)
+    return marked.where(f"NOT {any_failure(flags)}").select(*df.columns)
 
 
 def batch_split(
@@ -98,9 +101,9 @@ def batch_split(
     marked, flags = rule_flags(df, references, rules)
     broken = any_failure(flags)
     return marked.agg(
-        F.count(F.lit(1)).alias("rows_total"),
-        F.count_if(~broken).alias("rows_valid"),
-        F.count_if(broken).alias("rows_rejected"),
+        F.expr("count(1) AS rows_total"),
+        F.expr(f"count_if(NOT {broken}) AS rows_valid"),
+        F.expr(f"count_if({broken}) AS rows_rejected"),
     )
 
 

@@ -12,9 +12,10 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from feedsieve.functions.predicates import literal, quoted
 from feedsieve.operators.labels import References, any_failure, rule_flags
 from feedsieve.operators.references import small_enough
-from feedsieve.rules import Rule, row_rules
+from feedsieve.rules import Rule
 from feedsieve.schemas import MONEY_TYPE
 
 POSITION_TYPE = "decimal(28,4)"
@@ -24,50 +25,45 @@ def trade_date() -> Column:
     return F.col("executed_at").cast("date")
 
 
-def _notional() -> Column:
-    return (F.col("quantity") * F.col("price")).cast(MONEY_TYPE)
+def _flows(valid: str | None = None) -> list[Column]:
+    """Sums of the trading day, over the rows where the SQL flag ``valid`` holds."""
+    notional = f"CAST(quantity * price AS {MONEY_TYPE.simpleString()})"
+    cash = f"IF(upper(side) = 'BUY', -{notional}, {notional})"
 
+    def total(value: str, wanted: str, kind: str, name: str) -> str:
+        kept = f"({wanted})" if valid is None else f"({wanted}) AND ({valid})"
+        return f"CAST(coalesce(sum(CASE WHEN {kept} THEN {value} END), 0) AS {kind}) AS {name}"
 
-def _is(side: str) -> Column:
-    return F.upper("side") == side
-
-
-def _flows(valid: Column | None = None) -> list[Column]:
-    """Sums of the trading day, over the rows where ``valid`` holds."""
-
-    def total(value: Column, condition: Column | None, kind: str) -> Column:
-        wanted = condition if valid is None else (valid if condition is None else valid & condition)
-        picked = value if wanted is None else F.when(wanted, value)
-        return F.coalesce(F.sum(picked), F.lit(0)).cast(kind)
-
-    buy, sell = _is("BUY"), _is("SELL")
     money = MONEY_TYPE.simpleString()
-    return [
-        (F.count(F.lit(1)) if valid is None else F.count_if(valid)).alias("trades"),
-        total(F.col("quantity"), buy, POSITION_TYPE).alias("buy_qty"),
-        total(F.col("quantity"), sell, POSITION_TYPE).alias("sell_qty"),
-        total(_notional(), None, money).alias("gross_notional"),
-        total(F.when(buy, -_notional()).otherwise(_notional()), None, money).alias("net_cash"),
+    sums = [
+        "count(1) AS trades" if valid is None else f"count_if({valid}) AS trades",
+        total("quantity", "upper(side) = 'BUY'", POSITION_TYPE, "buy_qty"),
+        total("quantity", "upper(side) = 'SELL'", POSITION_TYPE, "sell_qty"),
+        total(notional, "true", money, "gross_notional"),
+        total(cash, "true", money, "net_cash"),
     ]
+    return [F.expr(s) for s in sums]
 
 
 def _net_qty() -> Column:
     return (F.col("buy_qty") - F.col("sell_qty")).cast(POSITION_TYPE)
 
 
-def daily_pnl(trades: DataFrame, valid: Column | None = None) -> DataFrame:
+def daily_pnl(trades: DataFrame, valid: str | None = None) -> DataFrame:
     """One row per day and instrument, from valid trades.
 
     The close is the price of the last trade; ``pnl`` is the cash of the day
-    plus the position of the day valued at the close. With ``valid`` the input
-    may hold other rows too; a group without a valid one then has no trades.
+    plus the position of the day valued at the close. With the SQL flag
+    ``valid`` the input may hold other rows too; a group without a valid one then has no trades.
     """
-    last = F.struct("executed_at", "trade_id", "price")
+    last = "struct(executed_at, trade_id, price)"
+    if valid is not None:
+        last = f"CASE WHEN {valid} THEN {last} END"
     return (
         trades.groupBy(trade_date().alias("trade_date"), "instrument_id")
         .agg(
             *_flows(valid),
-            F.max(last if valid is None else F.when(valid, last)).alias("last"),
+            F.expr(f"max({last}) AS last"),
         )
         .select(
             "trade_date",
@@ -152,30 +148,17 @@ def coverage_gap(
     marked, flags = rule_flags(trades, references, rules)
     broken = any_failure(flags)
     counted = marked.groupBy(trade_date().alias("trade_date"), "instrument_id").agg(
-        *_flows(~broken),
-        F.count_if(broken).alias("rows_rejected"),
-        *[F.count_if(flag).alias(f"n_{name}") for name, flag in flags.items()],
-    )
-    reasons = F.array(
-        *[
-            F.struct(F.lit(r.name).alias("reason"), F.col(f"n_{r.name}").alias("n"))
-            for r in row_rules(rules)
-            if r.name in flags
-        ]
+        *_flows(f"NOT {broken}"),
+        F.expr(f"count_if({broken}) AS rows_rejected"),
+        *[F.expr(f"count_if({flag}) AS {quoted('n_' + n)}") for n, flag in flags.items()],
     )
-    return counted.select(
+    listed = ", ".join(f"struct({literal(n)} AS reason, {quoted('n_' + n)} AS n)" for n in flags)
+    counts = f"CAST(array({listed}) AS ARRAY<STRUCT<reason: STRING, n: BIGINT>>)"
+    return counted.selectExpr(
         "trade_date",
         "instrument_id",
         "trades",
         "gross_notional",
         "rows_rejected",
-        F.explode_outer(F.filter(reasons, lambda c: c["n"] > 0)).alias("gap"),
-    ).select(
-        "trade_date",
-        "instrument_id",
-        "trades",
-        "gross_notional",
-        "rows_rejected",
-        F.col("gap.reason").alias("reason"),
-        F.col("gap.n").alias("reason_rows"),
-    )
+        f"explode_outer(filter({counts}, c -> c.n > 0)) AS gap",
+    ).selectExpr("* EXCEPT (gap)", "gap.reason AS reason", "gap.n AS reason_rows")

@@ -8,6 +8,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from feedsieve.functions.predicates import literal, quoted
 from feedsieve.operators.labels import References, failing_rows, offenders
 from feedsieve.operators.load import latest_per_key
 from feedsieve.operators.references import reference_keys
@@ -92,14 +93,16 @@ def quarantine_result(
     """
     names = sorted(r.name for r in row_rules(rules))
     counted = rejected.groupBy(*by).agg(
-        F.count(F.lit(1)).alias("rows_rejected"),
-        *[F.count_if(F.array_contains("reasons", name)).alias(f"n_{name}") for name in names],
+        F.expr("count(1) AS rows_rejected"),
+        *[
+            F.expr(f"count_if(array_contains(reasons, {literal(n)})) AS {quoted('n_' + n)}")
+            for n in names
+        ],
     )
-    listed = F.array(
-        *[F.struct(F.lit(name).alias("reason"), F.col(f"n_{name}").alias("n")) for name in names]
-    ).cast("array<struct<reason:string,n:bigint>>")
-    return counted.select(
-        *by, "rows_rejected", F.filter(listed, lambda c: c["n"] > 0).alias("reason_counts")
+    listed = ", ".join(f"struct({literal(n)} AS reason, {quoted('n_' + n)} AS n)" for n in names)
+    counts = f"CAST(array({listed}) AS ARRAY<STRUCT<reason: STRING, n: BIGINT>>)"
+    return counted.selectExpr(
+        *map(quoted, by), "rows_rejected", f"filter({counts}, c -> c.n > 0) AS reason_counts"
     )
 
 

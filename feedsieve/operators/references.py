@@ -17,9 +17,10 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Mapping
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from feedsieve.functions.predicates import quoted
 from feedsieve.rules import EXISTS_IN, Rule
 from feedsieve.session import cut_lineage
 
@@ -60,14 +61,14 @@ def mark_unknown_keys(
     rules: Iterable[Rule],
     references: Mapping[str, DataFrame],
     max_keys: int = MAX_BROADCAST_KEYS,
-) -> tuple[DataFrame, dict[str, Column]]:
-    """Join what the ``exists_in`` rules need; returns the flag of each rule.
+) -> tuple[DataFrame, dict[str, str]]:
+    """Join what the ``exists_in`` rules need; returns the SQL flag of each rule.
 
     The result has helper columns beside those of ``df``; callers select them
     away. Rules on the same column and reference share one join.
     """
-    flags: dict[str, Column] = {}
-    joined: dict[tuple, Column] = {}
+    flags: dict[str, str] = {}
+    joined: dict[tuple, str] = {}
     original = df.columns
     for rule in rules:
         if rule.kind != EXISTS_IN:
@@ -92,7 +93,7 @@ def _mark(
     key: str,
     position: int,
     max_keys: int,
-) -> tuple[DataFrame, Column]:
+) -> tuple[DataFrame, str]:
     alias = f"_ref_{position}"
     value = F.col(column)
     # The raw key column bounds the distinct keys from above and costs less to measure.
@@ -100,13 +101,13 @@ def _mark(
     keys = reference_keys(reference, key, alias)
     if fits:
         out = df.join(F.broadcast(keys), value == F.col(alias), "left")
-        return out, value.isNotNull() & F.col(alias).isNull()
+        return out, f"{quoted(column)} IS NOT NULL AND {alias} IS NULL"
 
     seen = df.where(value.isNotNull()).select(value.alias(alias)).distinct()
     unknown = cut_lineage(seen.join(keys, alias, "left_anti"))
     if small_enough(unknown, max_keys):
         out = df.join(F.broadcast(unknown), value == F.col(alias), "left")
-        return out, F.col(alias).isNotNull()
+        return out, f"{alias} IS NOT NULL"
 
     spread = f"_spread_{position}"
     placed = df.withColumn(
@@ -121,4 +122,4 @@ def _mark(
         (value == F.col(alias)) & (F.col(spread) == F.col(f"{spread}_key")),
         "left",
     )
-    return out, F.col(alias).isNotNull()
+    return out, f"{alias} IS NOT NULL"

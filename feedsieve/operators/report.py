@@ -15,6 +15,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from feedsieve.functions.predicates import literal, quoted
 from feedsieve.operators.labels import References, rule_flags
 from feedsieve.rules import (
     COLUMNS,
@@ -48,16 +49,9 @@ def as_of_date(as_of: str | dt.date | Column | None) -> Column:
     return F.lit(str(as_of)[:10]).cast("date")
 
 
-def age_days(newest: Column, as_of: str | dt.date | Column | None) -> Column:
-    """Whole days since ``newest``; a fixed large age when there is none."""
-    return F.coalesce(
-        F.date_diff(as_of_date(as_of), newest.cast("date")), F.lit(NEVER_TRADED_DAYS)
-    )
-
-
-def too_old(rule: Rule, age: Column) -> Column:
-    """Freshness failure: future dates and ages above the limit both fail."""
-    return ~age.between(0, rule.max_age_days)
+def age_days_sql(newest: str, day: str) -> str:
+    """Whole days from ``newest`` to ``day``; a fixed large age when there is none."""
+    return f"coalesce(date_diff({day}, CAST({newest} AS DATE)), {NEVER_TRADED_DAYS})"
 
 
 def feed_freshness(
@@ -67,9 +61,12 @@ def feed_freshness(
 ) -> DataFrame:
     """One row: newest execution time, its age and whether the rule holds."""
     newest = df.agg(F.max(rule.columns[0]).alias("newest"))
-    age = age_days(F.col("newest"), as_of)
-    return newest.select(
-        "newest", age.alias("days_since_latest"), (~too_old(rule, age)).alias("success")
+    age = age_days_sql("newest", "_as_of")
+    # Future dates and ages above the limit both fail.
+    return newest.withColumn("_as_of", as_of_date(as_of)).selectExpr(
+        "newest",
+        f"{age} AS days_since_latest",
+        f"{age} BETWEEN 0 AND {rule.max_age_days} AS success",
     )
 
 
@@ -88,14 +85,14 @@ def duplicate_summary(
 ) -> DataFrame:
     """One row (per group): rows in duplicate groups, such groups, rows without a key, all rows."""
     counted = df.groupBy(*by, column).agg(F.count(F.lit(1)).alias("n"))
-    repeated = F.col(column).isNotNull() & (F.col("n") > 1)
-    zero = F.lit(0).cast("long")
-    return counted.groupBy(*by).agg(
-        F.coalesce(F.sum(F.when(repeated, F.col("n"))), zero).alias("duplicate_rows"),
-        F.count_if(repeated).alias("duplicate_keys"),
-        F.coalesce(F.sum(F.when(F.col(column).isNull(), F.col("n"))), zero).alias("null_keys"),
-        F.coalesce(F.sum("n"), zero).alias("rows_checked"),
+    key = quoted(column)
+    aggregates = (
+        f"coalesce(sum(IF({key} IS NOT NULL AND n > 1, n, 0L)), 0L) AS duplicate_rows",
+        f"count_if({key} IS NOT NULL AND n > 1) AS duplicate_keys",
+        f"coalesce(sum(IF({key} IS NULL, n, 0L)), 0L) AS null_keys",
+        "coalesce(sum(n), 0L) AS rows_checked",
     )
+    return counted.groupBy(*by).agg(*map(F.expr, aggregates))
 
 
 def row_count_check(df: DataFrame, expected: int = 0) -> DataFrame:
@@ -149,14 +146,14 @@ def counters(
     rule, and ``rows_checked``. Uniqueness is not mergeable and not included.
     """
     marked, flags = rule_flags(df, references, rules)
-    aggregates = [F.count(F.lit(1)).alias("rows_checked")]
-    aggregates += [F.count_if(flag).alias(f"n_{name}") for name, flag in flags.items()]
+    aggregates = ["count(1) AS rows_checked"]
+    aggregates += [f"count_if({flag}) AS {quoted('n_' + name)}" for name, flag in flags.items()]
     aggregates += [
-        F.max(r.columns[0]).alias(f"newest_{r.name}")
+        f"max({quoted(r.columns[0])}) AS {quoted('newest_' + r.name)}"
         for r in rules
         if r.kind == FRESH and readable(r, df.columns)
     ]
-    return marked.groupBy(*by).agg(*aggregates)
+    return marked.groupBy(*by).agg(*map(F.expr, aggregates))
 
 
 def merge_counters(parts: DataFrame, by: Sequence[str] = ()) -> DataFrame:
@@ -179,34 +176,31 @@ def report_rows(
     by: Sequence[str] = (),
 ) -> DataFrame:
     """Counters turned into one row per rule (and group), uniqueness left out."""
-    zero, one = F.lit(0).cast("long"), F.lit(1).cast("long")
-    rows = []
+    entries = []
+    day = "_as_of"
     for position, rule in enumerate(rules):
-        if rule.kind == UNIQUE and readable(rule, table_columns):
-            continue
         if not readable(rule, table_columns):
-            rows.append(_entry(position, rule, F.lit(False), None, None))
+            entries.append(_entry(position, rule, "false", "CAST(NULL AS BIGINT)", None))
+        elif rule.kind == UNIQUE:
+            continue
         elif rule.kind == COLUMNS:
             drift = schema_drift(table_columns, rule.expected_columns)
             changed = len(drift["added"]) + len(drift["missing"])
-            rows.append(
-                _entry(
-                    position,
-                    rule,
-                    F.lit(changed == 0),
-                    F.lit(changed).cast("long"),
-                    F.lit(json.dumps(list(table_columns))),
-                )
+            listed = literal(json.dumps(list(table_columns)))
+            entries.append(
+                _entry(position, rule, str(changed == 0).lower(), f"{changed}L", listed)
             )
         elif rule.kind == FRESH:
-            old = too_old(rule, age_days(F.col(f"newest_{rule.name}"), as_of))
-            failing = F.when(old, one).otherwise(zero)
-            rows.append(_entry(position, rule, ~old, failing, failing.cast("string")))
+            age = age_days_sql(quoted(f"newest_{rule.name}"), day)
+            fresh = f"{age} BETWEEN 0 AND {rule.max_age_days}"
+            failing = f"IF({fresh}, 0L, 1L)"
+            entries.append(_entry(position, rule, fresh, failing, f"CAST({failing} AS STRING)"))
         else:
-            failing = F.col(f"n_{rule.name}")
-            rows.append(_entry(position, rule, failing == 0, failing, failing.cast("string")))
-    exploded = counted.select(*by, F.explode(F.array(*rows)).alias("r"))
-    return exploded.select(*by, "r.*")
+            failing = quoted(f"n_{rule.name}")
+            entries.append(
+                _entry(position, rule, f"{failing} = 0", failing, f"CAST({failing} AS STRING)")
+            )
+    return _unpivoted(counted.withColumn(day, as_of_date(as_of)), entries, by)
 
 
 def unique_rows(
@@ -216,10 +210,9 @@ def unique_rows(
     out = []
     for position, rule in enumerate(rules):
         if rule.kind == UNIQUE and readable(rule, df.columns):
-            failing = F.col("duplicate_rows")
-            entry = _entry(position, rule, failing == 0, failing, failing.cast("string"))
-            counted = duplicate_summary(df, rule.columns[0], by)
-            out.append(counted.select(*by, entry.alias("r")).select(*by, "r.*"))
+            failing = "duplicate_rows"
+            entry = _entry(position, rule, f"{failing} = 0", failing, f"CAST({failing} AS STRING)")
+            out.append(_unpivoted(duplicate_summary(df, rule.columns[0], by), [entry], by))
     return out
 
 
@@ -291,21 +284,22 @@ def rule_agreement(report: DataFrame, counts: DataFrame) -> DataFrame:
     )
 
 
-def _entry(
-    position: int,
-    rule: Rule,
-    success: Column,
-    failing: Column | None,
-    observed: Column | None,
-) -> Column:
-    return F.struct(
-        F.lit(position).alias("position"),
-        F.lit(rule.name).alias("rule"),
-        F.lit(rule.category).alias("category"),
-        F.lit(rule.scope).alias("scope"),
-        F.lit(rule.description).alias("description"),
-        success.alias("success"),
-        (F.lit(None).cast("long") if failing is None else failing).alias("failing_rows"),
-        (F.lit(None).cast("string") if observed is None else observed).alias("observed"),
-        F.col("rows_checked").alias("rows_checked"),
+def _entry(position: int, rule: Rule, success: str, failing: str, observed: str | None) -> str:
+    """SQL of one report row, in the order of ``REPORT_COLUMNS``."""
+    texts = [rule.name, rule.category, rule.scope, rule.description]
+    return ", ".join(
+        [
+            str(position),
+            *map(literal, texts),
+            success,
+            failing,
+            observed or "CAST(NULL AS STRING)",
+            "rows_checked",
+        ]
     )
+
+
+def _unpivoted(counted: DataFrame, entries: Sequence[str], by: Sequence[str]) -> DataFrame:
+    names = ", ".join(REPORT_COLUMNS)
+    rows = f"stack({len(entries)}, {', '.join(entries)}) AS ({names})"
+    return counted.selectExpr(*map(quoted, by), rows)

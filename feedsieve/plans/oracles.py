@@ -115,11 +115,11 @@ landed AS (
   FROM feed
 ),
 instrument AS (
-  SELECT CAST(p_partkey AS INTEGER) AS instrument_id, p_name AS symbol, p_type AS asset_class,
+  SELECT TRY_CAST(p_partkey AS INTEGER) AS instrument_id, p_name AS symbol, p_type AS asset_class,
     'USD' AS currency
   FROM part WHERE p_partkey % 97 <> 5
 ),
-known AS (SELECT DISTINCT instrument_id AS k FROM instrument),
+known AS (SELECT DISTINCT instrument_id AS k FROM instrument WHERE instrument_id IS NOT NULL),
 trade AS ({_latest("landed")}),
 flagged AS ({_flagged("landed")}),
 stored AS ({_flagged("trade")}),

@@ -37,7 +37,7 @@ def refresh_daily(
     """
     rules = trade_rules() if rules is None else rules
     marked, flags = rule_flags(trades, references, rules)
-    daily = daily_pnl(marked, ~any_failure(flags))
+    daily = daily_pnl(marked, f"NOT {any_failure(flags)}")
     write_by_day(daily.where(F.col("trade_date").isNotNull()), path)
 
 

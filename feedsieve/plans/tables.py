@@ -7,8 +7,7 @@ All timestamps are zone-free, so results do not depend on the session.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 from feedsieve.operators.load import RESEND_ORDER, latest_per_key
@@ -21,63 +20,38 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def _fault(modulus: int) -> Column:
-    return F.col("h") % modulus == 0
+_TRADE_ID = "concat('T', CAST(l_orderkey * 10 + l_linenumber AS STRING)) AS trade_id"
+_ORIGIN = (
+    "concat('feed_', l_linestatus) AS source_file",
+    "CAST(l_shipdate AS TIMESTAMP_NTZ) + INTERVAL 1 DAY AS ingested_at",
+)
 
 
-def _lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "lineitem").withColumn(
-        "h",
-        F.col("l_orderkey") * 7
-        + F.col("l_partkey") * 13
-        + F.col("l_suppkey") * 31
-        + F.col("l_linenumber"),
-    )
-
-
-def _trade_id() -> Column:
-    number = F.col("l_orderkey") * 10 + F.col("l_linenumber")
-    return F.concat(F.lit("T"), number.cast("string")).alias("trade_id")
-
-
-def _side(missing: Column) -> Column:
+def _side(missing: str) -> str:
     return (
-        F.when(_fault(211), missing)
-        .when(_fault(223), "X")
-        .when(_fault(227), "buy")
-        .when(F.col("l_returnflag") == "R", "SELL")
-        .otherwise("BUY")
-        .alias("side")
+        f"CASE WHEN h % 211 = 0 THEN {missing} WHEN h % 223 = 0 THEN 'X' "
+        "WHEN h % 227 = 0 THEN 'buy' WHEN l_returnflag = 'R' THEN 'SELL' ELSE 'BUY' END AS side"
     )
 
 
-def _origin() -> list[Column]:
-    return [
-        F.concat(F.lit("feed_"), "l_linestatus").alias("source_file"),
-        (F.col("l_shipdate").cast(NTZ) + F.expr("INTERVAL 1 DAY")).alias("ingested_at"),
-    ]
+def _lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return table(spark, sf_dir, "lineitem").selectExpr(
+        "*", "l_orderkey * 7 + l_partkey * 13 + l_suppkey * 31 + l_linenumber AS h"
+    )
 
 
 def feed(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The all-text feed, with the file each row came from and its load time."""
-
-    def text(name: str) -> Column:
-        return F.col(name).cast("string")
-
-    quantity = (
-        F.when(_fault(101), "")
-        .when(_fault(103), (-F.col("l_quantity")).cast("string"))
-        .otherwise(text("l_quantity"))
-    )
-    price = F.when(_fault(109), "").when(_fault(113), "-1").otherwise(text("l_extendedprice"))
-    return _lines(spark, sf_dir).select(
-        _trade_id(),
-        F.when(_fault(997), "").otherwise(text("l_partkey")).alias("instrument_id"),
-        _side(F.lit("")),
-        quantity.alias("quantity"),
-        price.alias("price"),
-        F.when(_fault(127), "").otherwise(text("l_shipdate")).alias("executed_at"),
-        *_origin(),
+    return _lines(spark, sf_dir).selectExpr(
+        _TRADE_ID,
+        "IF(h % 997 = 0, '', CAST(l_partkey AS STRING)) AS instrument_id",
+        _side("''"),
+        "CASE WHEN h % 101 = 0 THEN '' WHEN h % 103 = 0 THEN CAST(-l_quantity AS STRING) "
+        "ELSE CAST(l_quantity AS STRING) END AS quantity",
+        "CASE WHEN h % 109 = 0 THEN '' WHEN h % 113 = 0 THEN '-1' "
+        "ELSE CAST(l_extendedprice AS STRING) END AS price",
+        "IF(h % 127 = 0, '', CAST(l_shipdate AS STRING)) AS executed_at",
+        *_ORIGIN,
     )
 
 
@@ -87,16 +61,17 @@ def landed(spark: SparkSession, sf_dir: str) -> DataFrame:
     Holds the same rows as ``typed_feed(feed(...))`` without going through text:
     the checks read a typed table, and the load has queries of its own.
     """
-    quantity = F.when(_fault(103), -F.col("l_quantity")).otherwise(F.col("l_quantity"))
-    price = F.when(_fault(113), F.lit(-1.0)).otherwise(F.col("l_extendedprice"))
-    return _lines(spark, sf_dir).select(
-        _trade_id(),
-        F.when(~_fault(997), F.col("l_partkey").try_cast("int")).alias("instrument_id"),
-        _side(F.lit(None).cast("string")),
-        F.when(~_fault(101), quantity.try_cast(QUANTITY_TYPE)).alias("quantity"),
-        F.when(~_fault(109), price.try_cast(PRICE_TYPE)).alias("price"),
-        F.when(~_fault(127), F.col("l_shipdate").cast(NTZ)).alias("executed_at"),
-        *_origin(),
+    quantity, price = QUANTITY_TYPE.simpleString(), PRICE_TYPE.simpleString()
+    return _lines(spark, sf_dir).selectExpr(
+        _TRADE_ID,
+        "CASE WHEN h % 997 <> 0 THEN try_cast(l_partkey AS INT) END AS instrument_id",
+        _side("NULL"),
+        "CASE WHEN h % 101 <> 0 THEN "
+        f"try_cast(IF(h % 103 = 0, -l_quantity, l_quantity) AS {quantity}) END AS quantity",
+        "CASE WHEN h % 109 <> 0 THEN "
+        f"try_cast(IF(h % 113 = 0, -1.0D, l_extendedprice) AS {price}) END AS price",
+        "CASE WHEN h % 127 <> 0 THEN CAST(l_shipdate AS TIMESTAMP_NTZ) END AS executed_at",
+        *_ORIGIN,
     )
 
 
@@ -110,10 +85,10 @@ def instruments(spark: SparkSession, sf_dir: str) -> DataFrame:
     return (
         table(spark, sf_dir, "part")
         .where("p_partkey % 97 <> 5")
-        .select(
-            F.col("p_partkey").cast("int").alias("instrument_id"),
-            F.col("p_name").alias("symbol"),
-            F.col("p_type").alias("asset_class"),
-            F.lit("USD").alias("currency"),
+        .selectExpr(
+            "try_cast(p_partkey AS INT) AS instrument_id",
+            "p_name AS symbol",
+            "p_type AS asset_class",
+            "'USD' AS currency",
         )
     )

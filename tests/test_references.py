@@ -45,7 +45,7 @@ def known(spark):
 def flagged(df, known, limit):
     rules = [r for r in RULES if r.name == "instrument_exists"]
     marked, flags = references.mark_unknown_keys(df, rules, {"instrument": known}, limit)
-    out = marked.select(*df.columns, flags["instrument_exists"].alias("orphan"))
+    out = marked.select(*df.columns, F.expr(flags["instrument_exists"]).alias("orphan"))
     return out
 
 
