@@ -104,15 +104,13 @@ def row_count_check(df: DataFrame, expected: int = 0) -> DataFrame:
     )
 
 
-def drift_report(
-    df: DataFrame, expected: Sequence[str], by_name: Sequence[str] | None = None
-) -> DataFrame:
+def drift_report(df: DataFrame, expected: Sequence[str]) -> DataFrame:
     """One row per expected or actual column: its status and how many rows fill it.
 
     The comparison itself is metadata; the counts say how far an added column
     has already spread. One aggregation over the table.
     """
-    actual = list(by_name or df.columns)
+    actual = df.columns
     drift = schema_drift(actual, expected)
     status = {c: "expected" for c in expected}
     status.update({c: "missing" for c in drift["missing"]})

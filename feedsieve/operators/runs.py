@@ -127,8 +127,13 @@ def history_lines(runs: DataFrame, limit: int = 10) -> DataFrame:
     return recent_runs(runs, limit).select(history_line().alias("line"))
 
 
-def rejection_trend(runs: DataFrame, columns: Sequence[str] = ("run_id", "started_at")) -> DataFrame:
-    """Rejection rate of each finished run and its change from the run before."""
+def rejection_trend(
+    runs: DataFrame, columns: Sequence[str] = ("run_id", "started_at")
+) -> DataFrame:
+    """Rejection rate of each finished run and its change from the run before.
+
+    The window orders the whole history in one task: a row per run, at most.
+    """
     before = Window.orderBy("started_at", "run_id")
     rate = F.when(
         F.col("rows_checked") > 0,

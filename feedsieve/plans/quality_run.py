@@ -81,6 +81,10 @@ def run_quality(
     ``on_failure`` (only after a failed verdict) or ``never``. The run row is
     written last, so an interrupted run stays ``running`` and can be repeated
     under the same ``run_id``.
+
+    The table is read up to three times (counters, key column, failing rows),
+    with only the columns each needs; pass a stored table rather than a plan
+    that is costly to repeat.
     """
     if quarantine_when not in (ALWAYS, ON_FAILURE, NEVER):
         raise ValueError(f"unknown quarantine_when: {quarantine_when}")
