@@ -29,8 +29,6 @@ from feedsieve.session import cut_lineage
 MAX_BROADCAST_KEYS = 4_000_000
 MAX_BROADCAST_BYTES = 64 * 1024 * 1024
 
-_NULL_SPREAD = 4096
-
 
 def reference_keys(reference: DataFrame, key: str, alias: str | None = None) -> DataFrame:
     """Distinct non-null keys, so that a join with them never multiplies rows."""
@@ -109,17 +107,13 @@ def _mark(
         out = df.join(F.broadcast(unknown), value == F.col(alias), "left")
         return out, f"{alias} IS NOT NULL"
 
-    spread = f"_spread_{position}"
+    # Rows without a key match nothing; a hash of the whole row places them instead.
+    spread, spread_key = f"_spread_{position}", f"_spread_key_{position}"
     placed = df.withColumn(
-        spread,
-        F.when(value.isNull(), F.pmod(F.xxhash64(*original), F.lit(_NULL_SPREAD))).otherwise(
-            F.lit(0).cast("long")
-        ),
+        spread, F.when(value.isNull(), F.xxhash64(*original)).otherwise(F.xxhash64(value))
     )
-    unknown = unknown.withColumn(f"{spread}_key", F.lit(0).cast("long"))
+    unknown = unknown.withColumn(spread_key, F.xxhash64(alias))
     out = placed.join(
-        unknown,
-        (value == F.col(alias)) & (F.col(spread) == F.col(f"{spread}_key")),
-        "left",
+        unknown, (value == F.col(alias)) & (F.col(spread) == F.col(spread_key)), "left"
     )
     return out, f"{alias} IS NOT NULL"

@@ -1,5 +1,7 @@
 """The three ways of finding unknown keys give the same rows, hot keys included."""
 
+import re
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -82,6 +84,16 @@ def test_broadcast_only_below_the_bound(spark, skewed, known, limit, broadcasts)
     assert ("BroadcastHashJoin" in plan) is broadcasts
 
 
+def test_rows_without_a_key_are_spread(spark, skewed, known):
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = flagged(skewed, known, 0)._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert re.search(r"hashpartitioning\(instrument_id#\d+, _spread_0#\d+L", plan)
+
+
 def test_small_enough_measures_rows_and_bytes(known):
     keys = known.select("instrument_id")
     assert references.small_enough(keys)
