@@ -6,12 +6,12 @@ import pytest
 
 import __spark_entry__ as entry
 from feedsieve.operators.load import typed_feed
-from feedsieve.plans import tables
+from feedsieve.plans import oracles, queries, tables
 
 from .compare import connect, difference
 
 SF_DIR = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
-QUERIES, ORACLES = entry.queries(), entry.oracle_sql()
+QUERIES, ORACLES = queries.queries(), oracles.oracle_sql()
 
 
 @pytest.fixture(scope="module")
@@ -21,6 +21,7 @@ def duck():
 
 def test_every_query_has_an_oracle():
     assert set(QUERIES) == set(ORACLES)
+    assert set(QUERIES) <= set(entry.queries())
 
 
 @pytest.mark.parametrize("name", sorted(QUERIES))
