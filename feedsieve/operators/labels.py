@@ -65,7 +65,9 @@ def _require_row_rules(rules: Sequence[Rule]) -> None:
 
 
 def _labelled(marked: DataFrame, columns: Sequence[str], flags: Mapping[str, str]) -> DataFrame:
-    return marked.selectExpr(*map(quoted, columns), f"{reasons_column(flags)} AS reasons")
+    # A column of that name in a drifted input gives way.
+    kept = [quoted(c) for c in columns if c != "reasons"]
+    return marked.selectExpr(*kept, f"{reasons_column(flags)} AS reasons")
 
 
 def with_reasons(

@@ -83,7 +83,9 @@ def advance_watermarks(marks: DataFrame, trades: DataFrame) -> DataFrame:
 def newer_than(
     trades: DataFrame, watermark: Column | None, column: str = "executed_at"
 ) -> DataFrame:
-    """Rows past the watermark. Rows without a time cannot be placed and stay in.
+    """Rows from the watermark on. Rows without a time cannot be placed and stay in.
+
+    A trade at the very mark may be new, and loading it again does no harm.
 
     ``watermark`` is a literal or a scalar subquery (``high_watermark(t).scalar()``);
     a null one, from an empty table, loads everything.
@@ -91,17 +93,56 @@ def newer_than(
     if watermark is None:
         return trades
     value = F.col(column)
-    return trades.where(value.isNull() | watermark.isNull() | (value > watermark))
+    return trades.where(value.isNull() | watermark.isNull() | (value >= watermark))
+
+
+def late_rows(
+    trades: DataFrame, watermark: Column, column: str = "executed_at"
+) -> DataFrame:
+    """Rows per source that an incremental load leaves out, and their oldest time."""
+    return (
+        trades.where(F.col(column) < watermark)
+        .groupBy("source_file")
+        .agg(F.count(F.lit(1)).alias("late_rows"), F.min(column).alias("oldest"))
+    )
 
 
 def load_trades(
     existing: DataFrame,
     feed: DataFrame,
-    incremental: bool = True,
+    incremental: bool = False,
     timestamp: T.DataType | None = None,
+    marks: DataFrame | None = None,
 ) -> DataFrame:
-    """The trade table after loading a feed: type, select, merge re-sends, upsert."""
+    """The trade table after loading a feed: type, select, merge re-sends, upsert.
+
+    An incremental load leaves out what is older than the watermark, corrections of
+    older trades included (see ``late_rows``), so it has to be asked for. The mark is
+    read from ``marks``, the stored ``etl_watermark``; without it the trade table is scanned.
+    """
     incoming = typed_feed(feed, timestamp)
     if incremental:
-        incoming = newer_than(incoming, high_watermark(existing).scalar())
-    return upsert(existing, latest_per_key(incoming, "trade_id", RESEND_ORDER), ["trade_id"])
+        stored = high_watermark(existing) if marks is None else high_watermark(marks, "high_watermark")
+        incoming = newer_than(incoming, stored.scalar())
+    return upsert(existing, collapse_retries(incoming), ["trade_id"])
+
+
+def load_balance(existing: DataFrame, feed: DataFrame, timestamp: T.DataType | None = None) -> DataFrame:
+    """One row that accounts for every row of a feed.
+
+    ``rows_in`` is ``rows_upserted`` + ``rows_superseded`` + ``rows_unkeyed``; of the upserted
+    ones ``rows_new`` have a key the table lacked.
+    """
+    incoming = typed_feed(feed, timestamp)
+    keys = incoming.groupBy("trade_id").agg(F.count(F.lit(1)).alias("n"))
+    known = existing.where("trade_id IS NOT NULL").select("trade_id", F.lit(True).alias("known"))
+    return (
+        keys.join(known, "trade_id", "left")
+        .agg(
+            F.expr("coalesce(sum(n), 0) AS rows_in"),
+            F.expr("count(trade_id) AS rows_upserted"),
+            F.expr("coalesce(sum(IF(trade_id IS NOT NULL, n - 1, 0)), 0) AS rows_superseded"),
+            F.expr("coalesce(sum(IF(trade_id IS NULL, n, 0)), 0) AS rows_unkeyed"),
+            F.expr("count_if(trade_id IS NOT NULL AND known IS NULL) AS rows_new"),
+        )
+    )

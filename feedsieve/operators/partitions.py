@@ -21,11 +21,20 @@ from feedsieve.rules import Rule
 def touched_partitions(df: DataFrame, touched: DataFrame, partition: str) -> DataFrame:
     """Rows of the partitions listed in ``touched``.
 
-    On a table partitioned by that column the semi join prunes whole folders at
-    run time. A null partition value is matched as well, so undated rows count.
+    On a table partitioned by that column the join by equality prunes whole
+    folders at run time. Undated rows are read from their own folder, if the null
+    partition is among those touched.
     """
     wanted = touched.select(F.col(partition).alias("_wanted")).distinct()
-    return df.join(wanted, F.col(partition).eqNullSafe(F.col("_wanted")), "left_semi")
+    dated = df.join(
+        wanted.where("_wanted IS NOT NULL"), F.col(partition) == F.col("_wanted"), "left_semi"
+    )
+    mark = F.coalesce(F.col(partition).cast("string"), F.lit("none"))
+    none = wanted.where("_wanted IS NULL").select(
+        F.coalesce(F.col("_wanted").cast("string"), F.lit("none")).alias("_none")
+    )
+    undated = df.where(F.col(partition).isNull()).join(none, mark == F.col("_none"), "left_semi")
+    return dated.unionByName(undated)
 
 
 def partition_counters(
@@ -45,13 +54,14 @@ def replace_partitions(stored: DataFrame, fresh: DataFrame, partition: str) -> D
 def touched_duplicates(whole: DataFrame, touched: DataFrame, key: str = "trade_id") -> DataFrame:
     """Duplicate keys that a load may have caused, counted over the whole table.
 
-    Counting comes first: it combines hot keys on the map side and leaves the
-    rows placed by key, which is how the semi join needs them.
+    The keys of the load are few, so they filter the table before anything is
+    counted; Spark broadcasts them if they are small enough.
     """
-    counted = (
-        whole.where(F.col(key).isNotNull())
+    keys = touched.where(F.col(key).isNotNull()).select(key).distinct()
+    return (
+        whole.select(key)
+        .join(keys, key, "left_semi")
         .groupBy(key)
         .agg(F.count(F.lit(1)).alias("n"))
         .where("n > 1")
     )
-    return counted.join(touched.select(key).distinct(), key, "left_semi")

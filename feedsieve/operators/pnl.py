@@ -80,6 +80,30 @@ def daily_pnl(trades: DataFrame, valid: str | None = None) -> DataFrame:
     )
 
 
+def touched_days(before: DataFrame, after: DataFrame) -> DataFrame:
+    """Days whose trades differ between two versions of the trade table.
+
+    A trade moved to another day, or left without one, touches the day it left as well.
+    """
+    columns = after.columns
+    kinds = before.select(*columns).withColumn("_old", F.lit(1)).withColumn("_new", F.lit(0))
+    kinds = kinds.unionByName(after.withColumn("_old", F.lit(0)).withColumn("_new", F.lit(1)))
+    return (
+        kinds.groupBy(*columns)
+        .agg(F.sum("_old").alias("_old"), F.sum("_new").alias("_new"))
+        .where("_old <> _new")
+        .select(trade_date().alias("trade_date"))
+        .distinct()
+    )
+
+
+def replace_days(stored: DataFrame, fresh: DataFrame, days: DataFrame) -> DataFrame:
+    """Daily rows with those of the given days replaced; a day may be left empty."""
+    gone = days.select(F.col("trade_date").alias("_day"))
+    kept = stored.join(gone, F.col("trade_date").eqNullSafe(F.col("_day")), "left_anti")
+    return kept.unionByName(fresh)
+
+
 def _marked(quantity: str, price: str) -> Column:
     """Value of a quantity at a price, narrow enough to be added without rounding."""
     return (F.col(quantity).cast("decimal(18,4)") * F.col(price)).cast("decimal(37,10)")

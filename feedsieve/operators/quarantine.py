@@ -29,16 +29,20 @@ def quarantine(
     if rejected_at is None:
         rejected_at = F.current_timestamp()
     stamp = rejected_at if isinstance(rejected_at, Column) else F.lit(rejected_at)
-    rejected = failing_rows(trades, references, rules)
-    absent = [
-        F.lit(None).cast(f.dataType).alias(f.name)
-        for f in rejected_schema()
-        if f.name not in (*trades.columns, "reasons", "run_id", "rejected_at")
-    ]
     tag = run_id if isinstance(run_id, Column) else F.lit(run_id)
+    # What the record itself says; columns of these names in a drifted input are not copied.
+    own = {"reasons": F.col("reasons"), "run_id": tag, "rejected_at": stamp}
+    rejected = failing_rows(trades, references, rules)
     return rejected.select(
-        "*", *absent, tag.alias("run_id"), stamp.alias("rejected_at")
-    ).select(*REJECTED_COLUMNS)
+        *[
+            own[f.name].alias(f.name)
+            if f.name in own
+            else F.col(f.name)
+            if f.name in trades.columns
+            else F.lit(None).cast(f.dataType).alias(f.name)
+            for f in rejected_schema()
+        ]
+    )
 
 
 def quarantine_upsert(existing: DataFrame, incoming: DataFrame) -> DataFrame:
@@ -51,12 +55,29 @@ def quarantine_upsert(existing: DataFrame, incoming: DataFrame) -> DataFrame:
     passes = existing.withColumn("_pass", F.lit(0)).unionByName(
         incoming.withColumn("_pass", F.lit(1))
     )
-    return latest_per_key(passes, "trade_id", ["_pass"]).drop("_pass")
+    latest = latest_per_key(passes, "trade_id", ["_pass"]).drop("_pass")
+    return latest.unionByName(_latest_unkeyed(passes, ["_pass"]).drop("_pass"))
 
 
 def current_rejected(records: DataFrame) -> DataFrame:
-    """Latest record per trade from the records of all runs."""
-    return latest_per_key(records, "trade_id", ["rejected_at", "run_id"])
+    """Latest record per trade from the records of all runs.
+
+    A row without a trade_id stands for itself: its latest record stays.
+    """
+    order = ["rejected_at", "run_id"]
+    return latest_per_key(records, "trade_id", order).unionByName(_latest_unkeyed(records, order))
+
+
+def _latest_unkeyed(records: DataFrame, order: Sequence[str]) -> DataFrame:
+    own = ("reasons", "run_id", "rejected_at")
+    same = [c for c in records.columns if c not in own and c not in order]
+    rest = [c for c in records.columns if c not in same and c not in order]
+    return (
+        records.where(F.col("trade_id").isNull())
+        .groupBy(*same)
+        .agg(F.max(F.struct(*order, *rest)).alias("_latest"))
+        .select(*[F.col(c) if c in same else F.col(f"_latest.{c}").alias(c) for c in records.columns])
+    )
 
 
 def reason_counts(rejected: DataFrame, by: Sequence[str] = ()) -> DataFrame:

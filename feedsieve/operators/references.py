@@ -22,7 +22,6 @@ from pyspark.sql import functions as F
 
 from feedsieve.functions.predicates import quoted
 from feedsieve.rules import EXISTS_IN, Rule
-from feedsieve.session import cut_lineage
 
 # Bounds of a broadcast key set. Four million integer keys make a hash table of
 # roughly 200 MB, which a driver and every executor can hold.
@@ -102,7 +101,8 @@ def _mark(
         return out, f"{quoted(column)} IS NOT NULL AND {alias} IS NULL"
 
     seen = df.where(value.isNotNull()).select(value.alias(alias)).distinct()
-    unknown = cut_lineage(seen.join(keys, alias, "left_anti"))
+    # Found once for the measure and once for the join, which needs no folder to keep it in.
+    unknown = seen.join(keys, alias, "left_anti")
     if small_enough(unknown, max_keys):
         out = df.join(F.broadcast(unknown), value == F.col(alias), "left")
         return out, f"{alias} IS NOT NULL"

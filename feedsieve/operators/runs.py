@@ -81,7 +81,8 @@ def fold_runs(states: DataFrame) -> DataFrame:
 
     The latest finish wins over ``running``; the first start is kept; a run that
     was never started began when it finished. Starting it afterwards changes
-    nothing.
+    nothing. Of finishes at the same time a failed one wins, then the one that
+    rejected more: a repeat must not hide what was found.
     """
     result = [c for c in RUN_COLUMNS if c not in ("run_id", "started_at")]
     return (
@@ -89,7 +90,14 @@ def fold_runs(states: DataFrame) -> DataFrame:
         .agg(
             F.min(F.coalesce("started_at", "finished_at")).alias("started_at"),
             # Nulls order first, so any finished state beats a running one.
-            F.max(F.struct(*result)).alias("r"),
+            F.max(
+                F.struct(
+                    "finished_at",
+                    (F.col("status") == "failed").alias("_worse"),
+                    "rows_rejected",
+                    *[c for c in result if c not in ("finished_at", "rows_rejected")],
+                )
+            ).alias("r"),
         )
         .select("run_id", "started_at", *[F.col(f"r.{c}").alias(c) for c in result])
     )

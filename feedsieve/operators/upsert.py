@@ -3,27 +3,32 @@
 Parquet has no MERGE, so an upsert is an anti join plus a union. The existing
 side has one row per key and is only shuffled when the incoming keys are too
 many to broadcast, which Spark decides by size. ``incoming`` must hold one row
-per key (see ``load.collapse_retries``); rows without a key are dropped, since
-nothing can identify them later.
+per key (see ``load.collapse_retries``). A row without a key replaces nothing and
+is never dropped; one that equals another in every column counts once, so that
+loading the same rows again changes nothing.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
 
 
 def upsert(existing: DataFrame, incoming: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Incoming rows replace existing rows of the same key."""
     keys = list(keys)
-    keyed = incoming.dropna(subset=keys)
-    kept = existing.join(keyed.select(*keys), keys, "left_anti")
-    return kept.select(*existing.columns).unionByName(keyed.select(*existing.columns))
-
-
-def insert_absent(existing: DataFrame, incoming: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Incoming rows are added only where the key is new."""
-    keys = list(keys)
-    added = incoming.dropna(subset=keys).join(existing.select(*keys), keys, "left_anti")
-    return existing.unionByName(added.select(*existing.columns))
+    arriving = incoming.select(*existing.columns)
+    keyed = arriving.dropna(subset=keys)
+    kept = existing.dropna(subset=keys).join(keyed.select(*keys), keys, "left_anti")
+    nameless = existing.where(unkeyed(keys)).unionByName(arriving.where(unkeyed(keys))).distinct()
+    return kept.select(*existing.columns).unionByName(keyed).unionByName(nameless)
+
+
+def unkeyed(keys: Sequence[str]) -> Column:
+    """Rows lacking part of their key."""
+    lacking = F.lit(False)
+    for key in keys:
+        lacking = lacking | F.col(key).isNull()
+    return lacking

@@ -6,8 +6,6 @@ that the two check each other.
 
 from __future__ import annotations
 
-from feedsieve.rules import trade_rules
-
 _AS_OF = "DATE '2001-12-01'"
 _STALE_AS_OF = "DATE '2004-01-01'"
 _SPLIT = "TIMESTAMP '1999-01-01 00:00:00'"
@@ -51,6 +49,20 @@ _CATEGORY = {
     "schema_unchanged": "schema_drift",
 }
 _ORDER = list(_CATEGORY)
+_DESCRIPTION = {
+    "trade_id_unique": "Each trade_id is one execution, so the load must have merged re-sent rows.",
+    "instrument_id_present": "Every trade names the instrument it belongs to.",
+    "price_present": "Every trade has a price to value it with.",
+    "quantity_present": "Every trade has a quantity; a gap would understate the position.",
+    "executed_at_present": "Every trade has an execution time that places it on a day.",
+    "quantity_positive": "Quantity is above zero, because side alone carries the direction.",
+    "price_positive": "Price is above zero.",
+    "side_present": "Every trade says whether it bought or sold.",
+    "side_recognised": "Side is one of the agreed values, in any letter case.",
+    "instrument_exists": "The instrument is known to the reference data.",
+    "feed_is_fresh": "The newest trade is between 0 and 400 days old.",
+    "schema_unchanged": "The table has the expected columns and no others.",
+}
 _TRADE_COLUMNS = (
     "trade_id",
     "instrument_id",
@@ -104,7 +116,7 @@ feed AS (
     l_shipdate + INTERVAL 1 DAY AS ingested_at
   FROM hashed
 ),
-landed AS (
+landed AS MATERIALIZED (
   SELECT nullif(trade_id, '') AS trade_id,
     TRY_CAST(nullif(instrument_id, '') AS INTEGER) AS instrument_id,
     nullif(side, '') AS side,
@@ -119,14 +131,14 @@ instrument AS (
     'USD' AS currency
   FROM part WHERE p_partkey % 97 <> 5
 ),
-known AS (SELECT DISTINCT instrument_id AS k FROM instrument WHERE instrument_id IS NOT NULL),
-trade AS ({_latest("landed")}),
+known AS MATERIALIZED (SELECT DISTINCT instrument_id AS k FROM instrument WHERE instrument_id IS NOT NULL),
+trade AS MATERIALIZED ({_latest("landed")}),
 flagged AS ({_flagged("landed")}),
 stored AS ({_flagged("trade")}),
 valid AS (SELECT {", ".join(_TRADE_COLUMNS)} FROM stored WHERE NOT {_BROKEN}),
-first_batch AS ({_latest("landed", f"ingested_at < {_SPLIT}")}),
-second_batch AS ({_latest("landed", f"ingested_at >= {_SPLIT}")}),
-loaded AS (
+first_batch AS MATERIALIZED ({_latest("landed", f"ingested_at < {_SPLIT}")}),
+second_batch AS MATERIALIZED ({_latest("landed", f"ingested_at >= {_SPLIT}")}),
+loaded AS MATERIALIZED (
   SELECT * FROM first_batch WHERE trade_id NOT IN (SELECT trade_id FROM second_batch)
   UNION ALL SELECT * FROM second_batch
 ),
@@ -207,6 +219,7 @@ def _quarantine(source: str, run: str, time: str) -> str:
     )
 
 
+_LACKING = "(CAST(substr(trade_id, 2) AS BIGINT) % 101 = 0)"
 _FIRST = ("run-a", "2001-11-30 06:00:00")
 _SECOND = ("run-b", "2001-12-01 06:00:00")
 
@@ -280,10 +293,7 @@ FROM ({_report()})"""
 
 
 def _catalog() -> str:
-    texts = " ".join(
-        "WHEN '{}' THEN '{}'".format(r.name, r.description.replace("'", "''"))
-        for r in trade_rules()
-    )
+    texts = " ".join(f"WHEN '{name}' THEN '{text}'" for name, text in _DESCRIPTION.items())
     return (
         f"SELECT position, rule, category, scope, CASE rule {texts} END AS description, "
         f"failing_rows FROM ({_report()})"
@@ -323,9 +333,28 @@ def oracle_sql() -> dict[str, str]:
         "typed_feed": "SELECT * FROM landed",
         "collapse_retries": "SELECT * FROM trade",
         "incremental_load": (
-            "SELECT * FROM landed WHERE executed_at IS NULL OR executed_at > "
+            "SELECT * FROM landed WHERE executed_at IS NULL OR executed_at >= "
             f"(SELECT max(executed_at) FROM landed WHERE ingested_at < {_SPLIT})"
         ),
+        "late_rows": (
+            "SELECT source_file, count(*) AS late_rows, min(executed_at) AS oldest FROM landed "
+            f"WHERE executed_at < (SELECT max(executed_at) FROM landed WHERE ingested_at < {_SPLIT}) "
+            "GROUP BY source_file"
+        ),
+        "load_balance": (
+            "SELECT count(*) AS rows_in, count(DISTINCT id) AS rows_upserted, "
+            "count(id) - count(DISTINCT id) AS rows_superseded, "
+            "count(*) - count(id) AS rows_unkeyed, count(DISTINCT CASE WHEN id NOT IN "
+            "(SELECT trade_id FROM first_batch) THEN id END) AS rows_new "
+            f"FROM (SELECT CASE WHEN NOT {_LACKING} THEN trade_id END AS id FROM landed "
+            f"WHERE ingested_at >= {_SPLIT})"
+        ),
+        "unkeyed_rejected": (
+            "SELECT DISTINCT CAST(NULL AS VARCHAR) AS trade_id, instrument_id, side, quantity, price, "
+            f"executed_at, source_file, concat_ws(',', nullif({_REASONS}, ''), 'trade_id_present') "
+            f"AS reasons, '{_FIRST[0]}' AS run_id, TIMESTAMP '{_FIRST[1]}' AS rejected_at "
+            f"FROM flagged WHERE {_LACKING}"
+        ),
         "trade_upsert": "SELECT * FROM loaded",
         "feed_watermark": (
             "SELECT source_file, max(executed_at) AS high_watermark FROM landed "
@@ -334,6 +363,11 @@ def oracle_sql() -> dict[str, str]:
         "rule_report": _report(),
         "rule_report_loaded": _report("stored", _STALE_AS_OF),
         "rule_report_drifted": _drifted(),
+        "rule_report_clashing": (
+            "SELECT position, rule, category, scope, success AND rule <> 'schema_unchanged' AS success, "
+            "CASE WHEN rule = 'schema_unchanged' THEN 3 ELSE failing_rows END AS failing_rows, "
+            f"rows_checked FROM ({_report()})"
+        ),
         "rule_catalog": _catalog(),
         "rule_labels": (
             "SELECT trade_id, instrument_id, side, quantity, price, executed_at, "
@@ -359,18 +393,20 @@ def oracle_sql() -> dict[str, str]:
             f"bool_and(success) AS success FROM ({_report()}) GROUP BY category"
         ),
         "rule_agreement": (
-            "SELECT rule, failing_rows AS reported, failing_rows AS quarantined, true AS agree "
-            f"FROM ({_report(rules=list(_ROW_RULES))})"
+            "SELECT r.rule, r.failing_rows AS reported, coalesce(c.n, 0) AS quarantined, "
+            "r.failing_rows = coalesce(c.n, 0) AS agree "
+            f"FROM ({_report(rules=list(_ROW_RULES))}) r "
+            f"LEFT JOIN ({_counts('flagged')}) c ON c.reason = r.rule"
         ),
         "quarantine_rows": _quarantine("trade", *_FIRST),
         "quarantine_upsert": (
-            f"SELECT * FROM ({_quarantine('first_batch', *_FIRST)}) a WHERE trade_id NOT IN "
-            f"(SELECT trade_id FROM ({_quarantine('loaded', *_SECOND)})) "
+            f"SELECT * FROM ({_quarantine('first_batch', *_FIRST)}) a WHERE NOT EXISTS "
+            f"(SELECT 1 FROM ({_quarantine('loaded', *_SECOND)}) b WHERE b.trade_id = a.trade_id) "
             f"UNION ALL {_quarantine('loaded', *_SECOND)}"
         ),
         "current_rejected": (
-            f"SELECT * FROM ({_quarantine('first_batch', *_FIRST)}) a WHERE trade_id NOT IN "
-            f"(SELECT trade_id FROM ({_quarantine('second_batch', *_SECOND)})) "
+            f"SELECT * FROM ({_quarantine('first_batch', *_FIRST)}) a WHERE NOT EXISTS "
+            f"(SELECT 1 FROM ({_quarantine('second_batch', *_SECOND)}) b WHERE b.trade_id = a.trade_id) "
             f"UNION ALL {_quarantine('second_batch', *_SECOND)}"
         ),
         "valid_trades": f"SELECT {trade_columns} FROM valid",
@@ -437,6 +473,9 @@ JOIN (SELECT r.run_id, any_value(r.total) AS n, string_agg(c.reason || '=' || CA
       JOIN ({_counts("yearly", tag="run_id, ")}) c ON c.run_id = r.run_id GROUP BY r.run_id) q
   ON q.run_id = v.run_id""",
         "daily_pnl": _DAILY,
+        "daily_refresh": _DAILY.replace(
+            "FROM valid", f"FROM (SELECT * FROM ({_flagged('loaded')}) WHERE NOT {_BROKEN})"
+        ),
         "daily_pnl_by_asset_class": f"""
 SELECT trade_date, asset_class, trades, buy_qty, sell_qty, gross_notional, net_cash,
   CAST(buy_qty - sell_qty AS DECIMAL(28,4)) AS net_qty

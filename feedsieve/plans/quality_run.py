@@ -15,7 +15,8 @@ from pyspark.sql import functions as F
 
 from feedsieve.functions.text import outcome_line, quarantine_line
 from feedsieve.operators.labels import References, any_failure, rule_flags
-from feedsieve.operators.pnl import daily_pnl
+from feedsieve.operators.partitions import touched_partitions
+from feedsieve.operators.pnl import daily_pnl, trade_date
 from feedsieve.operators.quarantine import quarantine, quarantine_result
 from feedsieve.operators.report import rule_report, verdict
 from feedsieve.rules import Rule, trade_rules
@@ -27,18 +28,34 @@ NEVER = "never"
 
 
 def refresh_daily(
-    trades: DataFrame, references: References | None, path: str, rules: Sequence[Rule] | None = None
-) -> None:
-    """Recompute the daily aggregate of the days in ``trades`` from its valid rows.
-
-    The table is partitioned by day and only the days present are replaced, so
-    passing the days a load touched refreshes those alone. A day and instrument
-    left without a valid trade is stored with none, or its former row would stay.
+    trades: DataFrame,
+    references: References | None,
+    path: str,
+    rules: Sequence[Rule] | None = None,
+    days: DataFrame | None = None,
+) -> int:
+    """Recompute the daily aggregate of some days from their valid trades.
+
+    ``days`` are those a load touched, old and new ones (``pnl.touched_days``); without it,
+    all days in ``trades``. The table is partitioned by day and only these are
+    replaced. A day and instrument left without a valid trade is stored with none, or its
+    former row would stay. Valid trades without a day are in no partition: their number is returned.
     """
     rules = trade_rules() if rules is None else rules
+    if days is not None:
+        trades = touched_partitions(
+            trades.withColumn("trade_date", trade_date()), days, "trade_date"
+        ).drop("trade_date")
     marked, flags = rule_flags(trades, references, rules)
-    daily = daily_pnl(marked, f"NOT {any_failure(flags)}")
-    write_by_day(daily.where(F.col("trade_date").isNotNull()), path)
+    valid = f"NOT {any_failure(flags)}"
+    daily = daily_pnl(marked, valid).where(F.col("trade_date").isNotNull())
+    if days is not None:
+        empty = days.where("trade_date IS NOT NULL").select("trade_date").distinct()
+        empty = empty.join(daily.select("trade_date").distinct(), "trade_date", "left_anti")
+        daily = daily.unionByName(empty.withColumn("trades", F.lit(0).cast("long")), True)
+    write_by_day(daily, path)
+    undated = marked.where(valid).where(trade_date().isNull())
+    return undated.count()
 
 
 def read_daily(spark: SparkSession, path: str) -> DataFrame:
@@ -106,6 +123,8 @@ def run_quality(
     broken = any(r["scope"] == "row" and r["failing_rows"] for r in found)
     if wanted and broken:
         tables.write_rejected(quarantine(trades, references, rules, run_id, F.lit(stamp)))
+    elif wanted:
+        tables.clear_rejected(run_id)  # a repeat replaces what the run rejected before
     line = quarantine_line(F.col("rows_rejected"), F.col("reason_counts"))
     counted = quarantine_result(tables.rejected(run_id), rules)
     row = counted.withColumn("summary", line).first()

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from feedsieve.functions.text import outcome_line, quarantine_line
 from feedsieve.operators import labels, load, partitions, pnl, quarantine, report, runs, upsert
 from feedsieve.plans import tables as T
-from feedsieve.rules import Rule, positive, predicate, row_rules, trade_rules
+from feedsieve.rules import KEY_PRESENT, Rule, positive, predicate, row_rules, trade_rules
 from feedsieve.schemas import TRADE_COLUMNS
 from feedsieve.sources.readers import read_query
 
@@ -67,9 +67,41 @@ def collapse_retries(spark: SparkSession, d: str) -> DataFrame:
 
 
 def incremental_load(spark: SparkSession, d: str) -> DataFrame:
-    loaded = T.landed(spark, d).where(F.col("ingested_at") < _time(SECOND_BATCH_FROM))
     arrived = load.typed_feed(T.feed(spark, d), T.NTZ)
-    return load.newer_than(arrived, load.high_watermark(loaded).scalar())
+    return load.newer_than(arrived, _stored_mark(spark, d))
+
+
+def _stored_mark(spark: SparkSession, d: str) -> Column:
+    """The mark that the first batch left in ``etl_watermark``."""
+    loaded = T.landed(spark, d).where(F.col("ingested_at") < _time(SECOND_BATCH_FROM))
+    return load.high_watermark(load.source_watermarks(loaded), "high_watermark").scalar()
+
+
+def late_rows(spark: SparkSession, d: str) -> DataFrame:
+    return load.late_rows(T.landed(spark, d), _stored_mark(spark, d))
+
+
+def _nameless(feed: DataFrame) -> DataFrame:
+    """The feed with some ids missing."""
+    lacking = F.substring("trade_id", 2, 20).cast("long") % 101 == 0
+    return feed.withColumn("trade_id", F.when(~lacking, F.col("trade_id")).otherwise(F.lit("")))
+
+
+def load_balance(spark: SparkSession, d: str) -> DataFrame:
+    first, _ = _batches(T.landed(spark, d))
+    later = T.feed(spark, d).where(F.col("ingested_at") >= _time(SECOND_BATCH_FROM))
+    return load.load_balance(first, _nameless(later), T.NTZ)
+
+
+def unkeyed_rejected(spark: SparkSession, d: str) -> DataFrame:
+    """Quarantine of a loaded feed in which ids are missing."""
+    empty = T.landed(spark, d).limit(0)
+    loaded = load.load_trades(empty, _nameless(T.feed(spark, d)), timestamp=T.NTZ)
+    rules = [*RULES, KEY_PRESENT]
+    records = quarantine.quarantine(
+        loaded, T.instruments(spark, d), rules, FIRST_RUN, _time(FIRST_TIME)
+    )
+    return _joined(quarantine.current_rejected(records).where("trade_id IS NULL"))
 
 
 def trade_upsert(spark: SparkSession, d: str) -> DataFrame:
@@ -156,6 +188,13 @@ def feed_freshness_stale(spark: SparkSession, d: str) -> DataFrame:
     return report.feed_freshness(T.landed(spark, d), BY_NAME["feed_is_fresh"], STALE_AS_OF)
 
 
+def rule_report_clashing(spark: SparkSession, d: str) -> DataFrame:
+    """Input with columns named like those a run adds."""
+    landed, instruments = _both(spark, d)
+    clashing = landed.selectExpr("*", "side AS run_id", "price AS reasons", "quantity AS rejected_at")
+    return report.rule_report(clashing, instruments, RULES, AS_OF).drop("description", "observed")
+
+
 def schema_drift(spark: SparkSession, d: str) -> DataFrame:
     drifted = (
         T.landed(spark, d)
@@ -356,6 +395,19 @@ def daily_pnl(spark: SparkSession, d: str) -> DataFrame:
     return pnl.daily_pnl(_valid(spark, d))
 
 
+def daily_refresh(spark: SparkSession, d: str) -> DataFrame:
+    """Daily figures after a second batch, recomputed for the days it touched."""
+    landed, instruments = _both(spark, d)
+    first, second = _batches(landed)
+    loaded = upsert.upsert(first, second, ["trade_id"])
+    days = pnl.touched_days(first, loaded)
+    before = pnl.daily_pnl(labels.valid_rows(first, instruments, RULES))
+    dated = loaded.withColumn("trade_date", pnl.trade_date())
+    again = partitions.touched_partitions(dated, days, "trade_date").drop("trade_date")
+    fresh = pnl.daily_pnl(labels.valid_rows(again, instruments, RULES))
+    return pnl.replace_days(before, fresh, days)
+
+
 def daily_pnl_by_asset_class(spark: SparkSession, d: str) -> DataFrame:
     return pnl.daily_pnl_by(_valid(spark, d), T.instruments(spark, d))
 
@@ -415,11 +467,15 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         typed_feed,
         collapse_retries,
         incremental_load,
+        late_rows,
+        load_balance,
+        unkeyed_rejected,
         trade_upsert,
         feed_watermark,
         rule_report,
         rule_report_loaded,
         rule_report_drifted,
+        rule_report_clashing,
         rule_catalog,
         rule_labels,
         rule_trade_id_unique,
@@ -449,6 +505,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         run_details,
         run_summary,
         daily_pnl,
+        daily_refresh,
         daily_pnl_by_asset_class,
         daily_position,
         coverage_gap,

@@ -186,6 +186,10 @@ def trade_rules(freshness_days: int = 400) -> list[Rule]:
     ]
 
 
+# Beside the twelve: for feeds in which ids can be missing.
+KEY_PRESENT = not_null("trade_id_present", "trade_id", "Every trade has an id.")
+
+
 def row_rules(rules: Iterable[Rule]) -> list[Rule]:
     """The rules whose offenders can be quarantined."""
     return [r for r in rules if r.quarantinable]

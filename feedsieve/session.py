@@ -1,10 +1,8 @@
-"""Session settings and lineage cutting."""
+"""Session settings."""
 
 from __future__ import annotations
 
-import tempfile
-
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import SparkSession
 
 # Settings the jobs are written for. Shuffle partitions are left to the cluster;
 # adaptive execution merges small ones and splits skewed ones.
@@ -32,21 +30,3 @@ def local_session(
     for name, value in {**RECOMMENDED, **settings}.items():
         builder = builder.config(name, value)
     return builder.getOrCreate()
-
-
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """Write ``df`` to the checkpoint folder and go on from the stored rows.
-
-    The folder is the shared one the cluster names in ``spark.checkpoint.dir``.
-    Only a local session without that setting falls back to a folder of its own.
-    """
-    spark = df.sparkSession
-    context = spark.sparkContext
-    if context.getCheckpointDir() is None:
-        shared = spark.conf.get("spark.checkpoint.dir", None)
-        if shared is None:
-            if not context.master.startswith("local"):
-                raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-            shared = tempfile.mkdtemp(prefix="feedsieve-checkpoint-")
-        context.setCheckpointDir(shared)
-    return df.checkpoint()

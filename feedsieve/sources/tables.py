@@ -66,6 +66,16 @@ class QualityTables:
         """Empty the owned tables. Other tables are never touched."""
         self._write_empty("overwrite")
 
+    def drop(self) -> None:
+        """Remove the owned tables with their folders."""
+        for name in self._layouts:
+            self._delete(self.path(name))
+
+    def _delete(self, path: str) -> bool:
+        folder = self.spark._jvm.org.apache.hadoop.fs.Path(path)
+        system = folder.getFileSystem(self.spark._jsc.hadoopConfiguration())
+        return system.delete(folder, True)
+
     def _write_empty(self, mode: str) -> None:
         for name, (schema, partitions) in self._layouts.items():
             (
@@ -86,8 +96,8 @@ class QualityTables:
     def write_rejected(self, rejected: DataFrame) -> None:
         """Store the records of one or more runs, replacing those runs only.
 
-        A run that rejects nothing writes no partition and leaves an older one
-        of the same run in place. Rebalancing sizes the files: the few failing
+        A run that rejects nothing writes no partition; ``clear_rejected`` removes
+        an older one of the same run. Rebalancing sizes the files: the few failing
         rows of many scan tasks would otherwise become as many tiny files.
         """
         (
@@ -98,6 +108,12 @@ class QualityTables:
             .parquet(self.path("rejected_trades"))
         )
 
+    def clear_rejected(self, run_id: str) -> None:
+        """Remove the records of a run that, repeated, rejects nothing."""
+        if not self.rejected(run_id).isEmpty():
+            name = self.spark._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils
+            self._delete(f"{self.path('rejected_trades')}/run_id={name.escapePathName(run_id)}")
+
     def rejected(self, run_id: str | None = None) -> DataFrame:
         """Records of all runs, or of one by partition pruning."""
         records = self._read("rejected_trades")

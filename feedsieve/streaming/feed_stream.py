@@ -34,7 +34,10 @@ def check_arrivals(
     """Check everything that has arrived since the last call, then stop."""
 
     def check(rows: DataFrame, batch_id: int) -> None:
-        trades = collapse_retries(typed_feed(rows))
+        # Read several times below; a stored batch is merged and typed once.
+        path = f"{tables.path('arrivals')}/{name}-{batch_id}"
+        collapse_retries(typed_feed(rows)).write.mode("overwrite").parquet(path)
+        trades = rows.sparkSession.read.parquet(path)
         run_quality(
             trades,
             references,

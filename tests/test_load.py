@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from feedsieve.operators import load as L
-from feedsieve.operators.upsert import insert_absent, upsert
+from feedsieve.operators.upsert import upsert
 from feedsieve.schemas import trade_schema
 from feedsieve.sources.readers import read_feed, read_table
 
@@ -12,14 +12,14 @@ from .conftest import NOW, as_dict, row
 
 
 def test_empty_text_becomes_null(feed):
-    typed = L.typed_feed(feed(row("A", "", "", "", "", ""))).first()
+    typed = L.typed_feed(feed(row("A", instrument_id="", side="", quantity="", price="", executed_at=""))).first()
     assert (typed.instrument_id, typed.side, typed.quantity, typed.price, typed.executed_at) == (
         None,
     ) * 5
 
 
 def test_unparseable_text_becomes_null_and_spaces_are_kept(feed):
-    typed = L.typed_feed(feed(row("A", "1x", " BUY", "many", "1e400", "2024-13-01"))).first()
+    typed = L.typed_feed(feed(row("A", instrument_id="1x", side=" BUY", quantity="many", price="1e400", executed_at="2024-13-01"))).first()
     assert typed.side == " BUY"
     assert (typed.instrument_id, typed.quantity, typed.price, typed.executed_at) == (None,) * 4
 
@@ -73,27 +73,49 @@ def test_newer_than_keeps_rows_without_a_time(load):
         row("NONE", executed_at=""),
     )
     mark = F.lit(dt.datetime(2024, 4, 2))
-    assert {r.trade_id for r in L.newer_than(trades, mark).collect()} == {"NEW", "NONE"}
+    assert {r.trade_id for r in L.newer_than(trades, mark).collect()} == {"AT", "NEW", "NONE"}
     assert L.newer_than(trades, None).count() == 4
 
 
 def test_incremental_load_skips_what_is_loaded(spark, load, feed):
-    existing = load(row("A", price="1", executed_at="2024-04-02"))
+    existing = load(row("A", price="1", executed_at="2024-04-01"), row("Z", executed_at="2024-04-02"))
     batch = feed(
-        row("A", price="2", executed_at="2024-04-02"),
+        row("A", price="2", executed_at="2024-04-01"),
+        row("AT", executed_at="2024-04-02"),
         row("B", executed_at="2024-04-03"),
         row("C", executed_at=""),
     )
-    after = L.load_trades(existing, batch)
-    assert {k: float(v) for k, v in as_dict(after, "trade_id", "price").items()} == {
-        "A": 1.0,
-        "B": 10.0,
-        "C": 10.0,
-    }
-    whole = L.load_trades(existing, batch, incremental=False)
+    marks = L.source_watermarks(existing)
+    for after in (
+        L.load_trades(existing, batch, incremental=True),
+        L.load_trades(existing, batch, incremental=True, marks=marks),
+    ):
+        prices = as_dict(after, "trade_id", "price")
+        assert set(prices) == {"A", "Z", "AT", "B", "C"}
+        assert float(prices["A"]) == 1.0
+    late = L.late_rows(L.typed_feed(batch), L.high_watermark(marks, "high_watermark").scalar())
+    assert as_dict(late, "source_file", "late_rows") == {"feed.csv": 1}
+    whole = L.load_trades(existing, batch)
     assert float(as_dict(whole, "trade_id", "price")["A"]) == 2.0
 
 
+def test_every_row_of_a_load_is_accounted_for(load, feed):
+    existing = load(row("A"), row("B"))
+    batch = feed(row("A", price="3"), row("A"), row("C"), row(None), row("", price="4"))
+    found = L.load_balance(existing, batch).first().asDict()
+    assert found == {
+        "rows_in": 5,
+        "rows_upserted": 2,
+        "rows_superseded": 1,
+        "rows_unkeyed": 2,
+        "rows_new": 1,
+    }
+    once = L.load_trades(existing, batch)
+    assert once.where("trade_id IS NULL").count() == 2
+    again = L.load_trades(once, batch)
+    assert sorted(map(str, again.collect())) == sorted(map(str, once.collect()))
+
+
 def test_incremental_load_into_an_empty_table(spark, feed):
     empty = spark.createDataFrame([], trade_schema())
     assert L.load_trades(empty, feed(row("A"), row("B", executed_at=""))).count() == 2
@@ -105,12 +127,13 @@ def test_reloading_a_snapshot_is_harmless(load, feed):
     assert sorted(map(str, again.collect())) == sorted(map(str, existing.collect()))
 
 
-def test_upsert_replaces_adds_and_drops_rows_without_a_key(spark):
+def test_upsert_replaces_adds_and_keeps_rows_without_a_key(spark):
     schema = "k string, v int"
     old = spark.createDataFrame([("a", 1), ("b", 2)], schema)
     new = spark.createDataFrame([("b", 3), ("c", 4), (None, 5)], schema)
-    assert as_dict(upsert(old, new, ["k"]), "k", "v") == {"a": 1, "b": 3, "c": 4}
-    assert as_dict(insert_absent(old, new, ["k"]), "k", "v") == {"a": 1, "b": 2, "c": 4}
+    after = upsert(old, new, ["k"])
+    assert as_dict(after, "k", "v") == {"a": 1, "b": 3, "c": 4, None: 5}
+    assert upsert(after, new, ["k"]).count() == 4
 
 
 def test_watermarks_never_move_back(load):

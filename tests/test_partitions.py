@@ -74,10 +74,10 @@ def test_touched_partitions_prune_folders(spark, feed, tmp_path):
         row("C", executed_at="2024-04-03"),
     ).write.partitionBy("trade_date").parquet(path)
     table = spark.read.parquet(path)
-    only = table.where(F.col("trade_date").isin("2024-04-02"))
-    text = only._jdf.queryExecution().executedPlan().toString()
-    assert re.search(r"PartitionFilters: \[[^\]]*\(trade_date", text)
     touched = table.where("trade_id = 'B'").select("trade_date")
+    scoped = P.touched_partitions(table, touched, "trade_date")
+    text = scoped._jdf.queryExecution().executedPlan().toString()
+    assert re.search(r"PartitionFilters: \[[^\]]*dynamicpruning", text)
     assert [r.trade_id for r in P.touched_partitions(table, touched, "trade_date").collect()] == [
         "B"
     ]

@@ -19,12 +19,15 @@ def test_good_rows_are_left_alone(load, instruments):
     assert reasons(load(row("G1"), row("G2")), instruments) == {}
 
 
-def test_one_bad_row_does_not_cost_the_batch(load, instruments):
-    trades = load(row("G1"), row("BAD", price=""), row("G2"))
-    assert reasons(trades, instruments) == {"BAD": ["price_present"]}
+def test_valid_and_rejected_rows_part_the_batch(load, instruments):
+    sound = [row(f"s{i}", quantity=i) for i in range(1, 5)]
+    trades = load(*sound, row("short", quantity=-9), row("nowhere", instrument_id=31))
+    assert reasons(trades, instruments) == {
+        "short": ["quantity_positive"],
+        "nowhere": ["instrument_exists"],
+    }
     valid = labels.valid_rows(trades, instruments, RULES)
-    assert {r.trade_id for r in valid.collect()} == {"G1", "G2"}
-    assert trades.count() == 3
+    assert {r.trade_id for r in valid.collect()} == {"s1", "s2", "s3", "s4"}
 
 
 def test_every_reason_is_recorded_in_declaration_order(load, instruments):
@@ -178,19 +181,39 @@ def test_fully_repaired_row_keeps_its_old_record(load, instruments):
 
 
 def test_reason_counts_and_totals(load, instruments):
-    trades = load(
-        row("N1", price=""), row("N2", price=""), row("Q1", quantity=0), row("OK", price="12.00")
-    )
+    lines = [row(f"cheap-{i}", price=f"-{i}") for i in range(1, 6)]
+    lines += [row(f"lost-{i}", instrument_id=30 + i, side="") for i in range(3)]
+    lines += [row(f"sound-{i}") for i in range(2)]
+    trades = load(*lines)
     rejected = q.quarantine(trades, instruments, RULES, "r1", NOW)
-    expected = {"price_present": 2, "quantity_positive": 1}
+    expected = {"price_positive": 5, "instrument_exists": 3, "side_present": 3}
     assert as_dict(q.reason_counts(rejected), "reason", "n") == expected
-    assert as_dict(q.rows_rejected(rejected), "run_id", "rows_rejected") == {"r1": 3}
+    assert as_dict(q.rows_rejected(rejected), "run_id", "rows_rejected") == {"r1": 8}
     assert q.rows_rejected(rejected, "other").count() == 0
     result = q.quarantine_result(rejected, RULES).first()
-    assert result.rows_rejected == 3
+    assert result.rows_rejected == 8
     assert [(c.reason, c.n) for c in result.reason_counts] == sorted(expected.items())
     split = labels.batch_split(trades, instruments, RULES).first()
-    assert (split.rows_total, split.rows_valid, split.rows_rejected) == (4, 1, 3)
+    assert (split.rows_total, split.rows_valid, split.rows_rejected) == (10, 2, 8)
+
+
+def test_rejected_rows_without_an_id_stay(load, instruments):
+    trades = load(row(None, price=""), row(None, side=""), row("A", price=""))
+    first = q.quarantine(trades, instruments, RULES, "r1", NOW)
+    second = q.quarantine(trades, instruments, RULES, "r2", NOW)
+    current = q.current_rejected(first.unionByName(second))
+    assert current.count() == 3
+    assert {r.run_id for r in current.collect()} == {"r2"}
+    assert q.quarantine_upsert(first, second).count() == 3
+
+
+def test_columns_named_like_those_of_a_record_are_not_copied(load, instruments):
+    trades = load(row("A", price=""), row("B"))
+    for name in ("reasons", "run_id", "rejected_at"):
+        found = q.quarantine(trades.withColumn(name, F.lit("?")), instruments, RULES, "r1", NOW)
+        assert [(r.trade_id, r.reasons, r.run_id) for r in found.collect()] == [
+            ("A", ["price_present"], "r1")
+        ]
 
 
 def test_worst_reason_breaks_ties_by_name(load, instruments):

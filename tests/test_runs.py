@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from feedsieve.operators import runs as R
 from feedsieve.operators.labels import valid_rows
-from feedsieve.operators.pnl import daily_pnl
+from feedsieve.operators.pnl import daily_pnl, touched_days
 from feedsieve.plans.quality_run import read_daily, refresh_daily, run_quality
 from feedsieve.rules import trade_rules
 from feedsieve.schemas import rejected_schema, run_schema
@@ -182,7 +182,8 @@ def test_daily_refresh_equals_the_daily_query(spark, load, instruments, tmp_path
     assert sorted(map(str, got.collect())) == sorted(map(str, expected.collect()))
 
 
-def test_clean_rows_are_not_read_for_quarantine(tables, load, instruments):
+def test_clean_rows_start_no_quarantine(tables, load, instruments, monkeypatch):
+    monkeypatch.setattr(tables, "write_rejected", lambda rows: pytest.fail("nothing to copy"))
     outcome = run_quality(
         load(row("A"), row("B")), instruments, tables, as_of=AS_OF, now=NOW
     )
@@ -190,6 +191,35 @@ def test_clean_rows_are_not_read_for_quarantine(tables, load, instruments):
     assert tables.rejected().count() == 0
 
 
+def test_a_repeated_run_replaces_what_it_rejected(tables, load, instruments):
+    at = {"run_id": "again", "as_of": AS_OF, "now": NOW}
+    assert run_quality(load(row("A", price="")), instruments, tables, **at).rows_rejected == 1
+    repeated = run_quality(load(row("A")), instruments, tables, **at)
+    assert (repeated.success, repeated.rows_rejected) == (True, 0)
+    assert tables.rejected("again").count() == 0
+    # Both finished at the same time: the failure stays on record.
+    assert [r.status for r in tables.recent_runs().collect()] == ["failed"]
+
+
+def test_a_moved_trade_leaves_its_old_day(spark, load, instruments, tmp_path):
+    path = str(tmp_path / "daily")
+    before = load(row("A", executed_at="2024-04-01"), row("B", executed_at="2024-04-02"))
+    after = load(row("A", executed_at="2024-04-03"), row("B", executed_at="2024-04-02"))
+    refresh_daily(before, instruments, path)
+    days = touched_days(before, after)
+    assert {str(r.trade_date) for r in days.collect()} == {"2024-04-01", "2024-04-03"}
+    refresh_daily(after, instruments, path, days=days)
+    found = {str(r.trade_date): r.trades for r in read_daily(spark, path).collect()}
+    assert found == {"2024-04-02": 1, "2024-04-03": 1}
+
+
+def test_dropped_tables_are_gone_and_can_be_made_again(tables, load, instruments):
+    run_quality(load(row("A")), instruments, tables, as_of=AS_OF, now=NOW)
+    tables.drop()
+    tables.ensure()
+    assert tables.runs().count() == 0
+
+
 def test_unknown_routing_is_an_error(tables, load, instruments):
     with pytest.raises(ValueError, match="quarantine_when"):
         run_quality(load(row("A")), instruments, tables, quarantine_when="perhaps")
