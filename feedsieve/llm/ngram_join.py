@@ -40,13 +40,14 @@ from feedsieve.llm.shingles import shingle_sets
 
 WIDTH = 5
 PERCENT = 80
-GROUPS = 128
+GROUPS = 64
 SAMPLE_DOCS = 4_000
 FREQUENT = 50_000
 FREQUENT_IN = 3  # of the sampled documents
 BLOCK = 2_048
 NODE = 16
 SLICE_BYTES = 2 << 20
+BROADCAST_IDS = 1_000_000  # of eight bytes each; more are joined by a shuffle
 VECTOR = T.BinaryType()
 
 
@@ -177,7 +178,10 @@ def shapes(texts: DataFrame, width: int, percent: int, frequent: np.ndarray | No
                     for s in sets:
                         n = len(s)
                         length = n - -(-percent * n // 100) + 1 if n else 0
-                        common = np.isin(s, frequent, kind="sort") if len(frequent) else np.zeros(n, bool)
+                        common = np.zeros(n, bool)
+                        if len(frequent):
+                            near = np.minimum(np.searchsorted(frequent, s), len(frequent) - 1)
+                            common = frequent[near] == s
                         first = np.concatenate((s[~common], s[common]))[:length]
                         keys.append(first.view(np.int64))
                     columns.append(pa.array(keys, pa.list_(pa.int64())))
@@ -246,7 +250,9 @@ def bounded(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
 
 def verified(pairs: DataFrame, texts: DataFrame, width: int, percent: int) -> DataFrame:
     """The pairs (a, b) whose whole texts reach the threshold."""
-    asked = pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct()
+    asked = stored(pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct(), "asked")
+    if asked.count() <= BROADCAST_IDS:
+        asked = F.broadcast(asked)
     wanted = texts.join(asked, "id", "left_semi").dropDuplicates(["id"])
     left = wanted.select(F.col("id").alias("a"), F.col("text").alias("text_a"))
     right = wanted.select(F.col("id").alias("b"), F.col("text").alias("text_b"))
@@ -292,13 +298,11 @@ def unconnected_pairs(members: DataFrame, percent: int, block: int = BLOCK) -> D
         F.least("own", "met").alias("i"), F.greatest("own", "met").alias("j"),
     )
 
-    def search(table: pa.Table) -> pa.Table:
-        i, j = table.column("i")[0].as_py(), table.column("j")[0].as_py()
-        ids = table.column("id").to_numpy()
-        component = table.column("component").to_numpy()
-        sizes = table.column("n").to_numpy()
-        own = table.column("own").to_numpy()
-        vectors = np.frombuffer(b"".join(table.column("vec").to_pylist()), np.uint8).reshape(-1, GROUPS)
+    def search(i: int, j: int, group: pa.Table) -> tuple[np.ndarray, np.ndarray]:
+        ids, component, sizes, own = (
+            group.column(c).to_numpy() for c in ("id", "component", "n", "own")
+        )
+        vectors = np.frombuffer(b"".join(group.column("vec").to_pylist()), np.uint8).reshape(-1, GROUPS)
         a, b = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
         sides = [np.flatnonzero(own == s) for s in dict.fromkeys((i, j))]
         if all(len(s) for s in sides):
@@ -309,9 +313,39 @@ def unconnected_pairs(members: DataFrame, percent: int, block: int = BLOCK) -> D
                 a.append(ids[p[apart]])
                 b.append(ids[q[apart]])
         a, b = np.concatenate(a), np.concatenate(b)
-        return pa.table({"a": np.minimum(a, b), "b": np.maximum(a, b)})
+        return np.minimum(a, b), np.maximum(a, b)
 
-    return spread.groupBy("key", "i", "j").applyInArrow(search, "a long, b long").distinct()
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Sorted by key and blocks; a group, of two blocks at most, may go on in the next batch."""
+        rest: pa.Table | None = None
+
+        def found(table: pa.Table) -> pa.RecordBatch:
+            marks = np.stack([table.column(c).to_numpy() for c in ("key", "i", "j")])
+            edges = np.flatnonzero((marks[:, 1:] != marks[:, :-1]).any(0)) + 1
+            cuts = [0, *edges.tolist(), table.num_rows]
+            pairs = [
+                search(int(marks[1, x]), int(marks[2, x]), table.slice(x, y - x))
+                for x, y in zip(cuts, cuts[1:], strict=False)
+                if y - x > 1
+            ]
+            none = [(np.zeros(0, np.int64),) * 2]
+            both = np.unique(np.concatenate([np.stack(p) for p in pairs + none], 1), axis=1)
+            return pa.RecordBatch.from_arrays([pa.array(both[0]), pa.array(both[1])], names=["a", "b"])
+
+        for batch in batches:
+            table = pa.Table.from_batches([batch])
+            if rest is not None:
+                table = pa.concat_tables([rest, table]).combine_chunks()
+            marks = np.stack([table.column(c).to_numpy() for c in ("key", "i", "j")])
+            done = int((marks != marks[:, -1:]).any(0).sum()) if table.num_rows else 0
+            if done:
+                yield found(table.slice(0, done))
+            rest = table.slice(done)
+        if rest is not None and rest.num_rows:
+            yield found(rest)
+
+    together = spread.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j")
+    return together.mapInArrow(run, "a long, b long").distinct()
 
 
 def near_components(
@@ -335,12 +369,30 @@ def near_components(
     links = stored(verified(near, texts, width, percent), "links")
     component = smallest_reachable(links)
 
-    known = shared.select("key", "id", "m").join(component, "id", "left").withColumn(
-        "component", F.coalesce("component", "id")
+    # The smallest of a key has met all others; among these, some may not be connected.
+    known = (
+        shared.where("m > 2 AND id <> head")
+        .select("key", "id", "m")
+        .join(component, "id", "left")
+        .withColumn("component", F.coalesce("component", "id"))
+    )
+    split = (
+        known.groupBy("key")
+        .agg(
+            F.min("component").alias("low"),
+            F.max("component").alias("high"),
+            F.struct(
+                F.count(F.lit(1)),
+                F.bit_xor(F.xxhash64(F.lit(1), F.col("id"))),
+                F.bit_xor(F.xxhash64(F.lit(2), F.col("id"))),
+            ).alias("members"),
+        )
+        .where("low <> high")
+        # Of keys with the same members, one will do.
+        .groupBy("members")
+        .agg(F.min("key").alias("key"))
+        .select("key")
     )
-    split = known.groupBy("key").agg(
-        F.min("component").alias("low"), F.max("component").alias("high")
-    ).where("low <> high").select("key")
     members = known.join(split, "key", "left_semi").join(classes.select("id", "n", "vec"), "id")
     rest = stored(unconnected_pairs(members, percent), "rest")
     tried = near.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))

@@ -36,7 +36,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from feedsieve.llm.common import slices, whole_text
+from feedsieve.llm.common import slices, stored, whole_text
 from feedsieve.llm.deep_shallow import common_prefix, deep_shallow_order
 
 LENGTH = 200
@@ -287,7 +287,8 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH, giant: int = GIANT) ->
         .where("n > 1")
         .select("gram", (F.col("least") != F.col("most")).alias("mixed"), (F.col("n") > giant).alias("large"))
     )
-    shared = rows.join(grams, "gram")
+    # Read several times from here on.
+    shared = stored(rows.join(grams, "gram"), "anchors")
     # One copy of each segment of the grams that have several.
     kinds = (
         shared.where("mixed")
@@ -314,15 +315,18 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH, giant: int = GIANT) ->
         .sortWithinPartitions("gram", "seg")
         .mapInArrow(compare, "gram long, seg long, low int, high int")
     )
-    exploded = cut.where("large").select("gram", "seg", "left", "right").mapInArrow(
-        windows, "gram long, seg long, low int, window binary"
-    )
-    twice = exploded.groupBy("window").agg(F.min("seg").alias("a"), F.max("seg").alias("b")).where("a <> b")
-    split = exploded.join(twice, "window", "left_semi").select("gram", "seg", "low", F.col("low").alias("high"))
-    offsets = (
-        ordinary.unionByName(split)
-        .groupBy("gram", "seg")
-        .agg(F.collect_list(F.struct("low", "high")).alias("ranges"))
+    if not shared.where("mixed AND large").isEmpty():
+        exploded = cut.where("large").select("gram", "seg", "left", "right").mapInArrow(
+            windows, "gram long, seg long, low int, window binary"
+        )
+        twice = exploded.groupBy("window").agg(F.min("seg").alias("a"), F.max("seg").alias("b"))
+        ordinary = ordinary.unionByName(
+            exploded.join(twice.where("a <> b"), "window", "left_semi").select(
+                "gram", "seg", "low", F.col("low").alias("high")
+            )
+        )
+    offsets = ordinary.groupBy("gram", "seg").agg(
+        F.collect_list(F.struct("low", "high")).alias("ranges")
     )
     copied = kinds.where("copies > 1").select("gram", "seg", F.lit(True).alias("copied"))
     place = F.shiftright("at", 16)
