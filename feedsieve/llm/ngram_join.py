@@ -41,6 +41,7 @@ from feedsieve.llm.shingles import shingle_sets
 WIDTH = 5
 PERCENT = 80
 GROUPS = 64
+WIDE_GROUPS = 1024  # for pairs only: long texts need more groups to be told apart
 SAMPLE_DOCS = 4_000
 FREQUENT = 50_000
 FREQUENT_IN = 3  # of the sampled documents
@@ -56,9 +57,9 @@ def needed_overlap(n: np.ndarray, m: np.ndarray, percent: int) -> np.ndarray:
     return -(-(percent * (n + m)) // (100 + percent))
 
 
-def count_vector(hashes: np.ndarray) -> np.ndarray:
+def count_vector(hashes: np.ndarray, groups: int = GROUPS) -> np.ndarray:
     """Shingles by group; a count of 255 stands for any larger one."""
-    counts = np.bincount((hashes >> np.uint64(40)).astype(np.int64) % GROUPS, minlength=GROUPS)
+    counts = np.bincount((hashes >> np.uint64(40)).astype(np.int64) % groups, minlength=groups)
     return np.minimum(counts, 255).astype(np.uint8)
 
 
@@ -159,7 +160,9 @@ def frequent_shingles(texts: DataFrame, width: int = WIDTH, sample: int = SAMPLE
     return np.sort(np.array([r["h"] for r in counted.collect()], np.int64).view(np.uint64))
 
 
-def shapes(texts: DataFrame, width: int, percent: int, frequent: np.ndarray | None) -> DataFrame:
+def shapes(
+    texts: DataFrame, width: int, percent: int, frequent: np.ndarray | None, groups: int = GROUPS
+) -> DataFrame:
     """id, digest of the set, n, vec and, given the order, the keys and whether each is frequent."""
     with_keys = frequent is not None
 
@@ -171,7 +174,7 @@ def shapes(texts: DataFrame, width: int, percent: int, frequent: np.ndarray | No
                     part.column(0),
                     pa.array([xxhash.xxh3_128_digest(s.tobytes()) for s in sets], pa.binary()),
                     pa.array([len(s) for s in sets], pa.int64()),
-                    pa.array([count_vector(s).tobytes() for s in sets], pa.binary()),
+                    pa.array([count_vector(s, groups).tobytes() for s in sets], pa.binary()),
                 ]
                 if with_keys:
                     keys = []
@@ -224,7 +227,7 @@ def postings(texts: DataFrame, width: int, percent: int) -> DataFrame:
     return cold.select("key", "id", "head", "m").unionByName(warm.select("key", "id", "head", "m"))
 
 
-def bounded(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
+def bounded(pairs: DataFrame, classes: DataFrame, percent: int, groups: int = GROUPS) -> DataFrame:
     """The pairs (a, b) whose sizes and count vectors allow a link."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -232,7 +235,7 @@ def bounded(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
             a, b, n, m, u, v = (batch.column(i) for i in range(6))
             n, m = n.to_numpy(), m.to_numpy()
             u, v = (
-                np.frombuffer(b"".join(x.to_pylist()), np.uint8).reshape(-1, GROUPS) for x in (u, v)
+                np.frombuffer(b"".join(x.to_pylist()), np.uint8).reshape(-1, groups) for x in (u, v)
             )
             near = (100 * n >= percent * m) & (100 * m >= percent * n)
             stays = near & (overlap_bound(u, v) >= needed_overlap(n, m, percent))
@@ -248,12 +251,22 @@ def bounded(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
     )
 
 
-def verified(pairs: DataFrame, texts: DataFrame, width: int, percent: int) -> DataFrame:
-    """The pairs (a, b) whose whole texts reach the threshold."""
+def _texts_of(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     asked = stored(pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct(), "asked")
     if asked.count() <= BROADCAST_IDS:
         asked = F.broadcast(asked)
-    wanted = texts.join(asked, "id", "left_semi").dropDuplicates(["id"])
+    return texts.join(asked, "id", "left_semi").dropDuplicates(["id"])
+
+
+def verified(pairs: DataFrame, texts: DataFrame, width: int, percent: int) -> DataFrame:
+    """The pairs (a, b) whose whole texts reach the threshold.
+
+    Wider count vectors come first, so that few texts travel to their partners.
+    """
+    wanted = _texts_of(pairs, texts)
+    wide = shapes(wanted, width, percent, None, WIDE_GROUPS).select("id", "n", "vec")
+    pairs = stored(bounded(pairs, wide, percent, WIDE_GROUPS), "pairs")
+    wanted = _texts_of(pairs, texts)
     left = wanted.select(F.col("id").alias("a"), F.col("text").alias("text_a"))
     right = wanted.select(F.col("id").alias("b"), F.col("text").alias("text_b"))
 
@@ -396,7 +409,8 @@ def near_components(
     members = known.join(split, "key", "left_semi").join(classes.select("id", "n", "vec"), "id")
     rest = stored(unconnected_pairs(members, percent), "rest")
     tried = near.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-    more = verified(rest.join(tried, ["a", "b"], "left_anti"), texts, width, percent)
+    untried = stored(rest.join(tried, ["a", "b"], "left_anti"), "untried")
+    more = verified(untried, texts, width, percent)
     # Classes that hold the same set are linked through its smallest id.
     copies = shaped.join(
         classes.select("digest", F.col("id").alias("b")), "digest"
