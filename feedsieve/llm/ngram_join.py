@@ -6,10 +6,12 @@ order, so these are the keys on which candidates meet. The order puts shingles t
 bounded sample finds frequent last and else goes by hash: it decides how many
 candidates meet, never which links are found.
 
-Each class has a count vector: its shingles hashed into ``GROUPS`` groups and counted. The overlap
-of two sets is at most the sum of the smaller counts, group by group. Within a key
-the vectors form an R-tree whose boxes bound that sum for all pairs below two
-nodes, and pairs whose bound reaches the overlap they need are verified on whole texts.
+Each class has a count vector: its shingles hashed into groups and counted. The number of groups, a
+power of two, grows with the set, or the counts of long texts would all look alike; adding its
+halves folds a vector to fewer groups. The overlap of two sets is at most the sum of the smaller
+counts, group by group. Within a key the vectors form R-trees, one for each number of groups, whose
+boxes bound that sum for all pairs below two nodes, and pairs whose bound reaches the overlap they
+need are verified on whole texts.
 
 Only connectedness is asked for, so each key first links its members to its smallest
 one, and afterwards only pairs that are not yet connected are looked for. A dense
@@ -28,6 +30,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
@@ -40,8 +43,7 @@ from feedsieve.llm.shingles import shingle_sets
 
 WIDTH = 5
 PERCENT = 80
-GROUPS = 64
-WIDE_GROUPS = 1024  # for pairs only: long texts need more groups to be told apart
+LEAST_GROUPS, MOST_GROUPS = 64, 4096
 SAMPLE_DOCS = 4_000
 FREQUENT = 50_000
 FREQUENT_IN = 3  # of the sampled documents
@@ -57,12 +59,27 @@ def needed_overlap(n: np.ndarray, m: np.ndarray, percent: int) -> np.ndarray:
     return -(-(percent * (n + m)) // (100 + percent))
 
 
-def count_vector(hashes: np.ndarray, groups: int = GROUPS) -> np.ndarray:
-    """Shingles by group; a count of 255 stands for any larger one."""
+def count_vector(hashes: np.ndarray) -> np.ndarray:
+    """Shingles by group, one or two in each; a count of 255 stands for any larger one."""
+    groups = min(MOST_GROUPS, max(LEAST_GROUPS, 1 << (max(1, len(hashes)) // 2).bit_length()))
     counts = np.bincount((hashes >> np.uint64(40)).astype(np.int64) % groups, minlength=groups)
     return np.minimum(counts, 255).astype(np.uint8)
 
 
+def folded(vectors: np.ndarray, groups: int) -> np.ndarray:
+    """Rows of counts in fewer groups; a full count stays full."""
+    while vectors.shape[1] > groups:
+        half = vectors.shape[1] // 2
+        both = vectors[:, :half].astype(np.int64) + vectors[:, half:]
+        vectors = np.minimum(both, 255).astype(np.uint8)
+    return vectors
+
+
+def stacked(vectors: list[bytes]) -> np.ndarray:
+    """A matrix of vectors of one length."""
+    return np.frombuffer(b"".join(vectors), np.uint8).reshape(len(vectors), -1)
+
+
 def overlap_bound(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     """Sum of smaller counts along the last axis; full counts may hide any overlap."""
     least = np.minimum(a, b)
@@ -160,9 +177,7 @@ def frequent_shingles(texts: DataFrame, width: int = WIDTH, sample: int = SAMPLE
     return np.sort(np.array([r["h"] for r in counted.collect()], np.int64).view(np.uint64))
 
 
-def shapes(
-    texts: DataFrame, width: int, percent: int, frequent: np.ndarray | None, groups: int = GROUPS
-) -> DataFrame:
+def shapes(texts: DataFrame, width: int, percent: int, frequent: np.ndarray | None) -> DataFrame:
     """id, digest of the set, n, vec and, given the order, the keys and whether each is frequent."""
     with_keys = frequent is not None
 
@@ -174,7 +189,7 @@ def shapes(
                     part.column(0),
                     pa.array([xxhash.xxh3_128_digest(s.tobytes()) for s in sets], pa.binary()),
                     pa.array([len(s) for s in sets], pa.int64()),
-                    pa.array([count_vector(s, groups).tobytes() for s in sets], pa.binary()),
+                    pa.array([count_vector(s).tobytes() for s in sets], pa.binary()),
                 ]
                 if with_keys:
                     keys = []
@@ -227,18 +242,20 @@ def postings(texts: DataFrame, width: int, percent: int) -> DataFrame:
     return cold.select("key", "id", "head", "m").unionByName(warm.select("key", "id", "head", "m"))
 
 
-def bounded(pairs: DataFrame, classes: DataFrame, percent: int, groups: int = GROUPS) -> DataFrame:
+def bounded(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
     """The pairs (a, b) whose sizes and count vectors allow a link."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             a, b, n, m, u, v = (batch.column(i) for i in range(6))
             n, m = n.to_numpy(), m.to_numpy()
-            u, v = (
-                np.frombuffer(b"".join(x.to_pylist()), np.uint8).reshape(-1, groups) for x in (u, v)
-            )
-            near = (100 * n >= percent * m) & (100 * m >= percent * n)
-            stays = near & (overlap_bound(u, v) >= needed_overlap(n, m, percent))
+            wide = np.stack([pc.binary_length(x).to_numpy() for x in (u, v)])
+            u, v = u.to_pylist(), v.to_pylist()
+            stays = (100 * n >= percent * m) & (100 * m >= percent * n)
+            for widths in np.unique(wide[:, stays], axis=1).T:
+                at = np.flatnonzero(stays & (wide == widths[:, None]).all(0))
+                x, y = (folded(stacked([side[k] for k in at]), widths.min()) for side in (u, v))
+                stays[at] = overlap_bound(x, y) >= needed_overlap(n[at], m[at], percent)
             yield pa.RecordBatch.from_arrays([a, b], names=["a", "b"]).filter(pa.array(stays))
 
     left = classes.select(F.col("id").alias("a"), F.col("n").alias("n_a"), F.col("vec").alias("vec_a"))
@@ -259,13 +276,7 @@ def _texts_of(pairs: DataFrame, texts: DataFrame) -> DataFrame:
 
 
 def verified(pairs: DataFrame, texts: DataFrame, width: int, percent: int) -> DataFrame:
-    """The pairs (a, b) whose whole texts reach the threshold.
-
-    Wider count vectors come first, so that few texts travel to their partners.
-    """
-    wanted = _texts_of(pairs, texts)
-    wide = shapes(wanted, width, percent, None, WIDE_GROUPS).select("id", "n", "vec")
-    pairs = stored(bounded(pairs, wide, percent, WIDE_GROUPS), "pairs")
+    """The pairs (a, b), of a stored table, whose whole texts reach the threshold."""
     wanted = _texts_of(pairs, texts)
     left = wanted.select(F.col("id").alias("a"), F.col("text").alias("text_a"))
     right = wanted.select(F.col("id").alias("b"), F.col("text").alias("text_b"))
@@ -315,16 +326,34 @@ def unconnected_pairs(members: DataFrame, percent: int, block: int = BLOCK) -> D
         ids, component, sizes, own = (
             group.column(c).to_numpy() for c in ("id", "component", "n", "own")
         )
-        vectors = np.frombuffer(b"".join(group.column("vec").to_pylist()), np.uint8).reshape(-1, GROUPS)
+        vectors = group.column("vec").to_pylist()
+        wide = np.array([len(v) for v in vectors])
         a, b = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
-        sides = [np.flatnonzero(own == s) for s in dict.fromkeys((i, j))]
-        if all(len(s) for s in sides):
-            trees = [RTree(sizes[s], vectors[s]) for s in sides]
-            for p, q in candidate_pairs(trees[0], trees[-1], percent, i == j):
-                p, q = sides[0][p], sides[-1][q]
-                apart = component[p] != component[q]
-                a.append(ids[p[apart]])
-                b.append(ids[q[apart]])
+        trees: dict[tuple[int, int, int], RTree] = {}
+
+        def tree(side: int, width: int, groups: int) -> tuple[np.ndarray, RTree]:
+            """Rows and tree of a block's vectors of one width, in fewer groups."""
+            rows = np.flatnonzero((own == side) & (wide == width))
+            if (side, width, groups) not in trees:
+                counts = folded(stacked([vectors[r] for r in rows]), groups)
+                trees[side, width, groups] = RTree(sizes[rows], counts)
+            return rows, trees[side, width, groups]
+
+        def extent(side: int) -> list[tuple[int, int, int]]:
+            """Widths of a block with the least and greatest size."""
+            of = {w: sizes[(own == side) & (wide == w)] for w in np.unique(wide[own == side]).tolist()}
+            return [(w, int(n.min()), int(n.max())) for w, n in of.items()]
+
+        for w, low, high in extent(i):
+            for x, least, most in extent(j):
+                if i == j and x < w or 100 * high < percent * least or 100 * most < percent * low:
+                    continue
+                (one, left), (other, right) = tree(i, w, min(w, x)), tree(j, x, min(w, x))
+                for p, q in candidate_pairs(left, right, percent, i == j and w == x):
+                    p, q = one[p], other[q]
+                    apart = component[p] != component[q]
+                    a.append(ids[p[apart]])
+                    b.append(ids[q[apart]])
         a, b = np.concatenate(a), np.concatenate(b)
         return np.minimum(a, b), np.maximum(a, b)
 

@@ -2,6 +2,7 @@
 
 import random
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -104,6 +105,37 @@ def test_components_equal_brute_force(docs, rows, monkeypatch, block, frequent_i
     assert found == brute.components({r[0]: r[1] for r in rows})
 
 
+def test_bounds_hold_between_vectors_of_different_widths():
+    rnd = np.random.default_rng(6)
+    for n in (1, 3, 100, 127, 128, 1_000, 9_000):
+        for m in (n, n + n // 4):
+            both = rnd.integers(0, 2**63, n // 2 + 1).astype(np.uint64)
+            a, b = (np.append(both, rnd.integers(0, 2**63, k - len(both)).astype(np.uint64)) for k in (n, m))
+            u, v = (ngram_join.count_vector(x)[None] for x in (a, b))
+            groups = min(u.shape[1], v.shape[1])
+            u, v = ngram_join.folded(u, groups), ngram_join.folded(v, groups)
+            assert u.sum() == n and v.sum() == m
+            assert len(both) <= ngram_join.overlap_bound(u, v)[0] <= n
+    full = np.full((1, 128), 200, np.uint8)
+    assert ngram_join.overlap_bound(*[ngram_join.folded(full, 64)] * 2)[0] > 128 * 200
+
+
+def test_links_between_long_texts_of_different_widths(spark):
+    rnd = random.Random(8)
+    line = [f"l{k}" for k in range(40)]
+    texts = {}
+    for i in range(24):  # texts that share a line; each third one is a longer copy of the one before
+        if i % 3 == 1:
+            own = [*own, *(f"x{i}w{k}" for k in range(rnd.randint(5, 40)))]
+        else:
+            own = [f"d{i}w{k}" for k in range(rnd.randint(190, 300))] + line
+        texts[i] = " ".join(own)
+    docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    found = {r.doc_id: (r.n_shingles, r.component_id) for r in ngram_join.near_components(docs).collect()}
+    assert found == brute.components(texts)
+    assert any(i != c for i, (_, c) in found.items())
+
+
 def test_join_of_nothing_and_of_rows_without_ids(spark, nothing):
     assert ngram_join.near_components(nothing).count() == 0
     odd = spark.createDataFrame(
