@@ -73,39 +73,45 @@ class Codec:
         self.token = [b""] * self.size
         for token, rank in ranks.items():
             self.token[rank] = token
+        self.byte = {b: ranks[bytes((b,))] for b in range(256) if bytes((b,)) in ranks}
         self.pair_rank: dict[int, int] = {}
         self.seen: dict[str, bytes] = {}
         lengths = np.array([len(t) for t in self.token], np.int64)
         self.lengths, self.starts = lengths, np.cumsum(lengths) - lengths
         self.alphabet = np.frombuffer(b"".join(self.token), np.uint8)
 
-    def _rank(self, left: int, right: int) -> int:
-        key = left * self.size + right
-        rank = self.pair_rank.get(key)
-        if rank is None:
-            if len(self.pair_rank) > 1_000_000:
-                self.pair_rank.clear()
-            rank = self.ranks.get(self.token[left] + self.token[right], -1)
-            self.pair_rank[key] = rank
+    def _rank(self, key: int) -> int:
+        """The rank of a pair not met lately; -1 if it doesn't merge."""
+        if len(self.pair_rank) > 1_000_000:
+            self.pair_rank.clear()
+        left, right = divmod(key, self.size)
+        rank = self.pair_rank[key] = self.ranks.get(self.token[left] + self.token[right], -1)
         return rank
 
     def merge(self, words: list[bytes]) -> list[list[int]]:
         """Ids of each word, all merged through one queue."""
-        ranks, rank_of = self.ranks, self._rank
+        # Known ranks are looked up in place: a call for each would take longer than the merge.
+        size, known, rank_of = self.size, self.pair_rank.get, self._rank
+        byte = self.byte.__getitem__
         ids: list[int] = []
         ends = []
         for word in words:
-            ids.extend(ranks[word[i : i + 1]] for i in range(len(word)))
+            ids.extend(map(byte, word))
             ids.append(-1)  # the fence
             ends.append(len(ids))
         right = list(range(1, len(ids) + 1))
         left = list(range(-1, len(ids) - 1))
-        queue = RankQueue(self.size)
-        for i in range(len(ids) - 1):
-            if ids[i] >= 0 and ids[i + 1] >= 0:
-                rank = rank_of(ids[i], ids[i + 1])
+        queue = RankQueue(size)
+        waiting = queue.buckets.get
+        for i, (a, b) in enumerate(pairwise(ids)):
+            if a >= 0 and b >= 0:
+                if (rank := known(key := a * size + b)) is None:
+                    rank = rank_of(key)
                 if rank >= 0:
-                    queue.push(rank, i)
+                    if (bucket := waiting(rank)) is None:
+                        queue.push(rank, i)
+                    else:
+                        bucket.append(i)
         while queue.top:
             rank, positions = queue.pop()
             lower = False
@@ -116,20 +122,26 @@ class Codec:
                     break
                 a = ids[i]
                 j = right[i]
-                if a < 0 or ids[j] < 0 or rank_of(a, ids[j]) != rank:
+                if a < 0 or (b := ids[j]) < 0:
+                    continue  # stale
+                if (now := known(key := a * size + b)) is None:
+                    now = rank_of(key)
+                if now != rank:
                     continue  # stale
                 ids[i] = rank
                 after = right[j]
                 ids[j] = -2
                 right[i], left[after] = after, i
-                if ids[after] >= 0:
-                    new = rank_of(rank, ids[after])
+                if (b := ids[after]) >= 0:
+                    if (new := known(key := rank * size + b)) is None:
+                        new = rank_of(key)
                     if new >= 0:
                         queue.push(new, i)
                         lower |= new < rank
                 before = left[i]
-                if before >= 0 and ids[before] >= 0:
-                    new = rank_of(ids[before], rank)
+                if before >= 0 and (b := ids[before]) >= 0:
+                    if (new := known(key := b * size + rank)) is None:
+                        new = rank_of(key)
                     if new >= 0:
                         queue.push(new, before)
                         lower |= new < rank
