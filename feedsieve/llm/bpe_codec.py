@@ -16,6 +16,7 @@ text are read. Bytes outside the vocabulary are refused.
 
 from __future__ import annotations
 
+from array import array
 from collections.abc import Iterator
 from functools import lru_cache
 from itertools import pairwise
@@ -31,8 +32,9 @@ from feedsieve.llm.common import slices, whole_text
 from feedsieve.llm.pretokens import FENCE, split
 
 REMEMBERED = 300_000
-SLICE_BYTES = 2 << 20
+SLICE_BYTES = 4 << 20
 WORD_BITS = 256
+WIDE = 48  # positions in a bucket from which they are merged side by side
 
 
 class RankQueue:
@@ -46,13 +48,17 @@ class RankQueue:
     def push(self, rank: int, position: int) -> None:
         bucket = self.buckets.get(rank)
         if bucket is None:
-            self.buckets[rank] = [position]
-            word = rank // WORD_BITS
-            self.words[word] |= 1 << rank % WORD_BITS
-            self.top |= 1 << word
+            self.open(rank, [position])
         else:
             bucket.append(position)
 
+    def open(self, rank: int, positions: list[int]) -> None:
+        """The first positions of a rank."""
+        self.buckets[rank] = positions
+        word = rank // WORD_BITS
+        self.words[word] |= 1 << rank % WORD_BITS
+        self.top |= 1 << word
+
     def pop(self) -> tuple[int, list[int]]:
         """The lowest rank and its positions from left to right."""
         word = (self.top & -self.top).bit_length() - 1
@@ -73,47 +79,127 @@ class Codec:
         self.token = [b""] * self.size
         for token, rank in ranks.items():
             self.token[rank] = token
-        self.byte = {b: ranks[bytes((b,))] for b in range(256) if bytes((b,)) in ranks}
-        self.pair_rank: dict[int, int] = {}
+        self.byte = np.array([ranks.get(bytes((b,)), -1) for b in range(256)])
+        self.pair_rank = self._pairs()
+        self.pairs = np.array(sorted(self.pair_rank), np.int64)
+        self.pair_ranks = np.array([self.pair_rank[k] for k in self.pairs.tolist()], np.int64)
+        left, right = np.divmod(self.pairs, self.size)
+        # Tokens that can take part in a merge of lower rank than their own.
+        sinking = [side[side > self.pair_ranks] for side in (left, right)]
+        self.sinking = set(np.concatenate(sinking).tolist())
+        every = np.arange(256)
+        self.byte_pairs = self._ranks(
+            np.repeat(self.byte, 256), self.byte[np.tile(every, 256)]
+        ).reshape(256, 256)
         self.seen: dict[str, bytes] = {}
         lengths = np.array([len(t) for t in self.token], np.int64)
         self.lengths, self.starts = lengths, np.cumsum(lengths) - lengths
         self.alphabet = np.frombuffer(b"".join(self.token), np.uint8)
 
-    def _rank(self, key: int) -> int:
-        """The rank of a pair not met lately; -1 if it doesn't merge."""
-        if len(self.pair_rank) > 1_000_000:
-            self.pair_rank.clear()
-        left, right = divmod(key, self.size)
-        rank = self.pair_rank[key] = self.ranks.get(self.token[left] + self.token[right], -1)
-        return rank
-
-    def merge(self, words: list[bytes]) -> list[list[int]]:
-        """Ids of each word, all merged through one queue."""
-        # Known ranks are looked up in place: a call for each would take longer than the merge.
-        size, known, rank_of = self.size, self.pair_rank.get, self._rank
-        byte = self.byte.__getitem__
-        ids: list[int] = []
-        ends = []
-        for word in words:
-            ids.extend(map(byte, word))
-            ids.append(-1)  # the fence
-            ends.append(len(ids))
-        right = list(range(1, len(ids) + 1))
-        left = list(range(-1, len(ids) - 1))
-        queue = RankQueue(size)
+    def _pairs(self) -> dict[int, int]:
+        """The rank of every pair of tokens that merges."""
+        found, rank_of, size = {}, self.ranks.get, self.size
+        for token, rank in self.ranks.items():
+            for cut in range(1, len(token)):
+                if (a := rank_of(token[:cut])) is not None:
+                    if (b := rank_of(token[cut:])) is not None:
+                        found[a * size + b] = rank
+        return found
+
+    def _ranks(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        """The ranks of many pairs; -1 where they don't merge."""
+        if not len(self.pairs):
+            return np.full(len(left), -1)
+        key = np.where((left < 0) | (right < 0), -1, left * self.size + right)
+        at = np.minimum(np.searchsorted(self.pairs, key), len(self.pairs) - 1)
+        return np.where(self.pairs[at] == key, self.pair_ranks[at], -1)
+
+    def _queue(self, words: list[bytes], ids: np.ndarray, fences: np.ndarray) -> RankQueue:
+        """Lays out the bytes of the words and queues the pairs that merge."""
+        text = np.frombuffer(b"".join(words), np.uint8)
+        ids[:] = -1
+        inside = np.ones(len(ids), bool)
+        inside[fences] = False
+        ids[inside] = self.byte[text]
+        if (ids[inside] < 0).any():
+            raise ValueError("a byte is not in the vocabulary")
+        laid = np.zeros(len(ids), np.uint8)
+        laid[inside] = text
+        rank = self.byte_pairs[laid[:-1], laid[1:]]
+        at = np.flatnonzero((rank >= 0) & inside[:-1] & inside[1:])
+        rank = rank[at]
+        order = np.argsort(rank, kind="stable")
+        queue = RankQueue(self.size)
+        each, first = np.unique(rank[order], return_index=True)
+        at = at[order].tolist()
+        for r, (a, b) in zip(each.tolist(), pairwise([*first.tolist(), len(at)]), strict=True):
+            queue.open(r, at[a:b])
+        return queue
+
+    def merge(self, words: list[bytes]) -> list[np.ndarray]:
+        """Ids of each word, all merged through one queue.
+
+        A bucket with many positions is merged side by side, a small one in turn. Of a
+        token that can take part in a merge of lower rank, which would go first, side
+        by side means the leftmost of each word; the others wait in the queue.
+        """
+        if not words:
+            return []
+        fences = np.cumsum([len(w) + 1 for w in words]) - 1
+        n = int(fences[-1]) + 1
+        # One memory seen twice: item by item and as a whole.
+        ids, right, left = (array("q", bytes(8 * n)) for _ in range(3))
+        all_ids, all_right, all_left = (np.frombuffer(a, np.int64) for a in (ids, right, left))
+        all_right[:] = np.arange(1, n + 1)
+        all_left[:] = np.arange(-1, n - 1)  # -1 is the last fence
+        chosen = np.zeros(n, bool)
+        queue = self._queue(words, all_ids, fences)
         waiting = queue.buckets.get
-        for i, (a, b) in enumerate(pairwise(ids)):
-            if a >= 0 and b >= 0:
-                if (rank := known(key := a * size + b)) is None:
-                    rank = rank_of(key)
-                if rank >= 0:
-                    if (bucket := waiting(rank)) is None:
-                        queue.push(rank, i)
-                    else:
-                        bucket.append(i)
+        size, known = self.size, self.pair_rank.get
+
+        def side_by_side(rank: int, positions: list[int]) -> bool:
+            """Merges the positions, unless some overlap or too few could go at once."""
+            i = np.array(positions, np.int64)
+            i = i[np.append(True, i[1:] != i[:-1]) & (all_ids[i] >= 0)]
+            j = all_right[i]
+            ready = self._ranks(all_ids[i], all_ids[j]) == rank
+            i, j = i[ready], j[ready]
+            if rank in self.sinking:
+                word = np.searchsorted(fences, i)
+                leftmost = np.append(True, word[1:] != word[:-1])[: len(i)]
+                if 2 * np.count_nonzero(leftmost) < len(i):
+                    return False
+                if not leftmost.all():
+                    queue.open(rank, i[~leftmost].tolist())
+                i, j = i[leftmost], j[leftmost]
+            chosen[i] = True
+            overlap = chosen[j].any()
+            chosen[i] = False
+            if overlap:
+                return False
+            after = all_right[j]
+            all_ids[i] = rank
+            all_ids[j] = -2
+            all_right[i] = after
+            all_left[after] = i
+            before = all_left[i]
+            merged = np.full(len(i), rank)
+            new = np.concatenate(
+                (self._ranks(merged, all_ids[after]), self._ranks(all_ids[before], merged))
+            )
+            at = np.concatenate((i, before))
+            up = new >= 0
+            for r, p in zip(new[up].tolist(), at[up].tolist(), strict=True):
+                if (bucket := waiting(r)) is None:
+                    queue.open(r, [p])
+                else:
+                    bucket.append(p)
+            return True
+
         while queue.top:
             rank, positions = queue.pop()
+            if len(positions) >= WIDE and side_by_side(rank, positions):
+                continue
             lower = False
             for k, i in enumerate(positions):
                 if lower:  # a merge of lower rank came up and goes first
@@ -122,34 +208,30 @@ class Codec:
                     break
                 a = ids[i]
                 j = right[i]
-                if a < 0 or (b := ids[j]) < 0:
-                    continue  # stale
-                if (now := known(key := a * size + b)) is None:
-                    now = rank_of(key)
-                if now != rank:
+                if a < 0 or (b := ids[j]) < 0 or known(a * size + b) != rank:
                     continue  # stale
                 ids[i] = rank
                 after = right[j]
                 ids[j] = -2
-                right[i], left[after] = after, i
-                if (b := ids[after]) >= 0:
-                    if (new := known(key := rank * size + b)) is None:
-                        new = rank_of(key)
-                    if new >= 0:
-                        queue.push(new, i)
-                        lower |= new < rank
+                right[i] = after
+                left[after] = i
+                if (b := ids[after]) >= 0 and (new := known(rank * size + b)) is not None:
+                    if (bucket := waiting(new)) is None:
+                        queue.open(new, [i])
+                    else:
+                        bucket.append(i)
+                    lower |= new < rank
                 before = left[i]
-                if before >= 0 and (b := ids[before]) >= 0:
-                    if (new := known(key := b * size + rank)) is None:
-                        new = rank_of(key)
-                    if new >= 0:
-                        queue.push(new, before)
-                        lower |= new < rank
-        found, begin = [], 0
-        for end in ends:
-            found.append([t for t in ids[begin:end] if t >= 0])
-            begin = end
-        return found
+                if (b := ids[before]) >= 0 and (new := known(b * size + rank)) is not None:
+                    if (bucket := waiting(new)) is None:
+                        queue.open(new, [before])
+                    else:
+                        bucket.append(before)
+                    lower |= new < rank
+        kept = all_ids >= 0
+        ends = np.cumsum(kept)[fences].tolist()
+        ids = all_ids[kept].astype(np.int32)
+        return [ids[a:b] for a, b in pairwise([0, *ends])]
 
     def packed(self, texts: list[str]) -> list[bytes]:
         """Ids of each text as little-endian 32-bit integers."""
@@ -167,7 +249,7 @@ class Codec:
             else:
                 seen[word] = np.int32(whole).tobytes()
         for (word, _), ids in zip(queued, self.merge([r for _, r in queued]), strict=True):
-            seen[word] = np.array(ids, np.int32).tobytes()
+            seen[word] = ids.tobytes()
         ids = list(map(seen.__getitem__, words))
         return [b"".join(ids[a:b]) for a, b in pairwise([0, *ends.tolist()])]
 
