@@ -16,12 +16,20 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
-def upsert(existing: DataFrame, incoming: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Incoming rows replace existing rows of the same key."""
+def upsert(
+    existing: DataFrame, incoming: DataFrame, keys: Sequence[str], few: bool = False
+) -> DataFrame:
+    """Incoming rows replace existing rows of the same key.
+
+    With ``few`` the incoming keys, measured by the caller, are broadcast.
+    """
     keys = list(keys)
     arriving = incoming.select(*existing.columns)
     keyed = arriving.dropna(subset=keys)
-    kept = existing.dropna(subset=keys).join(keyed.select(*keys), keys, "left_anti")
+    replaced = keyed.select(*keys)
+    kept = existing.dropna(subset=keys).join(
+        F.broadcast(replaced) if few else replaced, keys, "left_anti"
+    )
     nameless = existing.where(unkeyed(keys)).unionByName(arriving.where(unkeyed(keys))).distinct()
     return kept.select(*existing.columns).unionByName(keyed).unionByName(nameless)
 

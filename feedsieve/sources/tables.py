@@ -43,6 +43,12 @@ def write_by_day(rows: DataFrame, path: str, column: str = "trade_date") -> None
     )
 
 
+def delete_folder(spark: SparkSession, path: str) -> bool:
+    """Remove a folder of whatever file system the path names."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 class QualityTables:
     """Handle on the owned tables. Creating it touches nothing."""
 
@@ -69,12 +75,7 @@ class QualityTables:
     def drop(self) -> None:
         """Remove the owned tables with their folders."""
         for name in self._layouts:
-            self._delete(self.path(name))
-
-    def _delete(self, path: str) -> bool:
-        folder = self.spark._jvm.org.apache.hadoop.fs.Path(path)
-        system = folder.getFileSystem(self.spark._jsc.hadoopConfiguration())
-        return system.delete(folder, True)
+            delete_folder(self.spark, self.path(name))
 
     def _write_empty(self, mode: str) -> None:
         for name, (schema, partitions) in self._layouts.items():
@@ -112,7 +113,8 @@ class QualityTables:
         """Remove the records of a run that, repeated, rejects nothing."""
         if not self.rejected(run_id).isEmpty():
             name = self.spark._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils
-            self._delete(f"{self.path('rejected_trades')}/run_id={name.escapePathName(run_id)}")
+            folder = f"{self.path('rejected_trades')}/run_id={name.escapePathName(run_id)}"
+            delete_folder(self.spark, folder)
 
     def rejected(self, run_id: str | None = None) -> DataFrame:
         """Records of all runs, or of one by partition pruning."""
