@@ -75,6 +75,29 @@ def test_codec_equals_the_library_and_decodes(docs, nothing):
     assert bpe_codec.decode_ids(bpe_codec.encode_documents(nothing, RANKS), RANKS).count() == 0
 
 
+@pytest.mark.parametrize("wide", [1, 5, 48, 1_000_000])
+def test_merging_side_by_side_and_in_turn_agree_with_the_library(monkeypatch, wide):
+    monkeypatch.setattr(bpe_codec, "WIDE", wide)
+    ranks = byte_level.read_ranks(RANKS)
+    library = tiktoken.Encoding(
+        "own", pat_str=byte_level.PATTERN, mergeable_ranks=ranks, special_tokens={}
+    )
+    codec, rnd = bpe_codec.Codec(ranks), random.Random(5)
+    assert codec.sinking
+    several = ["a" * n + "b" * (n % 7) for n in range(1, 60)]
+    several += ["".join(rnd.choices(s, k=40)) for s in ("ab", "aab ", "ther", "漢é", "=-", "01") * 20]
+    for batch in ([t or "" for t in texts()], several, [" ".join(several)], [""], []):
+        found = [np.frombuffer(p, np.int32).tolist() for p in codec.packed(batch)]
+        assert found == [library.encode_ordinary(t) for t in batch]
+
+
+def test_a_byte_outside_the_vocabulary_is_refused():
+    codec = bpe_codec.Codec({b"a": 0, b"b": 1, b"ab": 2})
+    assert codec.encode("abba") == [2, 1, 0]
+    with pytest.raises(ValueError, match="vocabulary"):
+        codec.encode("abc")
+
+
 def test_rank_queue_gives_the_lowest_rank_and_positions_in_order():
     queue, rnd = bpe_codec.RankQueue(5000), random.Random(1)
     pushed = defaultdict(list)
