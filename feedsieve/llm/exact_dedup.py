@@ -79,7 +79,13 @@ def exact_groups(
 
 
 def drop_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows of ``docs`` that stay, with all their columns."""
-    gone = exact_groups(docs, id_col, text_col).where("not kept").select(id_col)
-    keyed = gone.select(F.col(id_col).alias("__gone_id"))
-    return docs.join(keyed, F.col(id_col).eqNullSafe(F.col("__gone_id")), "left_anti")
+    """The rows of ``docs`` that stay, with all their columns.
+
+    Rows are told by id and text together, as ids may be missing or repeat.
+    """
+    gone = exact_groups(docs, id_col, text_col).where("not kept").select(
+        F.col(id_col).alias("__gone_id"), F.unhex("text_sha256").alias("__gone_sha")
+    )
+    sha = F.unhex(F.sha2(normalised(text_col), 256))
+    same = F.col(id_col).eqNullSafe(F.col("__gone_id")) & (sha == F.col("__gone_sha"))
+    return docs.join(gone.distinct(), same, "left_anti")

@@ -161,3 +161,20 @@ def test_exact_groups_even_when_hashes_collide(spark, rows, nothing):
     kept = [r for r in strong if r[3]]
     assert exact_dedup.drop_copies(docs.where("doc_id IS NOT NULL")).count() == len(kept) - 1
     assert exact_dedup.exact_groups(nothing).count() == 0
+
+
+def test_copies_go_by_id_and_text(spark, rows):
+    extra = [(None, "a b"), (500, "a\t\nb"), (501, "a b"), (None, "q"), (None, "r"), (7, "a b"), (7, "alone")]
+    docs = spark.createDataFrame([*rows, *((i, t, "", "", 1) for i, t in extra)], SCHEMA)
+
+    def told(found):
+        return sorted(map(str, found.collect()))
+
+    kept = exact_dedup.exact_groups(docs).where("kept").select("doc_id", "text_sha256")
+    sha = F.sha2(exact_dedup.normalised("text"), 256)
+    left = exact_dedup.drop_copies(docs)
+    assert told(left.select("doc_id", sha.alias("text_sha256"))) == told(kept)
+    assert {r.text for r in left.where("doc_id IS NULL").collect()} == {"q", "r"}
+    # The smallest id that carries "a b" is 7, whose other texts are left alone.
+    assert {"a b", "alone"} <= {r.text for r in left.where("doc_id = 7").collect()}
+    assert left.where("doc_id IN (500, 501)").count() == 0
