@@ -188,7 +188,8 @@ def top_k(
     pilot = searched(
         asked.select("*", F.lit(0).alias("shard"), lowest.alias("floor")), parts.where("shard = 0")
     )
-    known = pilot.groupBy("query_id").agg(F.min("score").alias("kth"), F.count(F.lit(1)).alias("n"))
+    # A repeated query row finds the same candidates again.
+    known = pilot.distinct().groupBy("query_id").agg(F.min("score").alias("kth"), F.count(F.lit(1)).alias("n"))
     shared = (
         asked.join(known.where(F.col("n") >= k), "query_id", "left")
         .select("query_id", "q", "dim", "block", F.coalesce("kth", lowest).alias("floor"))

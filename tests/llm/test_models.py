@@ -42,6 +42,16 @@ def test_top_k_equals_brute_force(spark):
     assert topk.top_k(nothing, nothing).count() == 0
 
 
+def test_repeated_queries_raise_no_floor(spark):
+    # Few vectors of this length in each of several shards, so that the pilot finds less than k.
+    exact = [(i, [i * 7 % 41, i * 3 % 17]) for i in range(60)]
+    vectors = spark.createDataFrame(exact, "id long, v array<bigint>")
+    asked = spark.createDataFrame([exact[5]] * 8 + [exact[9]] * 2, vectors.schema)
+    for shard_rows in (4, 8, 12, 20):
+        found = sorted(map(tuple, topk.top_k(asked, vectors, 10, shard_rows).collect()))
+        assert found == sorted(brute.top_k(exact, [exact[5], exact[9]], 10))
+
+
 def test_prompt_is_the_common_prefix(spark):
     turns = [
         (1, 0, "user", "hi"), (1, 1, "assistant", "a"), (1, 2, "user", "more"), (1, 3, "assistant", "b"),
