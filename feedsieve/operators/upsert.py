@@ -4,8 +4,8 @@ Parquet has no MERGE, so an upsert is an anti join plus a union. The existing
 side has one row per key and is only shuffled when the incoming keys are too
 many to broadcast, which Spark decides by size. ``incoming`` must hold one row
 per key (see ``load.collapse_retries``). A row without a key replaces nothing and
-is never dropped; one that equals another in every column counts once, so that
-loading the same rows again changes nothing.
+is never dropped. Rows without a key that agree in every column all stay: as many as the
+side that holds more of them has, so that loading the same rows again changes nothing.
 """
 
 from __future__ import annotations
@@ -30,10 +30,21 @@ def upsert(
     kept = existing.dropna(subset=keys).join(
         F.broadcast(replaced) if few else replaced, keys, "left_anti"
     )
-    nameless = existing.where(unkeyed(keys)).unionByName(arriving.where(unkeyed(keys))).distinct()
+    nameless = _most_of_each(existing.where(unkeyed(keys)), arriving.where(unkeyed(keys)))
     return kept.select(*existing.columns).unionByName(keyed).unionByName(nameless)
 
 
+def _most_of_each(one: DataFrame, other: DataFrame) -> DataFrame:
+    """Every row as often as the side has it that has it more often."""
+    columns = [F.col(f"`{c}`") for c in one.columns]
+    sides = one.select(*columns, F.lit(1).alias("__one"), F.lit(0).alias("__other")).unionByName(
+        other.select(*columns, F.lit(0).alias("__one"), F.lit(1).alias("__other"))
+    )
+    times = F.greatest(F.sum("__one"), F.sum("__other"))
+    counted = sides.groupBy(*columns).agg(times.alias("__times"))
+    return counted.withColumn("__copy", F.explode(F.sequence(F.lit(1), F.col("__times")))).select(*columns)
+
+
 def unkeyed(keys: Sequence[str]) -> Column:
     """Rows lacking part of their key."""
     lacking = F.lit(False)

@@ -136,6 +136,18 @@ def test_upsert_replaces_adds_and_keeps_rows_without_a_key(spark):
     assert upsert(after, new, ["k"]).count() == 4
 
 
+def test_equal_rows_without_a_key_all_stay(spark, feed):
+    empty = spark.createDataFrame([], trade_schema())
+    batch = feed(row("A"), row(None), row(""), row("", price="11"))
+    balance = L.load_balance(empty, batch).first()
+    once = L.load_trades(empty, batch, incremental=False)
+    assert once.where("trade_id IS NULL").count() == balance.rows_unkeyed == 3
+    again = L.load_trades(once, batch, incremental=False)
+    assert sorted(map(str, again.collect())) == sorted(map(str, once.collect()))
+    more = L.load_trades(once, feed(row(""), row(""), row("")), incremental=False)
+    assert more.where("trade_id IS NULL").count() == 4
+
+
 def test_watermarks_never_move_back(load):
     first = load(row("A", executed_at="2024-04-05"), source="x.csv")
     marks = L.source_watermarks(first)

@@ -57,6 +57,13 @@ def test_loads_equal_the_plain_upsert_and_count_every_row(spark, table, feed):
     assert text(table.rows()) == twice
 
 
+def test_equal_rows_without_an_id_are_stored_as_often_as_counted(table, feed):
+    batch = feed(row("A"), row(""), row(""))
+    for name in ("one", "two"):
+        assert table.load(batch, name).rows_unkeyed == 2
+        assert table.rows().where("trade_id IS NULL").count() == 2
+
+
 def test_days_left_empty_are_gone(table, feed):
     table.load(feed(row("A", executed_at="2024-04-01"), row("B", executed_at="")), "one")
     table.load(
