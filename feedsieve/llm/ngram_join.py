@@ -1,6 +1,7 @@
 """Near duplicates by a Jaccard join on word shingles, exact.
 
-Texts with the same set are one class, carried by its smallest id. Two classes can only be
+Texts with the same set are one class, carried by its smallest id; classes are numbered in the order of
+these ids, classes without any id last, and below, the ids of pairs are these numbers. Two classes can only be
 similar if they share one of the first ``n - ceil(t n) + 1`` shingles of a common
 order, so these are the keys on which candidates meet. The order puts shingles that a
 bounded sample finds frequent last and else goes by hash: it decides how many
@@ -19,9 +20,9 @@ group of near copies so costs about as many comparisons as it has members. Keys
 with many members are dealt to blocks and joined block by block.
 
 Sets are compared through 64-bit hashes of their shingles. Null text is the empty text;
-a text without words links with nothing. Rows without an id take no part. Repeated rows
-count once; ids are otherwise taken to be unique. An empty table gives an empty result and other
-columns are not read.
+a text without words links with nothing. Rows without an id take part only if asked for: each
+is returned, with no component if none of its component has an id. Repeated rows count once, and an id
+with several sets has a row for each. An empty table gives an empty result and other columns are not read.
 """
 
 from __future__ import annotations
@@ -32,7 +33,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -144,9 +145,14 @@ def candidate_pairs(
             waiting += [(a, left_b), (a, right_b)]
 
 
-def _texts(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    return docs.where(F.col(id_col).isNotNull()).select(
-        F.col(id_col).cast("long").alias("id"), whole_text(text_col).alias("text")
+def _sha(text_col: str) -> Column:
+    return F.unhex(F.sha2(whole_text(text_col), 256))
+
+
+def _texts(docs: DataFrame, id_col: str, text_col: str, nameless: bool) -> DataFrame:
+    """id, text and sha, which together tell rows without an id or with a repeated one."""
+    return docs.where(F.lit(nameless) | F.col(id_col).isNotNull()).select(
+        F.col(id_col).cast("long").alias("id"), whole_text(text_col).alias("text"), _sha(text_col).alias("sha")
     )
 
 
@@ -154,9 +160,16 @@ def _sets(batch: pa.RecordBatch, at: int, width: int) -> list[np.ndarray]:
     return shingle_sets([t.encode() for t in batch.column(at).to_pylist()], width)
 
 
+def _own_text() -> Column:
+    """Whether a text is that of the row ``own``, ``own_sha``."""
+    return F.col("id").eqNullSafe(F.col("own")) & (F.col("sha") == F.col("own_sha"))
+
+
 def frequent_shingles(texts: DataFrame, width: int = WIDTH, sample: int = SAMPLE_DOCS) -> np.ndarray:
     """Sorted hashes of the shingles that recur in a sample of documents."""
-    chosen = texts.select("id").orderBy(F.xxhash64("id")).limit(sample)
+    order = F.when(F.col("id").isNull(), F.xxhash64("sha")).otherwise(F.xxhash64("id"))
+    chosen = texts.select("id", "sha").orderBy(order).limit(sample).distinct()
+    chosen = chosen.select(F.col("id").alias("own"), F.col("sha").alias("own_sha"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -165,7 +178,7 @@ def frequent_shingles(texts: DataFrame, width: int = WIDTH, sample: int = SAMPLE
                 yield pa.RecordBatch.from_arrays([pa.array(hashes.view(np.int64))], names=["h"])
 
     counted = (
-        texts.join(F.broadcast(chosen), "id")  # ``sample`` ids
+        texts.join(F.broadcast(chosen), _own_text(), "left_semi")  # ``sample`` ids
         .select("id", "text")
         .mapInArrow(run, "h long")
         .groupBy("h")
@@ -178,7 +191,7 @@ def frequent_shingles(texts: DataFrame, width: int = WIDTH, sample: int = SAMPLE
 
 
 def shapes(texts: DataFrame, width: int, percent: int, frequent: np.ndarray | None) -> DataFrame:
-    """id, digest of the set, n, vec and, given the order, the keys and whether each is frequent."""
+    """id, sha, digest of the set, n, vec and, given the order, the keys and whether each is frequent."""
     with_keys = frequent is not None
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -187,6 +200,7 @@ def shapes(texts: DataFrame, width: int, percent: int, frequent: np.ndarray | No
                 sets = _sets(part, 1, width)
                 columns = [
                     part.column(0),
+                    part.column(2),
                     pa.array([xxhash.xxh3_128_digest(s.tobytes()) for s in sets], pa.binary()),
                     pa.array([len(s) for s in sets], pa.int64()),
                     pa.array([count_vector(s).tobytes() for s in sets], pa.binary()),
@@ -207,6 +221,7 @@ def shapes(texts: DataFrame, width: int, percent: int, frequent: np.ndarray | No
 
     fields = [
         T.StructField("id", T.LongType()),
+        T.StructField("sha", T.BinaryType()),
         T.StructField("digest", T.BinaryType()),
         T.StructField("n", T.LongType()),
         T.StructField("vec", VECTOR),
@@ -217,12 +232,27 @@ def shapes(texts: DataFrame, width: int, percent: int, frequent: np.ndarray | No
     return texts.mapInArrow(run, schema)
 
 
-def postings(texts: DataFrame, width: int, percent: int) -> DataFrame:
+def numbered_classes(shaped: DataFrame) -> DataFrame:
+    """digest, id (its number), n, vec of each class, and the id and text of its first row."""
+    own = F.struct(F.col("id").isNull().alias("nameless"), F.col("id").alias("own"), F.col("sha").alias("own_sha"))
+    return (
+        shaped.where("n > 0")
+        .groupBy("digest")
+        .agg(F.min(own).alias("first"), F.first("n").alias("n"), F.first("vec").alias("vec"))
+        .select("digest", "n", "vec", "first.*")
+        # The numbers grow with the sorted partitions; they hold once the table is stored.
+        .orderBy("nameless", "own", "digest")
+        .withColumn("id", F.monotonically_increasing_id())
+        .drop("nameless")
+    )
+
+
+def postings(texts: DataFrame, classes: DataFrame, width: int, percent: int) -> DataFrame:
     """key, id, head: members of the keys that several classes share, with the smallest."""
     frequent = frequent_shingles(texts, width)
     keyed = shapes(texts, width, percent, frequent)
-    classes = keyed.groupBy("digest").agg(F.min("id").alias("id"), F.first("keys").alias("keys"))
-    rows = classes.select("id", F.explode("keys").alias("key"))
+    own = keyed.groupBy("digest").agg(F.first("keys").alias("keys"))
+    rows = own.join(classes.select("digest", "id"), "digest").select("id", F.explode("keys").alias("key"))
     # At most ``FREQUENT`` keys.
     hot = F.broadcast(
         rows.sparkSession.createDataFrame([(int(h),) for h in frequent.view(np.int64)], "key long")
@@ -268,16 +298,22 @@ def bounded(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
     )
 
 
-def _texts_of(pairs: DataFrame, texts: DataFrame) -> DataFrame:
-    asked = stored(pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct(), "asked")
-    if asked.count() <= BROADCAST_IDS:
-        asked = F.broadcast(asked)
-    return texts.join(asked, "id", "left_semi").dropDuplicates(["id"])
+def _texts_of(pairs: DataFrame, texts: DataFrame, classes: DataFrame) -> DataFrame:
+    asked = pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct()
+    first = classes.join(asked, "id", "left_semi").select(F.col("id").alias("number"), "own", "own_sha")
+    first = stored(first, "asked")
+    if first.count() <= BROADCAST_IDS:
+        first = F.broadcast(first)
+    return (
+        texts.join(first, _own_text())
+        .select(F.col("number").alias("id"), "text")
+        .dropDuplicates(["id"])
+    )
 
 
-def verified(pairs: DataFrame, texts: DataFrame, width: int, percent: int) -> DataFrame:
+def verified(pairs: DataFrame, texts: DataFrame, classes: DataFrame, width: int, percent: int) -> DataFrame:
     """The pairs (a, b), of a stored table, whose whole texts reach the threshold."""
-    wanted = _texts_of(pairs, texts)
+    wanted = _texts_of(pairs, texts, classes)
     left = wanted.select(F.col("id").alias("a"), F.col("text").alias("text_a"))
     right = wanted.select(F.col("id").alias("b"), F.col("text").alias("text_b"))
 
@@ -390,25 +426,18 @@ def unconnected_pairs(members: DataFrame, percent: int, block: int = BLOCK) -> D
     return together.mapInArrow(run, "a long, b long").distinct()
 
 
-def near_components(
-    docs: DataFrame,
-    width: int = WIDTH,
-    percent: int = PERCENT,
-    id_col: str = "doc_id",
-    text_col: str = "text",
+def _linked(
+    docs: DataFrame, width: int, percent: int, id_col: str, text_col: str, nameless: bool
 ) -> DataFrame:
-    """id, n_shingles, component_id: the smallest id reachable by links."""
-    texts = _texts(docs, id_col, text_col)
+    """id, sha, digest, n of every row, and kept_id, kept_sha of the first row of its component."""
+    texts = _texts(docs, id_col, text_col, nameless)
     shaped = stored(shapes(texts, width, percent, None), "shapes")
-    classes = shaped.where("n > 0").groupBy("digest").agg(
-        F.min("id").alias("id"), F.first("n").alias("n"), F.first("vec").alias("vec")
-    )
-    classes = stored(classes, "classes")
-    shared = stored(postings(texts, width, percent), "postings")
+    classes = stored(numbered_classes(shaped), "classes")
+    shared = stored(postings(texts, classes, width, percent), "postings")
 
     stars = shared.where("id <> head").select(F.col("head").alias("a"), F.col("id").alias("b")).distinct()
     near = stored(bounded(stars, classes, percent), "stars")
-    links = stored(verified(near, texts, width, percent), "links")
+    links = stored(verified(near, texts, classes, width, percent), "links")
     component = smallest_reachable(links)
 
     # The smallest of a key has met all others; among these, some may not be connected.
@@ -439,26 +468,56 @@ def near_components(
     rest = stored(unconnected_pairs(members, percent), "rest")
     tried = near.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
     untried = stored(rest.join(tried, ["a", "b"], "left_anti"), "untried")
-    more = verified(untried, texts, width, percent)
-    # Classes that hold the same set are linked through its smallest id.
-    copies = shaped.join(
-        classes.select("digest", F.col("id").alias("b")), "digest"
-    ).where("id <> b").select(F.col("id").alias("a"), "b")
-    component = smallest_reachable(
-        links.unionByName(more).unionByName(copies).select("a", "b")
+    more = verified(untried, texts, classes, width, percent)
+    component = smallest_reachable(links.unionByName(more).select("a", "b"))
+    first = classes.select(
+        F.col("id").alias("component"), F.col("own").alias("kept_id"), F.col("own_sha").alias("kept_sha")
     )
-    return (
-        shaped.groupBy("id")
-        .agg(F.max("n").alias("n_shingles"))
+    ends = (
+        classes.select("digest", "id")
         .join(component, "id", "left")
-        .select(F.col("id").alias(id_col), "n_shingles", F.coalesce("component", "id").alias("component_id"))
+        .withColumn("component", F.coalesce("component", "id"))
+        .join(first, "component")
+        .select("digest", "kept_id", "kept_sha")
     )
+    return shaped.select("id", "sha", "digest", "n").join(ends, "digest", "left")
+
 
+def near_components(
+    docs: DataFrame,
+    width: int = WIDTH,
+    percent: int = PERCENT,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    nameless: bool = False,
+) -> DataFrame:
+    """id, n_shingles, component_id: the smallest id reachable by links.
 
-def keep_smallest(docs: DataFrame, percent: int = PERCENT, id_col: str = "doc_id") -> DataFrame:
-    """One row of each component: that of the smallest id."""
-    found = near_components(docs, percent=percent, id_col=id_col)
-    gone = found.where(F.col(id_col) != F.col("component_id")).select(
-        F.col(id_col).alias("__gone_id")
+    With ``nameless``, rows without an id take part and are all returned.
+    """
+    found = _linked(docs, width, percent, id_col, text_col, nameless).select(
+        "id", "digest", "n", F.coalesce("kept_id", "id").alias("component")
+    )
+    rows = found.where("id IS NOT NULL").distinct()
+    if nameless:
+        rows = rows.unionByName(found.where("id IS NULL"))
+    return rows.select(
+        F.col("id").alias(id_col), F.col("n").alias("n_shingles"), F.col("component").alias("component_id")
+    )
+
+
+def keep_smallest(
+    docs: DataFrame, percent: int = PERCENT, id_col: str = "doc_id", text_col: str = "text"
+) -> DataFrame:
+    """One row of each component: that of the smallest id.
+
+    Rows without an id lose against any row with one; if a component has no other rows, those
+    with one of its texts stay. Rows are told by id and text together.
+    """
+    found = _linked(docs, WIDTH, percent, id_col, text_col, True)
+    stays = F.col("id").eqNullSafe(F.col("kept_id")) & (F.col("sha") == F.col("kept_sha"))
+    gone = found.where(F.col("kept_sha").isNotNull() & ~stays).select(
+        F.col("id").alias("__gone_id"), F.col("sha").alias("__gone_sha")
     )
-    return docs.join(gone, F.col(id_col) == F.col("__gone_id"), "left_anti")
+    same = F.col(id_col).cast("long").eqNullSafe(F.col("__gone_id")) & (_sha(text_col) == F.col("__gone_sha"))
+    return docs.join(gone.distinct(), same, "left_anti")

@@ -103,7 +103,7 @@ def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return ngram_join.near_components(table(spark, sf_dir, "documents"))
+    return ngram_join.near_components(table(spark, sf_dir, "documents"), nameless=True)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

@@ -6,7 +6,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from feedsieve.llm import deep_shallow, exact_dedup, ngram_join, suffix_dedup
+from feedsieve.llm import deep_shallow, exact_dedup, ngram_join, queries, suffix_dedup
 
 from . import brute
 
@@ -178,3 +178,42 @@ def test_copies_go_by_id_and_text(spark, rows):
     # The smallest id that carries "a b" is 7, whose other texts are left alone.
     assert {"a b", "alone"} <= {r.text for r in left.where("doc_id = 7").collect()}
     assert left.where("doc_id IN (500, 501)").count() == 0
+
+
+def test_near_copies_without_an_id_or_with_a_repeated_one(spark, tmp_path):
+    def text(name, last=0):
+        return " ".join([*(f"{name}{k}" for k in range(60)), *(f"{name}x{last}" for _ in range(last))])
+
+    rows = [
+        (4, text("p")), (None, text("p", 2)), (None, text("p", 3)), (9, text("p", 1)),  # all near copies
+        (None, text("q")), (None, text("q", 1)), (None, text("q").upper()),  # no id among them
+        (5, text("p", 4)), (5, text("r")), (6, text("r", 1)),  # one id, two texts
+        (None, text("s")), (None, None), (7, ""),
+    ]
+    schema = "doc_id long, text string, sha string, own string"
+    docs = spark.createDataFrame([(i, t, "", "") for i, t in rows], schema)
+    numbers = {n: (i, t) for n, (i, t) in enumerate(rows)}
+    alike = brute.components({n: t for n, (_, t) in numbers.items()})
+    groups = {}
+    for n, (_, least) in alike.items():
+        groups.setdefault(least, []).append(n)
+    least_id = {
+        n: min((rows[m][0] for m in members if rows[m][0] is not None), default=None)
+        for members in groups.values()
+        for n in members
+    }
+    found = ngram_join.near_components(docs, nameless=True).collect()
+    expected = [(i, alike[n][0], least_id[n]) for n, (i, _) in numbers.items()]
+    assert sorted(map(str, map(tuple, found))) == sorted(map(str, expected))
+
+    docs.write.parquet(str(tmp_path / "documents.parquet"))
+    assert queries.op10_ngram_join(spark, str(tmp_path)).count() == len(rows)
+
+    left = ngram_join.keep_smallest(docs)
+    assert left.columns == docs.columns
+    left = [(r.doc_id, r.text) for r in left.collect()]
+    own = [r for r in left if "q" in (r[1] or "").lower()]
+    assert len(own) == 1 and own[0] in rows
+    assert sorted(map(str, set(left) - set(own))) == sorted(
+        map(str, [(4, text("p")), (5, text("r")), (None, text("s")), (None, None), (7, "")])
+    )
