@@ -3,7 +3,9 @@
 A document is its token ids and an end id. Only a document longer than a sequence
 is cut; its first piece takes the odd length and the others are whole sequences.
 
-Pieces are dealt to buckets by a hash, each packed on its own. A bucket takes its
+Pieces are dealt to buckets by a hash of all their columns, each packed on its own. Equal pieces of a
+partition are counted, and all but the first are dealt by their count and partition, so that neither a missing
+nor a repeated id fills a bucket. Counts of equal pieces don't hang on their order, so a retried task deals alike. A bucket takes its
 pieces longest first and puts each into the open bin it fills best. Open bins are
 lists keyed by free space; a bitset over free space finds the best fit with one shift
 and one find-first-set. There is a fixed number of open bins; when another is needed, the
@@ -142,6 +144,20 @@ def best_fit(lengths: list[int], capacity: int, open_bins: int) -> tuple[list[in
     return bins, offsets
 
 
+def _count_copies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Batches with ``__copy``: how many equal pieces came before in the partition."""
+    seen: dict[int, int] = {}
+    for batch in batches:
+        copies = []
+        for own in batch.column(batch.num_columns - 1).to_pylist():
+            before = seen.get(own, 0)
+            copies.append(before)
+            seen[own] = before + 1
+        yield pa.RecordBatch.from_arrays(
+            [*batch.columns, pa.array(copies, pa.int64())], names=[*batch.schema.names, "__copy"]
+        )
+
+
 def pack(
     pieces: DataFrame,
     n_buckets: int,
@@ -151,8 +167,17 @@ def pack(
 ) -> DataFrame:
     """``pieces`` with ``sequence_id`` and ``offset``; lengths are 1 to ``capacity``."""
     plain = pieces.drop("sequence_id", "offset")
-    dealt = plain.withColumn(
-        "__bucket", F.pmod(F.xxhash64(F.col(id_col), F.col("piece"), F.col("start")), F.lit(n_buckets))
+    own = F.xxhash64(*[F.col(c) for c in (id_col, "piece", "start", "length", "ids_crc32")])
+    keyed = plain.withColumn("__own", own)
+    counted = T.StructType([*keyed.schema.fields, T.StructField("__copy", T.LongType())])
+    salt = F.xxhash64("__own", "__copy", F.spark_partition_id())
+    dealt = (
+        keyed.mapInArrow(_count_copies, counted)
+        .withColumn(
+            "__bucket",
+            F.pmod(F.when(F.col("__copy") == 0, F.col("__own")).otherwise(salt), F.lit(n_buckets)),
+        )
+        .drop("__own", "__copy")
     )
     schema = T.StructType(
         [*plain.schema.fields, T.StructField("sequence_id", T.LongType()), T.StructField("offset", T.LongType())]

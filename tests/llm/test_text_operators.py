@@ -153,6 +153,20 @@ def test_pieces_hold_every_token_once(docs, nothing):
     assert packing.pack_documents(nothing, JSON).count() == 0
 
 
+def test_missing_and_repeated_ids_fill_no_bucket(spark):
+    unnamed = [(None, 0, 0, 1 + n % 50, n) for n in range(2000)]
+    equal = [(None, 0, 0, 7, 1), (8, 0, 0, 9, 2)] * 1000
+    own = [(n, 0, 0, 5, 3) for n in range(100, 2100)]
+    layout = "doc_id long, piece int, start long, length long, ids_crc32 long"
+    pieces = spark.createDataFrame([*unnamed, *equal, *own], layout)
+    packed = packing.pack(pieces, 20, 64)
+    buckets = {r[0]: r[1] for r in packed.groupBy(packed.sequence_id.bitwiseAND(-1 << 32)).count().collect()}
+    assert sum(buckets.values()) == 6000
+    assert max(buckets.values()) < 600
+    sizes = packed.groupBy("sequence_id").sum("length").collect()
+    assert max(r[1] for r in sizes) <= 64
+
+
 def test_shards_are_even_whole_and_repeatable(docs, nothing, tmp_path):
     def run(seed):
         return sharding.shuffle_shards(docs, 5, seed=seed, bucket_bytes=4096)
