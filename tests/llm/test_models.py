@@ -43,13 +43,14 @@ def test_top_k_equals_brute_force(spark):
 
 
 def test_repeated_queries_raise_no_floor(spark):
-    # Few vectors of this length in each of several shards, so that the pilot finds less than k.
-    exact = [(i, [i * 7 % 41, i * 3 % 17]) for i in range(60)]
+    # The first of 8 shards holds fewer than k candidates, but the best ones.
+    ids = spark.range(60).select("id", F.expr("pmod(xxhash64(id), 8) = 0").alias("first")).collect()
+    exact = [(r.id, [r.id + 1000 * r.first, 1]) for r in ids]
+    assert 2 <= sum(r.first for r in ids) < 10
     vectors = spark.createDataFrame(exact, "id long, v array<bigint>")
-    asked = spark.createDataFrame([exact[5]] * 8 + [exact[9]] * 2, vectors.schema)
-    for shard_rows in (4, 8, 12, 20):
-        found = sorted(map(tuple, topk.top_k(asked, vectors, 10, shard_rows).collect()))
-        assert found == sorted(brute.top_k(exact, [exact[5], exact[9]], 10))
+    asked = spark.createDataFrame([exact[5]] * 8, vectors.schema)
+    found = sorted(map(tuple, topk.top_k(asked, vectors, 10, 8).collect()))
+    assert found == sorted(brute.top_k(exact, [exact[5]], 10))
 
 
 def test_prompt_is_the_common_prefix(spark):
