@@ -11,11 +11,14 @@ from pyspark.sql import functions as F
 from feedsieve.llm import (
     bpe_codec,
     chat_format,
+    collocations,
     exact_dedup,
+    language_id,
     ngram_join,
     packing,
     sharding,
     suffix_dedup,
+    token_alignment,
     token_counts,
     topk,
     toxicity,
@@ -106,6 +109,30 @@ def op10_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.near_components(table(spark, sf_dir, "documents"), nameless=True)
 
 
+def op11_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    found = language_id.identify(docs, language_id.fit(docs))
+    return found.select(
+        "doc_id",
+        language_id.held_out().alias("held_out"),
+        F.col("nearest").alias("lang_pred"),
+        "score",
+        "rejected",
+    )
+
+
+def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(table(spark, sf_dir, "documents"))
+
+
+def op13_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_alignment.aligned_documents(
+        table(spark, sf_dir, "documents"),
+        public_tokenizers.path("byte_bpe_50k.json"),
+        public_tokenizers.path("piece_bpe_32k.model"),
+    )
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     found = (
         op1_token_counts,
@@ -118,6 +145,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         op8_shards,
         op9_packing,
         op10_ngram_join,
+        op11_language_id,
+        op12_collocations,
+        op13_token_alignment,
     )
     return {f.__name__: f for f in found}
 
@@ -161,4 +191,43 @@ def oracle_sql() -> dict[str, str]:
                    doc_id = min(doc_id) OVER same AS kept, sha256(body) AS text_sha256
             FROM (SELECT doc_id, {normal} AS body FROM documents)
             WINDOW same AS (PARTITION BY body)""",
+        "op12_collocations": r"""
+            WITH pieces AS (
+                SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(translate(
+                    coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                    '[.,;:!?\x0A-\x0D]')) AS piece FROM documents),
+            lines AS (
+                SELECT lang, list_filter(regexp_split_to_array(piece, '[\x20\x09]+'), lambda w: w <> '') AS ws
+                FROM pieces),
+            sizes AS (SELECT lang, CAST(sum(len(ws)) AS HUGEINT) AS n FROM lines GROUP BY lang),
+            phrases AS MATERIALIZED (
+                SELECT lang, list_slice(ws, i, i + k - 1) AS p, k, CAST(count(*) AS HUGEINT) AS f
+                FROM (SELECT lang, ws, k, unnest(range(1, len(ws) - k + 2)) AS i
+                      FROM lines, (SELECT unnest(range(1, 6)) AS k))
+                GROUP BY ALL HAVING count(*) >= 100),
+            several AS (SELECT * FROM phrases WHERE k > 1),
+            held AS (
+                SELECT lang, p, max(f) AS longer
+                FROM (SELECT lang, f, list_slice(p, i, i + m - 1) AS p
+                      FROM (SELECT *, unnest(range(1, k - m + 2)) AS i
+                            FROM (SELECT *, unnest(range(2, k)) AS m FROM several)))
+                GROUP BY lang, p),
+            cuts AS (
+                SELECT s.*, unnest(range(1, k)) AS cut FROM several s LEFT JOIN held h USING (lang, p)
+                WHERE h.longer IS NULL OR 100 * h.longer < 100 * s.f),
+            scored AS (
+                SELECT c.lang, c.p, c.k, c.f AS a, x.f AS l, y.f AS r, n, cut,
+                       (1000 * c.f * n) // (x.f * y.f) AS score
+                FROM cuts c JOIN sizes USING (lang)
+                JOIN phrases x ON x.lang = c.lang AND x.p = list_slice(c.p, 1, cut)
+                JOIN phrases y ON y.lang = c.lang AND y.p = list_slice(c.p, cut + 1, c.k)),
+            weakest AS (
+                SELECT *, array_to_string(p, ' ') AS phrase FROM scored
+                QUALIFY row_number() OVER (PARTITION BY lang, p ORDER BY score, cut) = 1)
+            SELECT lang, row_number() OVER best AS rank, phrase, CAST(a AS BIGINT) AS a,
+                   CAST(l AS BIGINT) AS l, CAST(r AS BIGINT) AS r, CAST(n AS BIGINT) AS n,
+                   CAST(score AS BIGINT) AS score, CAST(k AS INTEGER) AS k
+            FROM weakest
+            WINDOW best AS (PARTITION BY lang ORDER BY score DESC, a DESC, phrase)
+            QUALIFY row_number() OVER best <= 2000""",
     }
