@@ -73,7 +73,7 @@ class Pieces:
             cut = text.find(" ", at + PIECE_BYTES)
             while cut > 0 and text[cut - 1] == " ":
                 cut = text.find(" ", cut + 1)
-            if cut < 0:
+            if cut < 0 or cut + 1 == len(text):  # an empty part would lose its space
                 break
             yield text[at:cut]
             at = cut + 1
