@@ -8,21 +8,27 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from feedsieve.operators.references import small_enough
 from feedsieve.operators.upsert import upsert
 from feedsieve.schemas import trade_schema
 
 RESEND_ORDER = ("executed_at", "instrument_id", "side", "quantity", "price")
 
 
-def typed_feed(feed: DataFrame, timestamp: T.DataType | None = None) -> DataFrame:
+def typed_feed(
+    feed: DataFrame, timestamp: T.DataType | None = None, complete: bool = False
+) -> DataFrame:
     """All-text feed to the typed trade layout.
 
     An empty string is a missing value. Text that does not parse also becomes
-    null, so the completeness rules report it and the batch goes on.
+    null, so the completeness rules report it and the batch goes on. A column the feed lacks is
+    left out, for drift to be seen, or with ``complete`` filled with nulls, for loading it.
     """
     typed = []
     for field in trade_schema(timestamp):
         if field.name not in feed.columns:
+            if complete:
+                typed.append(F.lit(None).cast(field.dataType).alias(field.name))
             continue
         if isinstance(feed.schema[field.name].dataType, T.StringType):
             value = F.nullif(F.col(field.name), F.lit(""))
@@ -107,6 +113,43 @@ def late_rows(
     )
 
 
+def _own_mark(trades: DataFrame, marks: DataFrame) -> DataFrame:
+    """Rows with the stored mark of their own source as ``_mark``; null without one.
+
+    There is a mark per source, normally few: measured, then broadcast. Otherwise the rows are shuffled by source, hot
+    sources split by adaptive execution.
+    """
+    own = marks.groupBy(F.col("source_file").alias("_source")).agg(F.max("high_watermark").alias("_mark"))
+    if small_enough(marks.select("source_file")):
+        own = F.broadcast(own)
+    return trades.join(own, F.col("source_file").eqNullSafe(F.col("_source")), "left")
+
+
+def newer_by_source(trades: DataFrame, marks: DataFrame, column: str = "executed_at") -> DataFrame:
+    """Rows from the mark of their own source on (``source_file``, ``high_watermark``).
+
+    A slow source is not held to the mark of a fast one, and one without a mark is loaded in full. Rows
+    without a time cannot be placed and stay in.
+    """
+    value, mark = F.col(column), F.col("_mark")
+    kept = _own_mark(trades, marks).where(value.isNull() | mark.isNull() | (value >= mark))
+    return kept.select(*trades.columns)
+
+
+def late_by_source(trades: DataFrame, marks: DataFrame, column: str = "executed_at") -> DataFrame:
+    """Rows per source that ``newer_by_source`` leaves out, the mark they miss and their oldest time."""
+    return (
+        _own_mark(trades, marks)
+        .where(F.col(column) < F.col("_mark"))
+        .groupBy("source_file")
+        .agg(
+            F.count(F.lit(1)).alias("late_rows"),
+            F.min(column).alias("oldest"),
+            F.max("_mark").alias("high_watermark"),
+        )
+    )
+
+
 def load_trades(
     existing: DataFrame,
     feed: DataFrame,
@@ -116,15 +159,16 @@ def load_trades(
 ) -> DataFrame:
     """The trade table after loading a feed: type, select, merge re-sends, upsert.
 
-    An incremental load leaves out what is older than the watermark, corrections of
-    older trades included (see ``late_rows``), so it has to be asked for. The mark is
-    read from ``marks``, the stored ``etl_watermark``; without it the trade table is scanned.
+    An incremental load leaves out what is older than the mark of its own source, corrections of
+    older trades included (see ``late_by_source``), so it has to be asked for. The marks are
+    read from ``marks``, the stored ``etl_watermark``; without it the trade table is scanned. A column the feed
+    lacks is loaded as nulls.
     """
-    incoming = typed_feed(feed, timestamp)
+    incoming = typed_feed(feed, timestamp, complete=True)
     if incremental:
-        stored = high_watermark(existing) if marks is None else high_watermark(marks, "high_watermark")
-        incoming = newer_than(incoming, stored.scalar())
-    return upsert(existing, collapse_retries(incoming), ["trade_id"])
+        incoming = newer_by_source(incoming, source_watermarks(existing) if marks is None else marks)
+    arrived = collapse_retries(incoming)
+    return upsert(existing, arrived, ["trade_id"], small_enough(incoming.select("trade_id")))
 
 
 def load_balance(existing: DataFrame, feed: DataFrame, timestamp: T.DataType | None = None) -> DataFrame:

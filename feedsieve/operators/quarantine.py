@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from feedsieve.functions.predicates import literal, quoted
 from feedsieve.operators.labels import References, failing_rows, offenders
 from feedsieve.operators.load import latest_per_key
-from feedsieve.operators.references import reference_keys
+from feedsieve.operators.references import reference_keys, small_enough
 from feedsieve.rules import Rule, exists_in, row_rules
 from feedsieve.schemas import rejected_schema
 
@@ -133,6 +133,35 @@ def orphan_trades(trades: DataFrame, instruments: DataFrame) -> DataFrame:
     return offenders(trades, instruments, known, ["trade_id", "instrument_id"])
 
 
+def resolve_orphans(
+    records: DataFrame,
+    arrived: DataFrame,
+    rule: str,
+    run_id: str | Column,
+    rejected_at: dt.datetime | Column,
+    column: str = "instrument_id",
+) -> DataFrame:
+    """Records whose reference has arrived since, without that reason, and whether none is left.
+
+    ``records`` are the current ones and ``arrived`` the reference rows that are new: only records that lack just
+    these are touched, and the fact table is not read. The new references are measured before they are broadcast.
+    A ``resolved`` record has no reasons: its trade may be released. The others are new records of the run.
+    """
+    stamp = rejected_at if isinstance(rejected_at, Column) else F.lit(rejected_at)
+    tag = run_id if isinstance(run_id, Column) else F.lit(run_id)
+    keys = reference_keys(arrived, column)
+    if small_enough(arrived.select(column)):
+        keys = F.broadcast(keys)
+    orphans = records.where(F.array_contains("reasons", rule))
+    left = orphans.join(keys, column, "left_semi").withColumn("reasons", F.array_remove("reasons", rule))
+    return left.select(
+        *[c for c in records.columns if c not in ("run_id", "rejected_at")],
+        tag.alias("run_id"),
+        stamp.alias("rejected_at"),
+        (F.size("reasons") == 0).alias("resolved"),
+    )
+
+
 def orphan_keys(trades: DataFrame, instruments: DataFrame) -> DataFrame:
     """Unknown instruments and the trades naming each.
 

@@ -205,13 +205,18 @@ def unique_rows(
     df: DataFrame, rules: Sequence[Rule], by: Sequence[str] = ()
 ) -> list[DataFrame]:
     """Report rows of the uniqueness rules, one aggregation each."""
-    out = []
-    for position, rule in enumerate(rules):
-        if rule.kind == UNIQUE and readable(rule, df.columns):
-            failing = "duplicate_rows"
-            entry = _entry(position, rule, f"{failing} = 0", failing, f"CAST({failing} AS STRING)")
-            out.append(_unpivoted(duplicate_summary(df, rule.columns[0], by), [entry], by))
-    return out
+    return [
+        unique_row(duplicate_summary(df, rule.columns[0], by), position, rule, by)
+        for position, rule in enumerate(rules)
+        if rule.kind == UNIQUE and readable(rule, df.columns)
+    ]
+
+
+def unique_row(summary: DataFrame, position: int, rule: Rule, by: Sequence[str] = ()) -> DataFrame:
+    """Report row of a uniqueness rule from ``duplicate_rows`` and ``rows_checked``."""
+    failing = "duplicate_rows"
+    entry = _entry(position, rule, f"{failing} = 0", failing, f"CAST({failing} AS STRING)")
+    return _unpivoted(summary, [entry], by)
 
 
 def rule_report(

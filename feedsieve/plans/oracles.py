@@ -96,6 +96,15 @@ def _flagged(source: str, extra: str = "") -> str:
 _REASONS = (
     "concat_ws(','," + ", ".join(f"CASE WHEN f_{n} THEN '{n}' END" for n in _ROW_RULES) + ")"
 )
+_REASONS_BUT_ORPHAN = (
+    "concat_ws(',',"
+    + ", ".join(f"CASE WHEN f_{n} THEN '{n}' END" for n in _ROW_RULES if n != "instrument_exists")
+    + ")"
+)
+_PACED_MARKS = (
+    "SELECT source_file, max(executed_at) AS mark FROM landed WHERE ingested_at < CASE WHEN source_file = 'feed_F' "
+    f"THEN TIMESTAMP '1997-01-01 00:00:00' ELSE {_SPLIT} END GROUP BY source_file"
+)
 _BROKEN = "(" + " OR ".join(f"f_{n}" for n in _ROW_RULES) + ")"
 
 _BASE = f"""
@@ -336,6 +345,24 @@ def oracle_sql() -> dict[str, str]:
             "SELECT * FROM landed WHERE executed_at IS NULL OR executed_at >= "
             f"(SELECT max(executed_at) FROM landed WHERE ingested_at < {_SPLIT})"
         ),
+        "incremental_load_by_source": (
+            f"SELECT l.* FROM landed l LEFT JOIN ({_PACED_MARKS}) m "
+            "ON m.source_file IS NOT DISTINCT FROM l.source_file "
+            "WHERE executed_at IS NULL OR mark IS NULL OR executed_at >= mark"
+        ),
+        "late_by_source": (
+            "SELECT l.source_file, count(*) AS late_rows, min(executed_at) AS oldest, max(mark) AS high_watermark "
+            f"FROM landed l JOIN ({_PACED_MARKS}) m ON m.source_file = l.source_file "
+            "WHERE executed_at < mark GROUP BY l.source_file"
+        ),
+        "loaded_as_of": (
+            f"SELECT {trade_columns}, 1 AS version FROM first_batch "
+            f"UNION ALL SELECT {trade_columns}, 2 AS version FROM loaded"
+        ),
+        "indexed_duplicates": (
+            "SELECT trade_id, count(*) AS n FROM landed GROUP BY trade_id HAVING count(*) > 1 "
+            f"AND count(*) FILTER (WHERE ingested_at >= {_SPLIT}) > 0"
+        ),
         "late_rows": (
             "SELECT source_file, count(*) AS late_rows, min(executed_at) AS oldest FROM landed "
             f"WHERE executed_at < (SELECT max(executed_at) FROM landed WHERE ingested_at < {_SPLIT}) "
@@ -400,9 +427,20 @@ def oracle_sql() -> dict[str, str]:
         ),
         "quarantine_rows": _quarantine("trade", *_FIRST),
         "quarantine_upsert": (
-            f"SELECT * FROM ({_quarantine('first_batch', *_FIRST)}) a WHERE NOT EXISTS "
-            f"(SELECT 1 FROM ({_quarantine('loaded', *_SECOND)}) b WHERE b.trade_id = a.trade_id) "
-            f"UNION ALL {_quarantine('loaded', *_SECOND)}"
+            "SELECT * EXCLUDE (rn) FROM (SELECT *, row_number() OVER (PARTITION BY trade_id "
+            f"ORDER BY run_id DESC) AS rn FROM ({_quarantine('first_batch', *_FIRST)} "
+            f"UNION ALL {_quarantine('loaded', *_SECOND)})) WHERE rn = 1"
+        ),
+        "current_rejected_compacted": (
+            "SELECT * EXCLUDE (rn) FROM (SELECT *, row_number() OVER (PARTITION BY trade_id "
+            f"ORDER BY rejected_at DESC) AS rn FROM ({_quarantine('first_batch', *_FIRST)} "
+            f"UNION ALL {_quarantine('second_batch', *_SECOND)})) WHERE rn = 1"
+        ),
+        "orphans_resolved": (
+            "SELECT trade_id, instrument_id, side, quantity, price, executed_at, source_file, "
+            f"{_REASONS_BUT_ORPHAN} AS reasons, '{_SECOND[0]}' AS run_id, TIMESTAMP '{_SECOND[1]}' AS rejected_at, "
+            f"{_REASONS_BUT_ORPHAN} = '' AS resolved FROM stored WHERE f_instrument_exists AND instrument_id IN "
+            "(SELECT p_partkey FROM part WHERE p_partkey % 97 = 5 AND p_partkey % 2 = 1)"
         ),
         "current_rejected": (
             f"SELECT * FROM ({_quarantine('first_batch', *_FIRST)}) a WHERE NOT EXISTS "
@@ -507,6 +545,7 @@ LEFT JOIN ({_counts("stored", tag="CAST(executed_at AS DATE) AS trade_date, inst
             "SELECT rule, category, scope, success, failing_rows, observed, rows_checked "
             f"FROM ({_report(rules=unscoped)})"
         ),
+        "scoped_run": _report(),
         "touched_duplicates": (
             "SELECT trade_id, count(*) AS n FROM landed WHERE trade_id IN (SELECT trade_id FROM "
             f"landed WHERE ingested_at >= {_SPLIT}) GROUP BY trade_id HAVING count(*) > 1"

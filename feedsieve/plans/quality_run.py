@@ -91,9 +91,12 @@ def run_quality(
     as_of: str | dt.date | None = None,
     now: dt.datetime | None = None,
     quarantine_when: str = ALWAYS,
+    report: DataFrame | None = None,
 ) -> RunOutcome:
     """Check ``trades``, quarantine what fails and record the run.
 
+    With a ``report`` made elsewhere (``scoped_run``) ``trades`` are only those to be quarantined.
+
     Bad data is an outcome, not an error. ``quarantine_when`` is ``always``,
     ``on_failure`` (only after a failed verdict) or ``never``. The run row is
     written last, so an interrupted run stays ``running`` and can be repeated
@@ -113,7 +116,7 @@ def run_quality(
     tables.ensure()
     tables.start_run(run_id, stamp)
 
-    plan = rule_report(trades, references, rules, as_of)
+    plan = rule_report(trades, references, rules, as_of) if report is None else report
     found = plan.collect()
     report = spark.createDataFrame(found, plan.schema)
     result = verdict(report).withColumn("summary", outcome_line()).first()

@@ -1,8 +1,8 @@
 """Named queries over the given tables, one per operator of the survey.
 
 Every query reads the derived feed of the directory it is given and returns a
-lazy DataFrame. Reason arrays are joined to text so that results compare across
-engines.
+lazy DataFrame; those about stored state first write it to a new folder below ``spark.checkpoint.dir``. Reason
+arrays are joined to text so that results compare across engines.
 """
 
 from __future__ import annotations
@@ -14,10 +14,15 @@ from pyspark.sql import functions as F
 
 from feedsieve.functions.text import outcome_line, quarantine_line
 from feedsieve.operators import labels, load, partitions, pnl, quarantine, report, runs, upsert
+from feedsieve.plans import scoped_run as scoped
 from feedsieve.plans import tables as T
 from feedsieve.rules import KEY_PRESENT, Rule, positive, predicate, row_rules, trade_rules
-from feedsieve.schemas import TRADE_COLUMNS
+from feedsieve.schemas import TRADE_COLUMNS, trade_schema
+from feedsieve.sources.files import shared_folder
+from feedsieve.sources.key_index import KeyIndex, duplicates_after
 from feedsieve.sources.readers import read_query
+from feedsieve.sources.tables import QualityTables
+from feedsieve.sources.versions import VersionedTable, partition_text
 
 RULES = trade_rules()
 BY_NAME = {r.name: r for r in RULES}
@@ -27,6 +32,7 @@ AS_OF = "2001-12-01"
 STALE_AS_OF = "2004-01-01"
 # Loads before and from this day are the first and the second batch.
 SECOND_BATCH_FROM = "1999-01-01"
+SLOW_FROM = "1997-01-01"
 FIRST_RUN, SECOND_RUN = "run-a", "run-b"
 FIRST_TIME, SECOND_TIME = "2001-11-30 06:00:00", "2001-12-01 06:00:00"
 
@@ -81,6 +87,72 @@ def late_rows(spark: SparkSession, d: str) -> DataFrame:
     return load.late_rows(T.landed(spark, d), _stored_mark(spark, d))
 
 
+def _paced(landed: DataFrame) -> Column:
+    """What was loaded of each source: one is two years behind the other."""
+    slow = F.col("source_file") == "feed_F"
+    return F.col("ingested_at") < F.when(slow, _time(SLOW_FROM)).otherwise(_time(SECOND_BATCH_FROM))
+
+
+def incremental_load_by_source(spark: SparkSession, d: str) -> DataFrame:
+    """Each row against the mark of its own source."""
+    landed = T.landed(spark, d)
+    marks = load.source_watermarks(landed.where(_paced(landed)))
+    return load.newer_by_source(load.typed_feed(T.feed(spark, d), T.NTZ), marks)
+
+
+def late_by_source(spark: SparkSession, d: str) -> DataFrame:
+    landed = T.landed(spark, d)
+    return load.late_by_source(landed, load.source_watermarks(landed.where(_paced(landed))))
+
+
+MONTH = "trade_month"
+
+
+def _monthly_store(spark: SparkSession, folder: str) -> VersionedTable:
+    layout = trade_schema(T.NTZ).add(MONTH, "date")
+    return VersionedTable(spark, f"{folder}/trade", layout, MONTH)
+
+
+def _by_month(rows: DataFrame) -> DataFrame:
+    return rows.withColumn(MONTH, F.trunc(pnl.trade_date(), "month"))
+
+
+def _months(rows: DataFrame) -> list[str]:
+    """Folder names of the months of some rows: one per month."""
+    return [r[0] for r in _by_month(rows).select(partition_text(MONTH)).distinct().collect()]
+
+
+def loaded_as_of(spark: SparkSession, d: str) -> DataFrame:
+    """The trade table after its first load and after its second, from one versioned table."""
+    first, second = _batches(T.landed(spark, d))
+    store = _monthly_store(spark, shared_folder(spark))
+    before = store.overwrite(_by_month(first))
+    # Months that hold an older version of an arriving trade are touched as well.
+    known = store.rows_of(before).join(second.select("trade_id"), "trade_id", "left_semi")
+    touched = sorted({*_months(second), *_months(known)})
+    after = upsert.upsert(
+        store.rows_of(before, touched), _by_month(second), ["trade_id"], True
+    )
+    version = store.begin()
+    store.commit(before, version, store.write(version, after), touched)
+    return (
+        store.rows(before.version)
+        .withColumn("version", F.lit(1))
+        .unionByName(store.rows().withColumn("version", F.lit(2)))
+        .drop(MONTH)
+    )
+
+
+def indexed_duplicates(spark: SparkSession, d: str) -> DataFrame:
+    """Duplicates that the second batch causes, asked of a key index that holds the first."""
+    landed = T.landed(spark, d)
+    later = F.col("ingested_at") >= _time(SECOND_BATCH_FROM)
+    index = KeyIndex(spark, f"{shared_folder(spark)}/keys", buckets=8, expected_keys=100_000)
+    index.add(landed.where(~later), F.col("source_file"), 1)
+    finished = spark.createDataFrame([(1,)], "load long")
+    return duplicates_after(index, landed.where(later), finished).select("trade_id", "n")
+
+
 def _nameless(feed: DataFrame) -> DataFrame:
     """The feed with some ids missing."""
     lacking = F.substring("trade_id", 2, 20).cast("long") % 101 == 0
@@ -254,6 +326,30 @@ def current_rejected(spark: SparkSession, d: str) -> DataFrame:
     return _joined(quarantine.current_rejected(records))
 
 
+def current_rejected_compacted(spark: SparkSession, d: str) -> DataFrame:
+    """The quarantine from a snapshot of the first run and the records of the second."""
+    landed, instruments = _both(spark, d)
+    owned = QualityTables(spark, shared_folder(spark))
+    owned.ensure()
+    for run, time, batch in zip((FIRST_RUN, SECOND_RUN), (FIRST_TIME, SECOND_TIME), _batches(landed), strict=True):
+        stamp = F.lit(time).cast("timestamp")
+        owned.write_rejected(quarantine.quarantine(batch, instruments, RULES, run, stamp))
+        if run == FIRST_RUN:
+            owned.compact_rejected()
+    zone_free = {c: F.col(c).cast("timestamp_ntz") for c in ("executed_at", "rejected_at")}
+    return _joined(owned.current_rejected().withColumns(zone_free))
+
+
+def orphans_resolved(spark: SparkSession, d: str) -> DataFrame:
+    """Orphan records of instruments that arrived late, labelled again without the trades."""
+    late = T.late_instruments(spark, d)
+    return _joined(
+        quarantine.resolve_orphans(
+            _rejected(spark, d), late, "instrument_exists", SECOND_RUN, _time(SECOND_TIME)
+        )
+    )
+
+
 def valid_trades(spark: SparkSession, d: str) -> DataFrame:
     return labels.valid_rows(*_stored(spark, d), RULES)
 
@@ -456,6 +552,28 @@ def scoped_report(spark: SparkSession, d: str) -> DataFrame:
     )
 
 
+def scoped_run(spark: SparkSession, d: str) -> DataFrame:
+    """The full report after a second load that only adds rows, from counters and the months it touched."""
+    landed, instruments = _both(spark, d)
+    later = F.col("ingested_at") >= _time(SECOND_BATCH_FROM)
+    folder = shared_folder(spark)
+    owned, store = QualityTables(spark, f"{folder}/quality"), _monthly_store(spark, folder)
+    index = KeyIndex(spark, f"{folder}/keys", buckets=8, expected_keys=100_000)
+    owned.ensure()
+    before = store.manifest()
+    for batch in (landed.where(~later), landed.where(later)):
+        touched = _months(batch)
+        rows = store.rows_of(before, touched).unionByName(_by_month(batch))
+        version = store.begin()
+        after = store.commit(before, version, store.write(version, rows), touched)
+        places = spark.createDataFrame([(m,) for m in touched], "place string")
+        scoped.record_partitions(owned, store.rows_of(after, touched), places, instruments, RULES, MONTH, version)
+        finished = spark.createDataFrame([(v,) for v in store.versions() if v < version], "load long")
+        scoped.record_keys(owned, index, _by_month(batch), finished, partition_text(MONTH), version)
+        before = after
+    return scoped.scoped_report(owned, RULES, TRADE_COLUMNS, AS_OF).drop("description")
+
+
 def touched_duplicates(spark: SparkSession, d: str) -> DataFrame:
     dated = _dated(spark, d)
     second = dated.where(F.col("ingested_at") >= _time(SECOND_BATCH_FROM))
@@ -467,10 +585,14 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         typed_feed,
         collapse_retries,
         incremental_load,
+        incremental_load_by_source,
         late_rows,
+        late_by_source,
         load_balance,
         unkeyed_rejected,
         trade_upsert,
+        loaded_as_of,
+        indexed_duplicates,
         feed_watermark,
         rule_report,
         rule_report_loaded,
@@ -490,6 +612,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         quarantine_rows,
         quarantine_upsert,
         current_rejected,
+        current_rejected_compacted,
+        orphans_resolved,
         valid_trades,
         batch_split,
         orphan_trades,
@@ -511,6 +635,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         coverage_gap,
         partition_report,
         scoped_report,
+        scoped_run,
         touched_duplicates,
     )
     named = {f.__name__: f for f in plain}

@@ -80,11 +80,10 @@ def trades(spark: SparkSession, sf_dir: str) -> DataFrame:
     return latest_per_key(landed(spark, sf_dir), "trade_id", RESEND_ORDER)
 
 
-def instruments(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The instrument table, lacking some of the traded parts."""
+def _instruments(spark: SparkSession, sf_dir: str, wanted: str) -> DataFrame:
     return (
         table(spark, sf_dir, "part")
-        .where("p_partkey % 97 <> 5")
+        .where(wanted)
         .selectExpr(
             "try_cast(p_partkey AS INT) AS instrument_id",
             "p_name AS symbol",
@@ -92,3 +91,13 @@ def instruments(spark: SparkSession, sf_dir: str) -> DataFrame:
             "'USD' AS currency",
         )
     )
+
+
+def instruments(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The instrument table, lacking some of the traded parts."""
+    return _instruments(spark, sf_dir, "p_partkey % 97 <> 5")
+
+
+def late_instruments(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Some of the lacking instruments, arrived since."""
+    return _instruments(spark, sf_dir, "p_partkey % 97 = 5 AND p_partkey % 2 = 1")

@@ -105,3 +105,21 @@ def watermark_schema(timestamp: T.DataType | None = None) -> T.StructType:
             T.StructField("high_watermark", ts),
         ]
     )
+
+
+def counter_schema() -> T.StructType:
+    """``partition_counters``: mergeable counters of a partition as of a load, by rule."""
+    return T.StructType(
+        [
+            T.StructField("place", T.StringType()),
+            T.StructField("load", T.LongType()),
+            T.StructField("rows_checked", T.LongType()),
+            T.StructField("failing", T.MapType(T.StringType(), T.LongType())),
+            T.StructField("newest", T.MapType(T.StringType(), T.TimestampType())),
+        ]
+    )
+
+
+def duplicate_schema() -> T.StructType:
+    """``duplicate_changes``: by how much each load changed the number of duplicate rows."""
+    return T.StructType([T.StructField("load", T.LongType()), T.StructField("duplicate_rows", T.LongType())])

@@ -31,9 +31,15 @@ def test_valid_and_rejected_rows_part_the_batch(load, instruments):
 
 
 def test_every_reason_is_recorded_in_declaration_order(load, instruments):
-    trades = load(row("M", price="", quantity=-5, side="X"))
-    assert reasons(trades, instruments) == {
-        "M": ["price_present", "quantity_positive", "side_recognised"]
+    broken = {"instrument_id": "", "executed_at": "noon", "quantity": 0, "price": "-2", "side": "hold"}
+    assert reasons(load(row("all", **broken), row("none")), instruments) == {
+        "all": [
+            "instrument_id_present",
+            "executed_at_present",
+            "quantity_positive",
+            "price_positive",
+            "side_recognised",
+        ]
     }
 
 
@@ -51,7 +57,7 @@ def test_every_reason_is_recorded_in_declaration_order(load, instruments):
         ({"side": ""}, "side_present"),
         ({"side": "X"}, "side_recognised"),
         ({"side": " BUY"}, "side_recognised"),
-        ({"instrument_id": 9999}, "instrument_exists"),
+        ({"instrument_id": 58}, "instrument_exists"),
         ({"price": "ten"}, "price_present"),
         ({"executed_at": "yesterday"}, "executed_at_present"),
     ],
@@ -238,6 +244,30 @@ def test_orphans(load, instruments):
     assert as_dict(q.orphan_keys(trades, instruments), "instrument_id", "n") == {7: 2}
 
 
+def test_orphans_are_labelled_again_when_their_reference_arrives(spark, load, instruments):
+    trades = load(
+        row("A", instrument_id=7),
+        row("B", instrument_id=7, price=""),
+        row("C", instrument_id=8),
+        row("D", price=""),
+        row("", instrument_id=7),
+    )
+    records = q.quarantine(trades, instruments, RULES, "run-1", NOW)
+    arrived = spark.createDataFrame([(7,), (7,), (1,), (None,)], "instrument_id int")
+    found = q.resolve_orphans(records, arrived, "instrument_exists", "run-2", NOW)
+    assert set(found.columns) == {*records.columns, "resolved"}
+    got = {r.trade_id: (r.reasons, r.resolved, r.run_id) for r in found.collect()}
+    assert got == {
+        "A": ([], True, "run-2"),
+        "B": (["price_present"], False, "run-2"),
+        None: ([], True, "run-2"),
+    }
+    # What is left is what labelling the trades with all references gives.
+    again = q.quarantine(trades, instruments.unionByName(arrived, True), RULES, "run-2", NOW)
+    left = as_dict(again.where("instrument_id = 7"), "trade_id", "reasons")
+    assert left == {"B": ["price_present"]}
+
+
 def test_current_rejected_takes_the_latest_record(load, instruments):
     later = NOW.replace(hour=13)
     records = (
