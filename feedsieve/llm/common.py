@@ -35,6 +35,14 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def free_name(df: DataFrame, name: str) -> str:
+    """``name``, longer by as many underscores as no column of ``df`` has that name."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def whole_text(column: str) -> Column:
     """The text, with null as the empty text."""
     return F.coalesce(F.col(column).cast("string"), F.lit(""))
@@ -53,7 +61,7 @@ def slices(batch: pa.RecordBatch, text_col: int, most: int) -> Iterator[pa.Recor
 
     No text is cut: a longer one is a slice of its own.
     """
-    sizes = pc.binary_length(batch.column(text_col)).to_numpy(zero_copy_only=False)
+    sizes = pc.fill_null(pc.binary_length(batch.column(text_col)), 0).to_numpy(zero_copy_only=False)
     first, held = 0, 0
     for i, size in enumerate(sizes):
         if held and held + size > most:

@@ -144,7 +144,8 @@ def training_rows(
         .select(F.col("lang").alias("__lang"), F.col("least.h").alias("__h"), F.col("least.id").alias("__id"))
     )
     same = (F.col("lang") == F.col("__lang")) & (F.col("h") == F.col("__h")) & (F.col("id") == F.col("__id"))
-    return rows.join(chosen, same, "left_semi").dropDuplicates(["lang", "h"]).select("lang", "text")
+    # ``most_langs`` x ``sample`` rows of three values at most
+    return rows.join(F.broadcast(chosen), same, "left_semi").dropDuplicates(["lang", "h"]).select("lang", "text")
 
 
 def _sampled_counts(rows: DataFrame) -> DataFrame:

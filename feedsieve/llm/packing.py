@@ -69,8 +69,12 @@ def token_pieces(
     id_col: str = "doc_id",
     text_col: str = "text",
     with_ids: bool = False,
+    with_copies: bool = False,
 ) -> DataFrame:
-    """id, piece, start, length, ids_crc32 and, if asked, ids of every piece."""
+    """id, piece, start, length, ids_crc32 and, if asked, ids of every piece.
+
+    With copies, ``__copy`` tells how many equal pieces came before in the partition.
+    """
     fields = [
         T.StructField(id_col, docs.schema[id_col].dataType),
         T.StructField("piece", T.IntegerType()),
@@ -80,11 +84,14 @@ def token_pieces(
     ]
     if with_ids:
         fields.append(T.StructField("ids", T.ArrayType(T.IntegerType())))
+    if with_copies:
+        fields.append(T.StructField("__copy", T.LongType()))
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode = encoder(tokenizer_json)
+        seen: dict[int, int] = {}
         for batch in batches:
-            for part in slices(batch, 1, 4 << 20):
+            for part in slices(batch, 1, 1 << 20):
                 row, piece, start, length, crc, kept = [], [], [], [], [], []
                 for i, text in enumerate(part.column(1)):
                     ids = np.append(encode(text.as_py()), end_id).astype("<u4")
@@ -106,6 +113,10 @@ def token_pieces(
                 ]
                 if with_ids:
                     columns.append(pa.array(kept, pa.list_(pa.int32())))
+                if with_copies:
+                    owners = part.column(0).to_pylist()
+                    same = zip((owners[i] for i in row), piece, start, length, crc, strict=True)
+                    columns.append(pa.array([_before(seen, hash(one)) for one in same], pa.int64()))
                 yield pa.RecordBatch.from_arrays(columns, names=[f.name for f in fields])
 
     texts = docs.select(F.col(id_col).alias("id"), whole_text(text_col).alias("text"))
@@ -144,15 +155,18 @@ def best_fit(lengths: list[int], capacity: int, open_bins: int) -> tuple[list[in
     return bins, offsets
 
 
+def _before(seen: dict[int, int], own: int) -> int:
+    """How often ``own`` was seen before."""
+    before = seen.get(own, 0)
+    seen[own] = before + 1
+    return before
+
+
 def _count_copies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Batches with ``__copy``: how many equal pieces came before in the partition."""
     seen: dict[int, int] = {}
     for batch in batches:
-        copies = []
-        for own in batch.column(batch.num_columns - 1).to_pylist():
-            before = seen.get(own, 0)
-            copies.append(before)
-            seen[own] = before + 1
+        copies = [_before(seen, own) for own in batch.column(batch.num_columns - 1).to_pylist()]
         yield pa.RecordBatch.from_arrays(
             [*batch.columns, pa.array(copies, pa.int64())], names=[*batch.schema.names, "__copy"]
         )
@@ -165,15 +179,20 @@ def pack(
     open_bins: int = OPEN_BINS,
     id_col: str = "doc_id",
 ) -> DataFrame:
-    """``pieces`` with ``sequence_id`` and ``offset``; lengths are 1 to ``capacity``."""
-    plain = pieces.drop("sequence_id", "offset")
+    """``pieces`` with ``sequence_id`` and ``offset``; lengths are 1 to ``capacity``.
+
+    ``__copy`` (see ``token_pieces``) is counted here, in a map of its own, if the pieces lack it.
+    """
+    plain = pieces.drop("sequence_id", "offset", "__copy")
     own = F.xxhash64(*[F.col(c) for c in (id_col, "piece", "start", "length", "ids_crc32")])
-    keyed = plain.withColumn("__own", own)
-    counted = T.StructType([*keyed.schema.fields, T.StructField("__copy", T.LongType())])
+    counted = pieces.drop("sequence_id", "offset").withColumn("__own", own)
+    if "__copy" not in pieces.columns:
+        counted = counted.mapInArrow(
+            _count_copies, T.StructType([*counted.schema.fields, T.StructField("__copy", T.LongType())])
+        )
     salt = F.xxhash64("__own", "__copy", F.spark_partition_id())
     dealt = (
-        keyed.mapInArrow(_count_copies, counted)
-        .withColumn(
+        counted.withColumn(
             "__bucket",
             F.pmod(F.when(F.col("__copy") == 0, F.col("__own")).otherwise(salt), F.lit(n_buckets)),
         )
@@ -209,5 +228,5 @@ def pack_documents(
     rows, size = corpus_size(docs, text_col)
     # A piece more than the document's first takes a whole sequence, so this many at most.
     n_buckets = max(1, math.ceil((rows + size / capacity) / bucket_pieces))
-    pieces = token_pieces(docs, tokenizer_json, capacity, end_id, id_col, text_col)
+    pieces = token_pieces(docs, tokenizer_json, capacity, end_id, id_col, text_col, with_copies=True)
     return pack(pieces, n_buckets, capacity, OPEN_BINS, id_col)

@@ -24,6 +24,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from feedsieve.llm.common import free_name
+
 BUCKET_BYTES = 8 << 20
 
 
@@ -45,9 +47,10 @@ def shuffle_shards(
     total = plain.agg(F.sum(record_size(text_col)).alias("b")).first()["b"] or 0
     n = max(1, math.ceil(total / bucket_bytes))
     keys = [F.lit(seed), F.col(id_col), F.crc32(F.coalesce(F.col(text_col), F.lit("")))]
-    scattered = plain.withColumn("__bucket", F.pmod(F.xxhash64(*keys), F.lit(n)))
+    own = free_name(plain, "__bucket")
+    scattered = plain.withColumn(own, F.pmod(F.xxhash64(*keys), F.lit(n)))
     offsets = np.zeros(n + 1, np.int64)
-    for bucket, rows in scattered.groupBy("__bucket").count().collect():
+    for bucket, rows in scattered.groupBy(own).count().collect():
         offsets[bucket + 1] = rows
     before = docs.sparkSession.sparkContext.broadcast(np.cumsum(offsets))
     names = plain.columns
@@ -55,7 +58,7 @@ def shuffle_shards(
 
     def deal(key: tuple, table: pa.Table) -> pa.Table:
         bucket = key[0].as_py()
-        table = table.drop_columns(["__bucket"])
+        table = table.drop_columns([own])
         text = table.column(text_at)
         order = pa.table(
             {
@@ -78,7 +81,7 @@ def shuffle_shards(
     schema = T.StructType(
         [*plain.schema.fields, T.StructField("shard", T.IntegerType()), T.StructField("slot", T.LongType())]
     )
-    return scattered.groupBy("__bucket").applyInArrow(deal, schema)
+    return scattered.groupBy(own).applyInArrow(deal, schema)
 
 
 def write_shards(shards: DataFrame, path: str) -> None:

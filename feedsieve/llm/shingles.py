@@ -9,6 +9,7 @@ import numpy as np
 WHITE = np.zeros(256, bool)
 WHITE[[0x20, *range(0x09, 0x0E)]] = True
 LOWER = bytes.maketrans(bytes(range(65, 91)), bytes(range(97, 123)))
+PART = 1 << 18  # bytes hashed at a time
 BASE = 0x9E3779B97F4A7C15 | 1
 UNBASE = pow(BASE, -1, 1 << 64)
 # A different odd factor for each place in a shingle.
@@ -30,18 +31,36 @@ def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     return up, down
 
 
-def word_hashes(raw: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Start and 64-bit hash of each word."""
+def _part_hashes(raw: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     inside = np.concatenate(([False], ~WHITE[raw], [False]))
     edges = np.flatnonzero(inside[1:] != inside[:-1])
     starts, ends = edges[::2], edges[1::2]
-    size = 1 << max(16, int(len(raw)).bit_length())
-    up, down = _powers(size)
+    # The kept tables have the size of a part; only a word longer than that needs its own.
+    up, down = _powers(2 * PART) if len(raw) <= 2 * PART else _powers.__wrapped__(len(raw))
     sums = np.concatenate(([np.uint64(0)], np.cumsum((raw.astype(np.uint64) + np.uint64(1)) * up[: len(raw)])))
     whole = (sums[ends] - sums[starts]) * down[starts]
     return starts, mixed(whole + (ends - starts).astype(np.uint64) * np.uint64(0xC2B2AE3D27D4EB4F))
 
 
+def word_hashes(raw: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Start and 64-bit hash of each word; read in parts that end at white space."""
+    starts, hashes, at = [], [], 0
+    while at < len(raw):
+        end = at + PART
+        while end < len(raw):
+            white = np.flatnonzero(WHITE[raw[end : end + PART]])
+            if len(white):
+                end += int(white[0])
+                break
+            end += PART
+        part = raw[at : min(end, len(raw))]
+        own, hashed = _part_hashes(part)
+        starts.append(own + at)
+        hashes.append(hashed)
+        at += len(part)
+    return np.concatenate([np.zeros(0, np.int64), *starts]), np.concatenate([np.zeros(0, np.uint64), *hashes])
+
+
 def shingle_sets(texts: list[bytes], width: int = 5) -> list[np.ndarray]:
     """The sorted distinct shingle hashes of each text.
 

@@ -44,7 +44,8 @@ GRAM = 32
 SHALLOW = GRAM + 16
 FEW = 12
 GIANT = 50_000
-SLICE_BYTES = 2 << 20
+SLICE_BYTES = 1 << 19
+PART = 1 << 18  # windows looked at together
 
 
 def gram_hashes(raw: np.ndarray) -> np.ndarray:
@@ -81,26 +82,34 @@ class Anchors:
         self.text = self.first = self.last = self.place = self.gram = none
         if len(self.joined) < length:
             return
-        hashes = gram_hashes(np.frombuffer(self.joined, np.uint8))
-        low = np.uint64(0xFFFFFFFF)
-        # Ordered by half the hash, then from the left.
-        keys = (hashes & ~low) | np.arange(len(hashes), dtype=np.uint64)
-        place = (sliding_least(keys, length - GRAM + 1) & low).astype(np.int64)
-        # Windows that stay inside their text.
-        owner = np.repeat(np.arange(len(texts)), np.maximum(sizes - length + 1, 0))
-        window = np.arange(len(owner)) - np.repeat(
-            np.cumsum(np.maximum(sizes - length + 1, 0)) - np.maximum(sizes - length + 1, 0),
-            np.maximum(sizes - length + 1, 0),
-        ) + starts[owner]
-        if not len(window):
+        raw, ends = np.frombuffer(self.joined, np.uint8), starts + sizes
+        found = []
+        for at in range(0, len(raw) - length + 1, PART):
+            # Windows of texts laid end to end; only those inside their text count.
+            window = np.arange(at, min(at + PART, len(raw) - length + 1))
+            owner = np.searchsorted(ends, window, "right")
+            stays = window + length <= ends[owner]
+            if not stays.any():
+                continue
+            hashes = gram_hashes(raw[at : window[-1] + length])
+            low = np.uint64(0xFFFFFFFF)
+            # Ordered by half the hash, then from the left.
+            keys = (hashes & ~low) | np.arange(len(hashes), dtype=np.uint64)
+            place = (sliding_least(keys, length - GRAM + 1) & low).astype(np.int64)[stays]
+            window, owner = window[stays], owner[stays]
+            new = np.concatenate(([True], (place[1:] != place[:-1]) | (owner[1:] != owner[:-1])))
+            begin = np.flatnonzero(new)
+            end = np.append(begin[1:], len(window)) - 1
+            found.append((owner[begin], window[begin], window[end], place[begin] + at, hashes[place[begin]]))
+        if not found:
             return
-        chosen = place[window]
-        new = np.concatenate(([True], (chosen[1:] != chosen[:-1]) | (owner[1:] != owner[:-1])))
+        owner, first, last, place, gram = (np.concatenate(c) for c in zip(*found, strict=True))
+        # An anchor may go on from one part to the next.
+        new = np.concatenate(([True], (place[1:] != place[:-1]) | (owner[1:] != owner[:-1])))
         begin = np.flatnonzero(new)
-        end = np.append(begin[1:], len(window)) - 1
-        self.text = owner[begin]
-        self.first, self.last, self.place = window[begin], window[end], chosen[begin]
-        self.gram = hashes[self.place].view(np.int64)
+        self.text, self.first, self.place = owner[begin], first[begin], place[begin]
+        self.last = last[np.append(begin[1:], len(last)) - 1]
+        self.gram = gram[begin].view(np.int64)
         self.start = starts[self.text]
 
     def segments(self, length: int = LENGTH) -> np.ndarray:
@@ -374,7 +383,7 @@ def remove_repeats(
     also: list[str] | None = None,
     as_text: bool = False,
 ) -> DataFrame:
-    """id, n_bytes, n_removed, n_spans, kept, and the columns named in ``also``.
+    """id, n_bytes, n_removed, n_spans, kept, and the columns named in ``also``, each after two underscores.
 
     ``kept`` is bytes, or text without the characters that a cut went through.
     """
@@ -394,7 +403,8 @@ def remove_repeats(
         "d.id", "raw", F.col("spans.start").alias("starts"), F.col("spans.end").alias("ends"),
         *(f"__{c}" for c in carried),
     )
-    extra = [T.StructField(c, docs.schema[c].dataType) for c in carried]
+    # Under private names: an input column may be called like one of the results.
+    extra = [T.StructField(f"__{c}", docs.schema[c].dataType) for c in carried]
     schema = T.StructType(
         [
             T.StructField(id_col, docs.schema[id_col].dataType),
@@ -439,7 +449,7 @@ def without_repeats(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     """``docs`` with the text that is left, and its length where they have one."""
     others = [c for c in docs.columns if c not in ("doc_id", "text")]
     left = remove_repeats(docs, length, also=[*others], as_text=True)
-    renewed = {"text": F.col("kept")}
+    renewed = {"doc_id": F.col("doc_id"), "text": F.col("kept")}
     if "n_chars" in others:
         renewed["n_chars"] = F.length("kept").cast(docs.schema["n_chars"].dataType)
-    return left.select(*(renewed.get(c, F.col(c)).alias(c) for c in docs.columns))
+    return left.select(*((renewed[c] if c in renewed else F.col(f"`__{c}`")).alias(c) for c in docs.columns))

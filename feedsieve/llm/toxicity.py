@@ -44,7 +44,7 @@ TOLD, VOTES_FROM = 8.0, 15.0
 TRUST = 4.5
 ROUNDS = 15
 BEGINNINGS = (4, 5, 6)
-REMEMBERED = 400_000
+REMEMBERED = 50_000
 
 WORDS = regex.compile(r"[^\W_]+").findall
 PATTERNS = {
@@ -57,8 +57,8 @@ NONE_FIRES = "~none"
 
 
 def held_out(id_col: str = "doc_id") -> Column:
-    """Rows kept out of the fit."""
-    return F.crc32(F.col(id_col).cast("string")) % 4 == 2
+    """Rows kept out of the fit; those without an id are not, but they are never learnt from."""
+    return F.coalesce(F.crc32(F.col(id_col).cast("string")) % 4 == 2, F.lit(False))
 
 
 def features_of(word: str) -> list[str]:
@@ -81,8 +81,10 @@ def training_rows(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> D
         .orderBy(F.xxhash64("doc_id"), "toxic")
         .limit(sample)
     )
-    # At most ``sample`` rows of two numbers.
-    return docs.select("doc_id", whole_text("text").alias("text")).join(F.broadcast(chosen), "doc_id")
+    # At most ``sample`` rows of two numbers; of a repeated id one text stays, so no more rows than that come out.
+    known = docs.select("doc_id", whole_text("text").alias("text")).join(F.broadcast(chosen.distinct()), "doc_id")
+    one = F.min(F.struct(F.xxhash64("text").alias("h"), "text")).alias("one")
+    return known.groupBy("doc_id", "toxic").agg(one).select("doc_id", "toxic", F.col("one.text").alias("text"))
 
 
 def _hits(rows: DataFrame, wanted: set[str] | None = None) -> DataFrame:
@@ -241,7 +243,7 @@ def score_texts(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         score = Model(weights, bias).score
         for batch in batches:
-            for part in slices(batch, 1, 4 << 20):
+            for part in slices(batch, 1, 1 << 20):
                 scores = pa.array([score(t) for t in part.column(1).to_pylist()], pa.float64())
                 yield pa.RecordBatch.from_arrays([part.column(0), scores], names=[id_col, "score"])
 
@@ -257,8 +259,9 @@ def keep_clean(docs: DataFrame, model: Model, threshold: float, text_col: str =
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         score = Model(weights, bias).score
         for batch in batches:
-            texts = batch.column(at).to_pylist()
-            stays = pa.array([score(t or "") < threshold for t in texts], pa.bool_())
-            yield batch.filter(stays)
+            for part in slices(batch, at, 1 << 20):
+                texts = part.column(at).to_pylist()
+                stays = pa.array([score(t or "") < threshold for t in texts], pa.bool_())
+                yield part.filter(stays)
 
     return docs.mapInArrow(run, docs.schema)
