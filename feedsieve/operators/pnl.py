@@ -160,6 +160,83 @@ def daily_position(daily: DataFrame) -> DataFrame:
     )
 
 
+def position_carry(positions: DataFrame, period: str) -> DataFrame:
+    """What each instrument carries out of each period (a column of ``positions``) in which it traded."""
+    last = F.max(F.struct("trade_date", "position", "cash", "close_price")).alias("_last")
+    return (
+        positions.groupBy(period, "instrument_id")
+        .agg(last)
+        .select(
+            period,
+            "instrument_id",
+            F.col("_last.position").alias("position"),
+            F.col("_last.cash").alias("cash"),
+            F.col("_last.close_price").alias("close_price"),
+        )
+    )
+
+
+def resumed_position(daily: DataFrame, carries: DataFrame, period: str) -> DataFrame:
+    """``daily_position`` of the days in ``daily``, taken up from the carries of earlier periods.
+
+    ``daily`` holds every day from some period on, ``carries`` those of the periods before it. The running sums
+    start from each instrument's latest carry, so no earlier day is read. The carry joins as one more
+    day of its instrument, in front of the others.
+    """
+    latest = carries.groupBy("instrument_id").agg(
+        F.max_by(F.struct("position", "cash", "close_price"), period).alias("_c")
+    )
+    columns = ["trade_date", "instrument_id", "close_price", "net_qty", "net_cash"]
+    carried = latest.select(
+        F.lit(None).cast("date").alias("trade_date"),  # nulls come first
+        "instrument_id",
+        F.col("_c.close_price").alias("close_price"),
+        F.col("_c.position").alias("net_qty"),
+        F.col("_c.cash").alias("net_cash"),
+    )
+    dated = daily.where(F.col("trade_date").isNotNull()).select(*columns)
+    return daily_position(dated.unionByName(carried)).where(F.col("trade_date").isNotNull())
+
+
+def marked_daily(positions: DataFrame) -> DataFrame:
+    """A row per instrument and calendar day of its life, valued at its last close.
+
+    Each row of ``daily_position`` stands until the day before the instrument's next one, so the days in between are
+    made by expanding that interval: no calendar is joined and nothing outside an instrument's first and last day is made.
+    ``days_since_trade`` tells how old the close is.
+    """
+    days = Window.partitionBy("instrument_id").orderBy("trade_date")
+    upto = F.coalesce(F.date_sub(F.lead("trade_date").over(days), 1), F.col("trade_date"))
+    held = positions.where(F.col("trade_date").isNotNull()).withColumn("_upto", upto)
+    return held.select(
+        F.explode(F.sequence("trade_date", "_upto")).alias("day"),
+        "instrument_id",
+        "position",
+        "close_price",
+        "market_value",
+        "cash",
+        "trade_date",
+    ).select(
+        "day",
+        "instrument_id",
+        "position",
+        "close_price",
+        "market_value",
+        "cash",
+        F.date_diff("day", "trade_date").alias("days_since_trade"),
+    )
+
+
+def daily_book(marked: DataFrame) -> DataFrame:
+    """All instruments of a day together: how many are held, how many at an older close, and their value."""
+    return marked.groupBy("day").agg(
+        F.count(F.lit(1)).alias("instruments"),
+        F.count_if(F.col("days_since_trade") > 0).alias("marked_at_older_close"),
+        F.sum("market_value").cast(MONEY_TYPE).alias("market_value"),
+        F.max("days_since_trade").alias("oldest_close_days"),
+    )
+
+
 def coverage_gap(
     trades: DataFrame, references: References | None, rules: Sequence[Rule]
 ) -> DataFrame:

@@ -152,3 +152,36 @@ def rejection_trend(
         .select(*columns, "rows_checked", "rows_rejected", rate.alias("rate"))
         .withColumn("change", F.col("rate") - F.lag("rate").over(before))
     )
+
+
+def rejection_alarm(
+    runs: DataFrame, baseline: int = 5, slack_ppm: int = 0, limit_ppm: int = 10_000
+) -> DataFrame:
+    """Whether rejection is getting worse: a one-sided CUSUM over the finished runs.
+
+    Rates are whole rejected rows per million, so sums are exact. Each run adds what its rate exceeds the expected one by,
+    less ``slack_ppm``; the sum never falls below zero, and above ``limit_ppm`` it is an alarm. Expected is the mean
+    of the first ``baseline`` runs. A lasting small rise so shows as well as one bad run, which the difference from the
+    run before does not tell apart from noise.
+
+    The sum with its floor at zero is the running sum less its own lowest value so far, so two windows do.
+    They order the history in one task: a row per run, at most.
+    """
+    order = Window.orderBy("started_at", "run_id")
+    so_far = order.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    first = Window.orderBy("started_at", "run_id").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    checked = runs.where("status <> 'running' AND rows_checked > 0").select(
+        "run_id",
+        "started_at",
+        F.expr("rows_rejected * 1000000 DIV rows_checked").alias("ppm"),
+        F.row_number().over(order).alias("_n"),
+    )
+    early = F.when(F.col("_n") <= baseline, F.col("ppm"))
+    expected = F.sum(early).over(first), F.count(early).over(first)
+    drift = checked.withColumn("_sum", expected[0]).withColumn("_runs", expected[1])
+    drift = drift.withColumn("expected_ppm", F.expr("_sum DIV _runs"))
+    drift = drift.withColumn("_level", F.sum(F.col("ppm") - F.col("expected_ppm") - slack_ppm).over(so_far))
+    lowest = F.least(F.lit(0).cast("long"), F.min("_level").over(so_far))
+    return drift.withColumn("cusum_ppm", F.col("_level") - lowest).select(
+        "run_id", "started_at", "ppm", "expected_ppm", "cusum_ppm", (F.col("cusum_ppm") > limit_ppm).alias("alarm")
+    )

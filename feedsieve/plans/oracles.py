@@ -285,6 +285,20 @@ _LINE = (
 )
 
 
+def _positions(daily: str) -> str:
+    return f"""
+SELECT *, CAST(market_value + CAST(cash AS DECIMAL(37,10)) AS DECIMAL(38,10)) AS total_pnl
+FROM (SELECT *,
+    CAST(CAST(position AS DECIMAL(18,4)) * close_price AS DECIMAL(37,10)) AS market_value
+  FROM (SELECT trade_date, instrument_id, close_price,
+      CAST(sum(net_qty) OVER w AS DECIMAL(28,4)) AS position,
+      CAST(sum(net_cash) OVER w AS DECIMAL(38,10)) AS cash,
+      lag(close_price) OVER (PARTITION BY instrument_id ORDER BY trade_date) AS previous_close
+    FROM ({daily})
+    WINDOW w AS (PARTITION BY instrument_id ORDER BY trade_date
+      ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)))"""
+
+
 def _drifted() -> str:
     """Report of a table whose price is renamed and whose trade_id is gone."""
     columns = [{"price": "px"}.get(c, c) for c in _TRADE_COLUMNS if c != "trade_id"]
@@ -485,6 +499,20 @@ SELECT run_id, started_at, rows_checked, rows_rejected, rate,
   rate - lag(rate) OVER (ORDER BY started_at, run_id) AS change
 FROM (SELECT *, CAST(rows_rejected AS DOUBLE) / CAST(rows_checked AS DOUBLE) AS rate
   FROM ({_RUNS}))""",
+        "rejection_alarm": f"""
+SELECT run_id, started_at, ppm, expected_ppm, cusum_ppm, cusum_ppm > 1000 AS alarm FROM (
+  WITH RECURSIVE rated AS (
+    SELECT *, row_number() OVER (ORDER BY started_at, run_id) AS n,
+      CAST(rows_rejected * 1000000 // rows_checked AS BIGINT) AS ppm
+    FROM ({_RUNS}) WHERE rows_checked > 0),
+  expected AS (SELECT CAST(sum(ppm) // count(*) AS BIGINT) AS e FROM rated WHERE n <= 3),
+  walked(n, s) AS (
+    SELECT CAST(0 AS BIGINT), CAST(0 AS BIGINT)
+    UNION ALL
+    SELECT r.n, CAST(greatest(0, w.s + r.ppm - e - 100) AS BIGINT)
+    FROM walked w JOIN rated r ON r.n = w.n + 1, expected)
+  SELECT run_id, started_at, ppm, e AS expected_ppm, s AS cusum_ppm
+  FROM rated JOIN walked USING (n), expected)""",
         "run_details": """
 SELECT run_id,
   CASE WHEN count(*) FILTER (WHERE f_price_present) = 0 THEN 'true' ELSE 'false' END
@@ -520,17 +548,23 @@ SELECT trade_date, asset_class, trades, buy_qty, sell_qty, gross_notional, net_c
 FROM (SELECT CAST(executed_at AS DATE) AS trade_date, asset_class, {_FLOWS}
   FROM valid JOIN (SELECT instrument_id AS k, min(asset_class) AS asset_class FROM instrument
     GROUP BY 1) i ON i.k = valid.instrument_id GROUP BY 1, 2)""",
-        "daily_position": f"""
-SELECT *, CAST(market_value + CAST(cash AS DECIMAL(37,10)) AS DECIMAL(38,10)) AS total_pnl
-FROM (SELECT *,
-    CAST(CAST(position AS DECIMAL(18,4)) * close_price AS DECIMAL(37,10)) AS market_value
-  FROM (SELECT trade_date, instrument_id, close_price,
-      CAST(sum(net_qty) OVER w AS DECIMAL(28,4)) AS position,
-      CAST(sum(net_cash) OVER w AS DECIMAL(38,10)) AS cash,
-      lag(close_price) OVER (PARTITION BY instrument_id ORDER BY trade_date) AS previous_close
-    FROM ({_DAILY})
-    WINDOW w AS (PARTITION BY instrument_id ORDER BY trade_date
-      ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)))""",
+        "daily_position": _positions(_DAILY),
+        "position_refresh": _positions(
+            _DAILY.replace("FROM valid", f"FROM (SELECT * FROM ({_flagged('loaded')}) WHERE NOT {_BROKEN})")
+        ),
+        "position_marked_daily": f"""
+SELECT CAST(stamp AS DATE) AS day, count(*) AS instruments,
+  count(*) FILTER (WHERE CAST(stamp AS DATE) > trade_date) AS marked_at_older_close,
+  CAST(sum(market_value) AS DECIMAL(38,10)) AS market_value,
+  CAST(max(CAST(stamp AS DATE) - trade_date) AS INTEGER) AS oldest_close_days
+FROM (SELECT *, unnest(generate_series(CAST(trade_date AS TIMESTAMP),
+    CAST(coalesce(next_date - 1, trade_date) AS TIMESTAMP), INTERVAL 1 DAY)) AS stamp
+  FROM (SELECT *, lead(trade_date) OVER (PARTITION BY instrument_id ORDER BY trade_date) AS next_date
+    FROM ({_positions(_DAILY)})))
+GROUP BY 1""",
+        "stored_freshness": _freshness(_AS_OF).replace(
+            "SELECT newest,", "SELECT newest, (SELECT count(*) FROM landed) AS rows_checked,"
+        ),
         "coverage_gap": f"""
 SELECT d.trade_date, d.instrument_id, trades, gross_notional, rows_rejected, reason,
   n AS reason_rows

@@ -457,6 +457,11 @@ def rejection_trend(spark: SparkSession, d: str) -> DataFrame:
     return runs.rejection_trend(_history(spark, d))
 
 
+def rejection_alarm(spark: SparkSession, d: str) -> DataFrame:
+    """Is rejection getting worse from run to run?"""
+    return runs.rejection_alarm(_history(spark, d), baseline=3, slack_ppm=100, limit_ppm=1_000)
+
+
 def run_details(spark: SparkSession, d: str) -> DataFrame:
     def at(path: str) -> Column:
         return F.get_json_object("details", path)
@@ -512,6 +517,51 @@ def daily_position(spark: SparkSession, d: str) -> DataFrame:
     return pnl.daily_position(pnl.daily_pnl(_valid(spark, d)))
 
 
+def position_refresh(spark: SparkSession, d: str) -> DataFrame:
+    """Running positions after a second batch, from the first month it touched on."""
+    landed, instruments = _both(spark, d)
+    first, second = _batches(landed)
+    folder = shared_folder(spark)
+    layout = pnl.daily_position(pnl.daily_pnl(first.limit(0))).schema.add(MONTH, "date")
+    store = VersionedTable(spark, f"{folder}/position", layout, MONTH)
+    month = F.trunc("trade_date", "month")
+
+    def placed(positions: DataFrame) -> DataFrame:
+        return positions.withColumn(MONTH, month)
+
+    held = placed(pnl.daily_position(pnl.daily_pnl(labels.valid_rows(first, instruments, RULES))))
+    before = store.overwrite(held)
+    carries = f"{folder}/carry"
+    pnl.position_carry(store.rows_of(before), MONTH).write.partitionBy(MONTH).parquet(carries)
+
+    loaded = upsert.upsert(first, second, ["trade_id"])
+    since = pnl.touched_days(first, loaded).where("trade_date IS NOT NULL").agg(F.min(month)).first()[0]
+    if since is None:
+        return store.rows().drop(MONTH)
+    daily = pnl.daily_pnl(
+        labels.valid_rows(loaded.where(pnl.trade_date() >= F.lit(since)), instruments, RULES)
+    )
+    earlier = spark.read.parquet(carries).where(F.col(MONTH) < F.lit(since))
+    again = placed(pnl.resumed_position(daily, earlier, MONTH))
+    touched = [value for value in before.partitions if value >= str(since)]
+    version = store.begin()
+    store.commit(before, version, store.write(version, again), touched)
+    return store.rows().drop(MONTH)
+
+
+def position_marked_daily(spark: SparkSession, d: str) -> DataFrame:
+    """The whole book on every calendar day, instruments without a trade at their last close."""
+    return pnl.daily_book(pnl.marked_daily(pnl.daily_position(pnl.daily_pnl(_valid(spark, d)))))
+
+
+def stored_freshness(spark: SparkSession, d: str) -> DataFrame:
+    """Freshness and row count of a stored table, from its manifest and its newest month."""
+    store = _monthly_store(spark, shared_folder(spark))
+    store.overwrite(_by_month(T.landed(spark, d)))
+    found = report.feed_freshness(store.greatest("executed_at"), BY_NAME["feed_is_fresh"], AS_OF)
+    return found.withColumn("rows_checked", F.lit(store.row_count()).cast("long"))
+
+
 def coverage_gap(spark: SparkSession, d: str) -> DataFrame:
     return pnl.coverage_gap(*_stored(spark, d), RULES)
 
@@ -626,12 +676,16 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         run_history,
         history_lines,
         rejection_trend,
+        rejection_alarm,
         run_details,
         run_summary,
         daily_pnl,
         daily_refresh,
         daily_pnl_by_asset_class,
         daily_position,
+        position_refresh,
+        position_marked_daily,
+        stored_freshness,
         coverage_gap,
         partition_report,
         scoped_report,

@@ -17,7 +17,9 @@ from pyspark.sql import types as T
 from feedsieve.operators.load import collapse_retries, late_by_source, newer_by_source, typed_feed
 from feedsieve.operators.pnl import trade_date
 from feedsieve.operators.references import small_enough
+from feedsieve.operators.report import feed_freshness
 from feedsieve.operators.upsert import upsert_batch
+from feedsieve.rules import Rule
 from feedsieve.schemas import trade_schema
 from feedsieve.sources.key_index import KeyIndex
 from feedsieve.sources.versions import NO_VALUE, Manifest, VersionedTable, partition_text
@@ -65,6 +67,11 @@ class TradeTable:
         """The trades, in the layout of ``trade_schema``; as of an earlier version if one is given."""
         return self.store.rows(version).select(*self.layout.fieldNames())
 
+    def freshness(self, rule: Rule, as_of: str | None = None) -> DataFrame:
+        """``feed_freshness`` from the newest stored day alone, with the number of rows from the manifest."""
+        newest = self.store.greatest(rule.columns[0])
+        return feed_freshness(newest, rule, as_of).withColumn("rows_checked", F.lit(self.store.row_count()).cast("long"))
+
     def loads(self) -> DataFrame:
         """The finished loads, a row each."""
         return self.spark.createDataFrame([(v,) for v in self.store.versions()], "load long")

@@ -86,6 +86,24 @@ class VersionedTable:
         stored = self.spark.read.schema(marked).option("basePath", self.data).parquet(*folders)
         return stored.select(*self.schema.fieldNames())
 
+    def row_count(self, version: int | None = None) -> int:
+        """Rows as of a version, from its manifest: no file is opened."""
+        return sum(n for _, n in self.manifest(version).partitions.values())
+
+    def greatest(self, column: str, version: int | None = None) -> DataFrame:
+        """One row: the greatest value of a column that never decreases from partition to partition.
+
+        Of a table by day (month, ...) of ``column`` only the newest one is read, and earlier ones one by one only while
+        those read hold nothing but nulls. Rows without a partition value are taken to have no value.
+        """
+        manifest = self.manifest(version)
+        for value in sorted(manifest.partitions.keys() - {NO_VALUE}, reverse=True):
+            found = self.rows_of(manifest, [value]).agg(F.max(column).alias(column))
+            row = found.first()
+            if row[0] is not None:
+                return self.spark.createDataFrame([row], found.schema)
+        return self.rows_of(manifest, []).agg(F.max(column).alias(column))
+
     def begin(self) -> int:
         """A version number for a load to write under."""
         begun = [int(n.split("=")[1]) for n in names_in(self.spark, self.data) if n.startswith(f"{VERSION}=")]

@@ -14,7 +14,7 @@ from feedsieve.session import local_session
 
 NOW = dt.datetime(2024, 5, 2, 12, 0)
 AS_OF = "2024-05-02"
-YESTERDAY = "2024-05-01 10:00:00"
+EARLIER = "2024-05-01 16:45:00"
 
 
 @pytest.fixture(scope="session")
@@ -47,9 +47,9 @@ SOUND = {
     "trade_id": None,
     "instrument_id": "1",
     "side": "BUY",
-    "quantity": "100",
-    "price": "10.00",
-    "executed_at": YESTERDAY,
+    "quantity": "8",
+    "price": "12.5",
+    "executed_at": EARLIER,
 }
 
 

@@ -1,6 +1,8 @@
 import datetime as dt
 from decimal import Decimal as D
 
+from pyspark.sql import functions as F
+
 from feedsieve.operators import labels, pnl
 from feedsieve.rules import trade_rules
 
@@ -43,7 +45,7 @@ def test_close_of_simultaneous_trades_is_the_highest_id(load):
 
 
 def test_fractions_are_exact(load):
-    trades = load(row("A", quantity="0.0001", price="0.000001"), row("B", side="SELL", price="3"))
+    trades = load(row("A", quantity="0.0001", price="0.000001"), row("B", side="SELL", quantity=100, price="3"))
     day = pnl.daily_pnl(trades).first()
     assert day.net_cash == D("299.9999999999")
     assert day.gross_notional == D("300.0000000001")
@@ -104,3 +106,44 @@ def test_gap_trades_equal_daily_trades(load, instruments):
     )
     for key, day in daily.items():
         assert (gap[key].trades, gap[key].gross_notional) == (day.trades, day.gross_notional)
+
+
+def positions_of(load, *rows):
+    return pnl.daily_position(pnl.daily_pnl(load(*rows)))
+
+
+def test_an_instrument_is_marked_on_every_day_of_its_life(load):
+    positions = positions_of(
+        load,
+        row("A", quantity=10, price="5", executed_at="2024-05-01"),
+        row("B", side="SELL", quantity=4, price="6", executed_at="2024-05-04"),
+        row("C", instrument_id=2, quantity=1, price="9", executed_at="2024-05-02"),
+    )
+    marked = by_key(pnl.marked_daily(positions), "day", "instrument_id")
+    assert {k[0].day for k in marked if k[1] == 1} == {1, 2, 3, 4}
+    assert {k[0].day for k in marked if k[1] == 2} == {2}
+    third = marked[DAY3, 1]
+    assert (third.position, third.close_price, third.market_value, third.days_since_trade) == (10, 5, 50, 2)
+    book = by_key(pnl.daily_book(pnl.marked_daily(positions)), "day")
+    second = book[(DAY2,)]
+    assert (second.instruments, second.marked_at_older_close, second.market_value) == (2, 1, 59)
+    assert pnl.marked_daily(positions.limit(0)).collect() == []
+
+
+def test_positions_resumed_from_carries_equal_the_full_window(load):
+    rows = [
+        row(f"T{i}", instrument_id=1 + i % 3, side="SELL" if i % 4 == 0 else "BUY", quantity=i + 1,
+            price=f"{10 + i}.25", executed_at=f"2024-{1 + i // 5:02d}-{1 + i % 5:02d}")
+        for i in range(25)
+    ]
+    rows.append(row("OLD", instrument_id=9, executed_at="2024-01-02"))  # never traded again
+    rows.append(row("NEW", instrument_id=8, executed_at="2024-05-02"))
+    daily = pnl.daily_pnl(load(*rows))
+    whole = pnl.daily_position(daily).withColumn("month", F.trunc("trade_date", "month"))
+    carries = pnl.position_carry(whole, "month")
+    for since in ("2024-01-01", "2024-03-01", "2024-05-01", "2025-01-01"):
+        resumed = pnl.resumed_position(
+            daily.where(F.col("trade_date") >= since), carries.where(F.col("month") < since), "month"
+        )
+        expected = whole.drop("month").where(F.col("trade_date") >= since)
+        assert sorted(map(str, resumed.collect())) == sorted(map(str, expected.collect()))

@@ -311,3 +311,20 @@ def test_details_of_a_run_without_rejects(spark, load, instruments):
     )
     document = json.loads(R.run_results(report, result).first().details)
     assert document["reason_counts"] == {}
+
+
+def test_cusum_equals_adding_up_run_by_run(spark):
+    rates = [10, 12, 11, 30, 9, 0, 14, 15, 16, 17, 18, 2, 0, 0, 0]
+    states = [
+        state(f"r{i:02d}", NOW + dt.timedelta(i), NOW + dt.timedelta(i), "failed", 1000, n) for i, n in enumerate(rates)
+    ]
+    states += [state("open", NOW), state("empty", NOW, NOW, "passed", 0)]
+    runs = spark.createDataFrame(states, run_schema())
+    found = sorted(R.rejection_alarm(runs, baseline=3, slack_ppm=500, limit_ppm=9_000).collect(), key=lambda r: r.run_id)
+    level, expected = 0, sum(rates[:3]) * 1000 // 3
+    assert [r.run_id for r in found] == [f"r{i:02d}" for i in range(len(rates))]
+    for rate, row_ in zip(rates, found, strict=True):
+        level = max(0, level + rate * 1000 - expected - 500)
+        assert (row_.expected_ppm, row_.cusum_ppm, row_.alarm) == (expected, level, level > 9_000)
+    assert {r.alarm for r in found} == {True, False}
+    assert R.rejection_alarm(runs.limit(0)).collect() == []

@@ -4,7 +4,9 @@ import pytest
 from pyspark.sql import functions as F
 
 from feedsieve.operators.load import load_trades, source_watermarks
+from feedsieve.operators.report import feed_freshness
 from feedsieve.plans.quality_run import read_daily, refresh_daily
+from feedsieve.rules import trade_rules
 from feedsieve.schemas import trade_schema
 from feedsieve.sources.trades import DAY, TradeTable
 
@@ -169,3 +171,12 @@ def test_a_small_load_reads_touched_days_and_shuffles_no_stored_trade(table, fee
     assert "LeftAnti" in kept and "Exchange" not in kept
     files = table.store.rows_of(before, ["2024-04-02"]).inputFiles()
     assert files and all(f"{DAY}=2024-04-02/" in f for f in files)
+
+
+def test_freshness_of_the_stored_table(table, feed):
+    rule = next(r for r in trade_rules() if r.name == "feed_is_fresh")
+    assert table.freshness(rule, "2024-05-02").first().rows_checked == 0
+    table.load(feed(row("A", executed_at="2024-04-01"), row("B", executed_at="2024-04-03"), row("C", executed_at="")), "one")
+    found, scanned = table.freshness(rule, "2024-05-02").first(), feed_freshness(table.rows(), rule, "2024-05-02").first()
+    assert (found.newest, found.days_since_latest, found.success) == tuple(scanned)
+    assert found.rows_checked == 3

@@ -92,3 +92,15 @@ def test_partitions_are_pruned_and_others_never_opened(store):
                 file.write(b"no parquet")
     assert found(store.rows_of(store.manifest(), ["2024-04-02"])) == [(2, "b", day(1))]
     assert found(store.rows().where("day = DATE '2024-04-02'")) == [(2, "b", day(1))]
+
+
+def test_counts_and_greatest_come_from_the_manifest_and_the_newest_partition(store):
+    assert store.row_count() == 0 and store.greatest("id").first()[0] is None
+    put(store, (1, "a", day(0)), (2, "b", day(1)), (3, "c", day(1)), (None, "d", day(2)), (99, "e", None))
+    folder = f"{store.data}/v=1/day=2024-04-01"
+    for name in os.listdir(folder):
+        if name.endswith(".parquet"):
+            with open(f"{folder}/{name}", "wb") as file:
+                file.write(b"no parquet")
+    assert store.row_count() == 5
+    assert store.greatest("id").first()[0] == 3  # the newest day holds only a null
