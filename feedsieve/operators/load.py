@@ -57,14 +57,31 @@ def latest_per_key(rows: DataFrame, key: str, order: Sequence[str]) -> DataFrame
 
 
 def collapse_retries(
-    trades: DataFrame, key: str = "trade_id", order: Sequence[str] = RESEND_ORDER
+    trades: DataFrame,
+    key: str = "trade_id",
+    order: Sequence[str] = RESEND_ORDER,
+    measure: bool = False,
 ) -> DataFrame:
     """The latest re-send of every trade.
 
     Rows without a key cannot be matched with each other and all stay; their
     filter reaches the scan, which skips every row group without null keys.
+
+    With ``measure`` the keys are counted first, which reads the key column alone. If those that repeat are few
+    enough to be broadcast, only their rows are sorted and moved; all others stay where they are. It costs a job, so
+    ``trades`` should be a stored table.
     """
-    return latest_per_key(trades, key, order).unionByName(trades.where(F.col(key).isNull()))
+    unmatched = trades.where(F.col(key).isNull())
+    if measure:
+        repeated = trades.where(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
+        repeated = repeated.where("_n > 1").select(key)
+        if small_enough(repeated):
+            marks = F.broadcast(repeated.withColumn("_repeated", F.lit(True)))
+            marked = trades.where(F.col(key).isNotNull()).join(marks, key, "left")
+            again = marked.where("_repeated").select(*trades.columns)
+            once = marked.where("_repeated IS NULL").select(*trades.columns)
+            return latest_per_key(again, key, order).unionByName(once).unionByName(unmatched)
+    return latest_per_key(trades, key, order).unionByName(unmatched)
 
 
 def high_watermark(trades: DataFrame, column: str = "executed_at") -> DataFrame:

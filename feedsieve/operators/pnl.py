@@ -97,6 +97,22 @@ def touched_days(before: DataFrame, after: DataFrame) -> DataFrame:
     )
 
 
+def days_of_batch(before: DataFrame, batch: DataFrame, key: str = "trade_id") -> DataFrame:
+    """Days an upsert of ``batch`` touches: those of its rows and those of the versions it replaces.
+
+    Only days whose trades may differ; the table is read once and not compared with itself. The batch's keys
+    are measured before they are broadcast.
+    """
+    keys = batch.where(F.col(key).isNotNull()).select(key)
+    if small_enough(keys):
+        keys = F.broadcast(keys)
+    replaced = before.join(keys, key, "left_semi")
+    both = batch.select(trade_date().alias("trade_date")).unionByName(
+        replaced.select(trade_date().alias("trade_date"))
+    )
+    return both.distinct()
+
+
 def replace_days(stored: DataFrame, fresh: DataFrame, days: DataFrame) -> DataFrame:
     """Daily rows with those of the given days replaced; a day may be left empty."""
     gone = days.select(F.col("trade_date").alias("_day"))

@@ -145,6 +145,7 @@ trade AS MATERIALIZED ({_latest("landed")}),
 flagged AS ({_flagged("landed")}),
 stored AS ({_flagged("trade")}),
 valid AS (SELECT {", ".join(_TRADE_COLUMNS)} FROM stored WHERE NOT {_BROKEN}),
+flagged_valid AS (SELECT * FROM stored WHERE NOT {_BROKEN}),
 first_batch AS MATERIALIZED ({_latest("landed", f"ingested_at < {_SPLIT}")}),
 second_batch AS MATERIALIZED ({_latest("landed", f"ingested_at >= {_SPLIT}")}),
 loaded AS MATERIALIZED (
@@ -359,6 +360,7 @@ def oracle_sql() -> dict[str, str]:
             "SELECT * FROM landed WHERE executed_at IS NULL OR executed_at >= "
             f"(SELECT max(executed_at) FROM landed WHERE ingested_at < {_SPLIT})"
         ),
+        "collapse_many_retries": "SELECT * FROM trade",
         "incremental_load_by_source": (
             f"SELECT l.* FROM landed l LEFT JOIN ({_PACED_MARKS}) m "
             "ON m.source_file IS NOT DISTINCT FROM l.source_file "
@@ -482,6 +484,21 @@ def oracle_sql() -> dict[str, str]:
         "worst_reason": (
             f"SELECT reason, n FROM ({_counts('stored')}) ORDER BY n DESC, reason LIMIT 1"
         ),
+        "quality_routes": f"""
+SELECT m.name || '-' || r.route AS run_id, CASE WHEN v.success THEN 'passed' ELSE 'failed' END AS status,
+  v.rows_checked, CASE WHEN r.route = 'never' OR (r.route = 'on_failure' AND v.success) THEN 0 ELSE m.n END
+    AS rows_rejected, v.rules_total, v.rules_failed,
+  CASE WHEN r.route = 'never' OR (r.route = 'on_failure' AND v.success) THEN 0 ELSE m.n END AS rows_stored
+FROM (SELECT 'sound' AS name, CAST(0 AS BIGINT) AS n UNION ALL
+      SELECT 'unsound', count(*) FROM stored WHERE {_BROKEN}) m
+JOIN (SELECT 'sound' AS name, * FROM ({_verdict(_report("flagged_valid"))}) UNION ALL
+      SELECT 'unsound', * FROM ({_verdict(_report("stored"))})) v ON v.name = m.name,
+  (SELECT unnest(['always', 'on_failure', 'never']) AS route) r""",
+        "owned_tables": f"""
+SELECT 'rejected_trades' AS table_name, count(*) AS after_run, count(*) AS after_ensure, CAST(0 AS BIGINT) AS after_reset
+FROM flagged WHERE {_BROKEN}
+UNION ALL SELECT 'validation_run', 1, 1, 0
+UNION ALL SELECT 'etl_watermark', count(DISTINCT source_file), count(DISTINCT source_file), 0 FROM landed""",
         "run_start": f"""
 SELECT run_id, started_at,
   CASE WHEN started_at < {_SPLIT} THEN finished_at END AS finished_at,

@@ -14,8 +14,10 @@ from pyspark.sql import functions as F
 
 from feedsieve.functions.text import outcome_line, quarantine_line
 from feedsieve.operators import labels, load, partitions, pnl, quarantine, report, runs, upsert
+from feedsieve.operators.references import small_enough
 from feedsieve.plans import scoped_run as scoped
 from feedsieve.plans import tables as T
+from feedsieve.plans.quality_run import ALWAYS, NEVER, ON_FAILURE, run_quality
 from feedsieve.rules import KEY_PRESENT, Rule, positive, predicate, row_rules, trade_rules
 from feedsieve.schemas import TRADE_COLUMNS, trade_schema
 from feedsieve.sources.files import shared_folder
@@ -69,6 +71,11 @@ def typed_feed(spark: SparkSession, d: str) -> DataFrame:
 
 
 def collapse_retries(spark: SparkSession, d: str) -> DataFrame:
+    return load.collapse_retries(T.landed(spark, d), measure=True)
+
+
+def collapse_many_retries(spark: SparkSession, d: str) -> DataFrame:
+    """Without counting first, as for tables in which many trades were re-sent."""
     return load.collapse_retries(T.landed(spark, d))
 
 
@@ -306,10 +313,25 @@ def quarantine_rows(spark: SparkSession, d: str) -> DataFrame:
     return _joined(_rejected(spark, d))
 
 
+def _written(spark: SparkSession, rows: DataFrame, name: str) -> DataFrame:
+    """Rows as a stored table, for what reads them more than once."""
+    path = f"{shared_folder(spark)}/{name}"
+    rows.write.parquet(path)
+    return spark.read.schema(rows.schema).parquet(path)
+
+
+def _two_loads(spark: SparkSession, landed: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """The first batch, the second and the table after both, stored."""
+    first, second = (
+        _written(spark, batch, name) for batch, name in zip(_batches(landed), ("first", "second"), strict=True)
+    )
+    few = small_enough(second.select("trade_id"))
+    return first, second, _written(spark, upsert.upsert(first, second, ["trade_id"], few), "loaded")
+
+
 def quarantine_upsert(spark: SparkSession, d: str) -> DataFrame:
     landed, instruments = _both(spark, d)
-    first, second = _batches(landed)
-    loaded = upsert.upsert(first, second, ["trade_id"])
+    first, _, loaded = _two_loads(spark, landed)
     before = quarantine.quarantine(first, instruments, RULES, FIRST_RUN, _time(FIRST_TIME))
     again = quarantine.quarantine(loaded, instruments, RULES, SECOND_RUN, _time(SECOND_TIME))
     return _joined(quarantine.quarantine_upsert(before, again))
@@ -438,6 +460,53 @@ def _history(spark: SparkSession, d: str) -> DataFrame:
     return runs.finish_run(runs.start_states(_starts(spark, d)), _finished(spark, d))
 
 
+def quality_routes(spark: SparkSession, d: str) -> DataFrame:
+    """Whole runs over sound and over unsound trades, and what each way of routing quarantined."""
+    trades, instruments = _stored(spark, d)
+    zoned = {c: F.col(c).cast("timestamp") for c in ("executed_at", "ingested_at")}
+    sound = _written(spark, labels.valid_rows(trades, instruments, RULES).withColumns(zoned), "sound")
+    unsound = _written(spark, trades.withColumns(zoned), "trades")
+    owned = QualityTables(spark, shared_folder(spark))
+    for name, rows in (("sound", sound), ("unsound", unsound)):
+        for route in (ALWAYS, ON_FAILURE, NEVER):
+            run_quality(rows, instruments, owned, RULES, f"{name}-{route}", AS_OF, quarantine_when=route)
+    stored = owned.rejected().groupBy("run_id").agg(F.count(F.lit(1)).alias("rows_stored"))
+    return (
+        owned.runs()
+        .join(stored, "run_id", "left")
+        .select(
+            "run_id",
+            "status",
+            "rows_checked",
+            "rows_rejected",
+            "rules_total",
+            "rules_failed",
+            F.coalesce("rows_stored", F.lit(0).cast("long")).alias("rows_stored"),
+        )
+    )
+
+
+def owned_tables(spark: SparkSession, d: str) -> DataFrame:
+    """Rows of each owned table after a run, after a second ``ensure`` and after a reset."""
+    trades, instruments = _both(spark, d)
+    owned = QualityTables(spark, shared_folder(spark))
+    owned.drop()
+    run_quality(_written(spark, trades, "trades"), instruments, owned, RULES, FIRST_RUN, AS_OF)
+    owned.advance_watermarks(trades)
+
+    def counts() -> list[int]:
+        return [rows.count() for rows in (owned.rejected(), owned.runs(), owned.watermarks())]
+
+    after_run = counts()
+    owned.ensure()
+    again = counts()
+    owned.reset()
+    rows = list(zip(("rejected_trades", "validation_run", "etl_watermark"), after_run, again, counts(), strict=True))
+    return spark.createDataFrame(
+        rows, "table_name string, after_run long, after_ensure long, after_reset long"
+    )
+
+
 def run_start(spark: SparkSession, d: str) -> DataFrame:
     finished = runs.fold_runs(_finished(spark, d)).where(
         F.col("started_at") < _time(SECOND_BATCH_FROM)
@@ -499,9 +568,8 @@ def daily_pnl(spark: SparkSession, d: str) -> DataFrame:
 def daily_refresh(spark: SparkSession, d: str) -> DataFrame:
     """Daily figures after a second batch, recomputed for the days it touched."""
     landed, instruments = _both(spark, d)
-    first, second = _batches(landed)
-    loaded = upsert.upsert(first, second, ["trade_id"])
-    days = pnl.touched_days(first, loaded)
+    first, second, loaded = _two_loads(spark, landed)
+    days = pnl.days_of_batch(first, second)
     before = pnl.daily_pnl(labels.valid_rows(first, instruments, RULES))
     dated = loaded.withColumn("trade_date", pnl.trade_date())
     again = partitions.touched_partitions(dated, days, "trade_date").drop("trade_date")
@@ -634,6 +702,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     plain = (
         typed_feed,
         collapse_retries,
+        collapse_many_retries,
         incremental_load,
         incremental_load_by_source,
         late_rows,
@@ -672,6 +741,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         reason_counts,
         rows_rejected,
         worst_reason,
+        quality_routes,
+        owned_tables,
         run_start,
         run_history,
         history_lines,
