@@ -8,13 +8,15 @@ walked from every position of a block of text at once; the accepting states are
    languages, by a trie over their bytes, and texts become numbers: 0 stands for any rarer
    word and for the end of a piece, since no phrase passes either.
 2. A window of k + 1 words can only be frequent if both windows of k words in it are. Windows for which
-   this holds are also hashed into buckets and counted, up to ``support``, while the level before is
-   counted; a bucket that stays below it holds no frequent window. What is left, once each, are the candidates.
+   this holds are hashed into buckets, about one for four words of the corpus, and the buckets are counted by
+   a grouping with map-side combining; one that stays below ``support`` holds no frequent window. What is left, once
+   each, are the candidates.
 3. Numbers at which no candidate begins or passes are dropped from the text, so every level reads less.
 
 Counts are whole and exact at every level; buckets only spare candidates. A trie holds ``MOST_KEYS`` keys
 at most, 30 MB or so for phrases; with more candidates there are several tries, each broadcast on
-its own and walked in a pass of its own. The bitmap of buckets has 512 KB at most.
+its own and walked in a pass of its own. Buckets that reach the support are broadcast ``MOST_HOT`` at a time (8 bytes
+each), also one lot to a pass. So passes, not memory, grow with the number of frequent phrases.
 
 Scores are quotients of decimals without fraction, exact up to 38 digits.
 
@@ -44,13 +46,13 @@ SUPPORT = 100
 LONGEST = 5
 TOP = 2_000
 MOST_KEYS = 500_000
-LEAST_BITS, MOST_BITS = 12, 22
+MOST_HOT = 2_000_000
+LEAST_BITS = 12
 SLICE_BYTES = 1 << 20
 HELD_WORDS = 200_000
-HELD_WINDOWS = 1 << 20
+HELD_WINDOWS = 1 << 21
 BLOCK = 1 << 16
 SALTS = 16
-COUNTS_FROM = 1 << 32  # blocks from here count keys, those before count buckets
 
 # What ends a piece, and what parts words.
 BREAKS = b".,;:!?\n\x0b\x0c\r"
@@ -116,21 +118,13 @@ def _texts(docs: DataFrame, lang_col: str, text_col: str) -> DataFrame:
     return docs.select(lang.alias("lang"), whole_text(text_col).alias("text"))
 
 
-class _Sums:
-    """Counts of one task, sent out as blocks."""
-
-    def __init__(self, size: int, most: int | None):
-        self.counts = np.zeros(size, np.uint32 if most else np.int64)
-        self.most = most
-
-    def rows(self, first_block: int) -> Iterator[pa.RecordBatch]:
-        salt = TaskContext.get().partitionId() % SALTS
-        for at in range(0, len(self.counts), BLOCK):
-            part = self.counts[at : at + BLOCK]
-            if part.any():
-                if self.most:
-                    part = np.minimum(part, self.most).astype(np.uint8)
-                yield _row(None, first_block + at // BLOCK, salt, part.tobytes())
+def _count_rows(counts: np.ndarray) -> Iterator[pa.RecordBatch]:
+    """Counts of one task, sent out as blocks; blocks of zeros are not."""
+    salt = TaskContext.get().partitionId() % SALTS
+    for at in range(0, len(counts), BLOCK):
+        part = counts[at : at + BLOCK]
+        if part.any():
+            yield _row(None, at // BLOCK, salt, part.tobytes())
 
 
 def _row(ids: bytes | None, block: int | None, salt: int | None, counts: bytes | None) -> pa.RecordBatch:
@@ -145,49 +139,29 @@ def _row(ids: bytes | None, block: int | None, salt: int | None, counts: bytes |
     )
 
 
-def _summed(parts: DataFrame, most: int | None) -> DataFrame:
-    """block, counts: the blocks of all tasks added up, in two rounds; sums stop at ``most``."""
-    kind = np.dtype(np.uint8 if most else np.int64)
+def _summed(parts: DataFrame, size: int) -> np.ndarray:
+    """The counts of a trie's keys: the blocks of all tasks added up, in two rounds."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: dict[tuple[int, int], np.ndarray] = {}
         for batch in batches:
             for block, salt, counts in zip(*batch.columns, strict=True):
-                key, part = (block.as_py(), salt.as_py()), np.frombuffer(counts.as_buffer(), kind)
-                own = held.setdefault(key, np.zeros(len(part), np.int64))
-                own += part
-                if most:
-                    np.minimum(own, most, out=own)
+                key, part = (block.as_py(), salt.as_py()), np.frombuffer(counts.as_buffer(), np.int64)
+                held[key] = held[key] + part if key in held else part
         for (block, salt), total in held.items():
             yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array([block], pa.int64()),
-                    pa.array([salt], pa.int32()),
-                    pa.array([total.astype(kind).tobytes()], pa.binary()),
-                ],
+                [pa.array([block], pa.int64()), pa.array([salt], pa.int32()), pa.array([total.tobytes()], pa.binary())],
                 names=["block", "salt", "counts"],
             )
 
     layout = "block long, salt int, counts binary"
     once = parts.select("block", "salt", "counts").repartition("block", "salt").mapInArrow(run, layout)
-    return (
-        once.withColumn("salt", F.lit(0)).repartition("block").mapInArrow(run, layout).drop("salt")
-    )
-
-
-def _gathered(parts: DataFrame, size: int, most: int | None) -> np.ndarray:
-    """The counts of a trie, or which buckets reach ``most``: bounded by ``size``."""
-    if most is None:
-        total = np.zeros(-(-size // BLOCK) * BLOCK, np.int64)
-        for row in _summed(parts, None).collect():
-            part = np.frombuffer(row["counts"], np.int64)
-            total[row["block"] * BLOCK :][: len(part)] = part
-        return total[:size]
-    hot = np.zeros(-(-size // BLOCK) * BLOCK, bool)
-    for row in _summed(parts, most).collect():
-        part = np.frombuffer(row["counts"], np.uint8)
-        hot[row["block"] * BLOCK :][: len(part)] = part == most
-    return hot[:size]
+    whole = once.withColumn("salt", F.lit(0)).repartition("block").mapInArrow(run, layout)
+    total = np.zeros(-(-size // BLOCK) * BLOCK, np.int64)
+    for row in whole.collect():  # bounded by ``MOST_KEYS``
+        part = np.frombuffer(row["counts"], np.int64)
+        total[row["block"] * BLOCK :][: len(part)] = part
+    return total[:size]
 
 
 def _bucket(ids: np.ndarray, at: np.ndarray, width: int, bits: int) -> np.ndarray:
@@ -279,46 +253,32 @@ def numbered(plain: bytes, ends: np.ndarray, roots: np.ndarray, trie: DoubleArra
     return np.concatenate([*found, np.zeros(1, np.int32)])
 
 
-class _Level:
-    """What a task does with texts whose windows of ``width`` words are marked."""
-
-    def __init__(self, width: int, bits: int, support: int):
-        self.width, self.bits = width, bits
-        self.buckets = _Sums(1 << bits, support) if width < LONGEST else None
-
-    def passed_on(self, ids: np.ndarray, marked: np.ndarray) -> bytes | None:
-        """What the next level needs of a text; its windows are put into buckets."""
-        if self.buckets is None:
-            return None
-        wider = self.width + 1
-        at = starts(marked, wider)
-        if not len(at):
-            return None
-        np.add.at(self.buckets.counts, _bucket(ids, at, wider, self.bits), 1)
-        edge = np.zeros(len(ids) + 1, np.int32)
-        np.add.at(edge, at, 1)
-        np.add.at(edge, at + wider, -1)
-        covered = np.cumsum(edge[:-1]) > 0
-        left = np.where(marked, ids | np.int32(-(1 << 31)), ids)
-        left[~covered] = 0
-        covered[1:] |= covered[:-1]  # one zero stays between runs
-        return left[covered].tobytes()
-
-    def rows(self) -> Iterator[pa.RecordBatch]:
-        if self.buckets is not None:
-            yield from self.buckets.rows(0)
+def passed_on(ids: np.ndarray, marked: np.ndarray, width: int) -> bytes | None:
+    """What the next level needs of a text whose windows of ``width`` words are marked; nothing if it has no candidate."""
+    wider = width + 1
+    at = starts(marked, wider)
+    if not len(at):
+        return None
+    edge = np.zeros(len(ids) + 1, np.int32)
+    np.add.at(edge, at, 1)
+    np.add.at(edge, at + wider, -1)
+    covered = np.cumsum(edge[:-1]) > 0
+    left = np.where(marked, ids | np.int32(-(1 << 31)), ids)
+    left[~covered] = 0
+    covered[1:] |= covered[:-1]  # one zero stays between runs
+    return left[covered].tobytes()
 
 
 def _numbered_texts(
-    spark: SparkSession, texts: DataFrame, tries: Iterator[tuple[DoubleArray, int]], n_tries: int, bits: int, support: int
+    spark: SparkSession, texts: DataFrame, tries: Iterator[tuple[DoubleArray, int]], n_tries: int
 ) -> DataFrame:
-    """The texts as numbers of frequent words, by one pass for each trie; with buckets of word pairs."""
+    """The texts as numbers of frequent words, by one pass for each trie."""
     between = "plain binary, ends binary, langs array<string>, ids binary"
     for turn, (trie, offset) in enumerate(tries):
         shared, is_last, is_first = spark.sparkContext.broadcast(trie), turn == n_tries - 1, turn == 0
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            trie, level, roots = shared.value, _Level(1, bits, support), {}
+            trie, roots = shared.value, {}
             for batch in batches:
                 for plain, ends, langs, before in _from_texts(batch) if is_first else _from_rows(batch):
                     for lang in set(langs) - roots.keys():
@@ -337,11 +297,9 @@ def _numbered_texts(
                             names=["plain", "ends", "langs", "ids"],
                         )
                         continue
-                    left = level.passed_on(ids, ids > 0)
+                    left = passed_on(ids, ids > 0, 1)
                     if left is not None:
                         yield _row(left, None, None, None)
-            if is_last:
-                yield from level.rows()
 
         texts = stored(texts.mapInArrow(run, PARTS if is_last else between), "numbered")
         shared.unpersist()
@@ -359,14 +317,45 @@ def _from_rows(batch: pa.RecordBatch) -> Iterator[tuple[bytes, np.ndarray, list[
         yield row["plain"], np.frombuffer(row["ends"], np.int64), row["langs"], np.frombuffer(row["ids"], np.int32)
 
 
+def _windows(batches: Iterator[pa.RecordBatch], width: int, bits: int) -> Iterator[tuple]:
+    """Numbers, places and buckets of the windows of each text that may be frequent."""
+    for batch in batches:
+        for blob in batch.column(0):
+            raw = np.frombuffer(blob.as_buffer(), np.int32)
+            ids, at = raw & NUMBER, starts(raw < 0, width)
+            yield ids, at, _bucket(ids, at, width, bits)
+
+
+def _hot_buckets(texts: DataFrame, width: int, bits: int, support: int) -> DataFrame:
+    """bucket: those whose windows together reach the support."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, n = [], 0
+
+        def flush() -> pa.RecordBatch:
+            buckets, counts = np.unique(np.concatenate([*held, np.zeros(0, np.int64)]), return_counts=True)
+            held.clear()
+            return pa.RecordBatch.from_arrays([pa.array(buckets), pa.array(counts)], names=["bucket", "n"])
+
+        for _, _, buckets in _windows(batches, width, bits):
+            held.append(buckets)
+            n += len(buckets)
+            if n > HELD_WINDOWS:
+                yield flush()
+                n = 0
+        yield flush()
+
+    counted = texts.where("ids IS NOT NULL").select("ids").mapInArrow(run, "bucket long, n long")
+    return counted.groupBy("bucket").agg(F.sum("n").alias("n")).where(F.col("n") >= support).select("bucket")
+
+
 def _candidates(texts: DataFrame, hot: np.ndarray, width: int, bits: int) -> DataFrame:
-    """w1 to w``width``: every window that may be frequent, once."""
-    shared = texts.sparkSession.sparkContext.broadcast(np.packbits(hot))
+    """w1 to w``width``: every window of the sorted hot buckets, once."""
+    shared = texts.sparkSession.sparkContext.broadcast(hot)
     names = [f"w{k + 1}" for k in range(width)]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hot = np.unpackbits(shared.value).astype(bool)
-        held, n = [], 0
+        hot, held, n = shared.value, [], 0
 
         def flush() -> pa.RecordBatch:
             rows = np.concatenate([*held, np.zeros((0, width), np.int32)])
@@ -374,16 +363,14 @@ def _candidates(texts: DataFrame, hot: np.ndarray, width: int, bits: int) -> Dat
             held.clear()
             return pa.RecordBatch.from_arrays([pa.array(rows[:, k]) for k in range(width)], names=names)
 
-        for batch in batches:
-            for blob in batch.column(0):
-                raw = np.frombuffer(blob.as_buffer(), np.int32)
-                ids, at = raw & NUMBER, starts(raw < 0, width)
-                at = at[hot[_bucket(ids, at, width, bits)]]
+        for ids, at, buckets in _windows(batches, width, bits):
+            if len(hot):
+                at = at[hot[np.minimum(np.searchsorted(hot, buckets), len(hot) - 1)] == buckets]
                 held.append(np.stack([ids[at + k] for k in range(width)], 1))
                 n += len(at)
-                if n > HELD_WINDOWS:
-                    yield flush()
-                    n = 0
+            if n > HELD_WINDOWS // width:
+                yield flush()
+                n = 0
         yield flush()
 
     rows = texts.where("ids IS NOT NULL").select("ids").mapInArrow(run, ", ".join(f"{c} int" for c in names))
@@ -391,39 +378,34 @@ def _candidates(texts: DataFrame, hot: np.ndarray, width: int, bits: int) -> Dat
 
 
 def _counted(
-    texts: DataFrame, trie: DoubleArray, size: int, level: tuple[int, int, int], last: bool
+    texts: DataFrame, trie: DoubleArray, size: int, width: int, last: bool
 ) -> tuple[DataFrame, np.ndarray]:
     """The texts with windows that are keys of the trie marked, and how often each key occurs.
 
-    ``level`` is the width of the windows, the bits of buckets and the support. The ``last`` trie of
-    a level leaves the texts as the next level reads them.
+    The ``last`` trie of a level leaves the texts as the next level reads them.
     """
-    width = level[0]
     shared = texts.sparkSession.sparkContext.broadcast(trie)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        trie, own, sums = shared.value, _Level(*level), _Sums(size, None)
+        trie, counts = shared.value, np.zeros(size, np.int64)
         for batch in batches:
             for blob in batch.column(0):
                 raw = np.frombuffer(blob.as_buffer(), np.int32)
                 ids = raw & NUMBER
                 at, value = walk_phrases(trie, ids, starts(raw < 0, width), width)
-                sums.counts += np.bincount(value - 1, minlength=size)
+                counts += np.bincount(value - 1, minlength=size)
                 found = (raw & FOUND) != 0
                 found[at] = True
                 if last:
-                    left = own.passed_on(ids, found)
+                    left = passed_on(ids, found, width) if width < LONGEST else None
                 else:
                     left = np.where(found, raw | FOUND, raw).tobytes()
                 if left is not None:
                     yield _row(left, None, None, None)
-        yield from sums.rows(COUNTS_FROM)
-        if last:
-            yield from own.rows()
+        yield from _count_rows(counts)
 
     texts = stored(texts.where("ids IS NOT NULL").select("ids").mapInArrow(run, PARTS), f"level-{width}")
-    counts = texts.where(F.col("block") >= COUNTS_FROM).withColumn("block", F.col("block") - COUNTS_FROM)
-    total = _gathered(counts, size, None)
+    total = _summed(texts.where("block IS NOT NULL"), size)
     shared.unpersist()
     return texts, total
 
@@ -441,7 +423,7 @@ def phrase_counts(
     lang_col: str = "lang",
     text_col: str = "text",
     most_keys: int = MOST_KEYS,
-    most_bits: int = MOST_BITS,
+    most_hot: int = MOST_HOT,
 ) -> tuple[DataFrame, DataFrame]:
     """Frequent phrases of one to ``LONGEST`` words (lang, phrase, k, f), and lang, n of all words."""
     spark = docs.sparkSession
@@ -449,7 +431,7 @@ def phrase_counts(
     counts = stored(counts.where((F.col("f") >= support) | (F.col("word") == "")), "words")
     sizes = counts.where("word = ''").select("lang", F.col("f").alias("n"))
     n_words = sizes.agg(F.sum("n")).first()[0] or 0
-    bits = min(most_bits, max(LEAST_BITS, (n_words // 4).bit_length()))
+    bits = max(LEAST_BITS, (n_words // 4).bit_length())
 
     frequent = counts.where((F.col("word") != "") & (F.col("f") >= support))
     n_tries, rows_of = _in_turn(frequent, ["lang", "word"], most_keys)
@@ -468,14 +450,15 @@ def phrase_counts(
             yield double_array(keys), offset
             offset += len(keys)
 
-    texts = _numbered_texts(spark, _texts(docs, lang_col, text_col), word_tries(), n_tries, bits, support)
+    texts = _numbered_texts(spark, _texts(docs, lang_col, text_col), word_tries(), n_tries)
     words = _union(vocabulary)
     named = words.select(F.col("id").alias("w1"), "lang", F.col("word").alias("phrase"), "f")
     levels = [named]
     for width in range(2, LONGEST + 1):
-        hot = _gathered(texts.where(F.col("block") < COUNTS_FROM), 1 << bits, support)
         columns = [f"w{k + 1}" for k in range(width)]
-        found = _candidates(texts, hot, width, bits)
+        hot = stored(_hot_buckets(texts, width, bits, support), "buckets")
+        n_lots, lot_of = _in_turn(hot, ["bucket"], most_hot)
+        found = _union([_candidates(texts, lot_of(i)["bucket"].to_numpy(), width, bits) for i in range(n_lots)])
         before = levels[-1].select(*columns[:-1])
         after = before.toDF(*columns[1:])
         # Both parts are frequent; bounded by nothing but their number, so Spark picks the joins.
@@ -487,7 +470,7 @@ def phrase_counts(
             rows = rows_of(turn)
             trie = double_array([phrase_key(r) for r in zip(*(c.to_pylist() for c in rows.columns), strict=True)])
             last = turn == n_tries - 1
-            texts, total = _counted(texts, trie, rows.num_rows, (width, bits, support), last)
+            texts, total = _counted(texts, trie, rows.num_rows, width, last)
             rows = rows.append_column("f", pa.array(total)).filter(pa.array(total >= support))
             kept.append(stored(spark.createDataFrame(rows), "frequent"))
         levels.append(stored(_named(_union(kept), columns, levels[-1], words), "phrases"))
@@ -522,12 +505,13 @@ def collocations(
     lang_col: str = "lang",
     text_col: str = "text",
     most_keys: int = MOST_KEYS,
+    most_hot: int = MOST_HOT,
 ) -> DataFrame:
     """Each language's ``top`` phrases of two or more words: lang, rank, phrase, a, l, r, n, score, k.
 
     A phrase is scored by its weakest cut in two; one contained in a longer phrase just as frequent is dropped.
     """
-    phrases, sizes = phrase_counts(docs, support, lang_col, text_col, most_keys)
+    phrases, sizes = phrase_counts(docs, support, lang_col, text_col, most_keys, most_hot)
     several = phrases.where("k > 1")
     # A longer phrase as frequent makes the one a word longer as frequent too.
     inside = several.where("k > 2").select(

@@ -58,11 +58,11 @@ def rows():
     return out
 
 
-@pytest.mark.parametrize("support,most_keys", [(6, 500_000), (5, 40)])
-def test_equals_counting_every_phrase(spark, rows, support, most_keys):
-    """Also with tries of forty keys, so with many of them in each level."""
+@pytest.mark.parametrize("support,most", [(6, 500_000), (5, 60)])
+def test_equals_counting_every_phrase(spark, rows, support, most):
+    """Also with tries of sixty keys and lots of sixty buckets, so with many of them in each level."""
     docs = spark.createDataFrame(rows, SCHEMA)
-    got = C.collocations(docs, support=support, most_keys=most_keys).select(*RESULT).collect()
+    got = C.collocations(docs, support=support, most_keys=most, most_hot=most).select(*RESULT).collect()
     expected = by_counting([(r[2], r[1]) for r in rows], support)
     assert sorted(map(tuple, got)) == expected
     assert {len(r.phrase.split(" ")) for r in got} >= {2, 5}
