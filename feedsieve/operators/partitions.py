@@ -16,6 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from feedsieve.operators.labels import References
+from feedsieve.operators.references import small_enough
 from feedsieve.operators.report import counters
 from feedsieve.rules import FRESH, Rule, row_rules
 
@@ -56,10 +57,13 @@ def replace_partitions(stored: DataFrame, fresh: DataFrame, partition: str) -> D
 def touched_duplicates(whole: DataFrame, touched: DataFrame, key: str = "trade_id") -> DataFrame:
     """Duplicate keys that a load may have caused, counted over the whole table.
 
-    The keys of the load are few, so they filter the table before anything is
-    counted; Spark broadcasts them if they are small enough.
+    The keys of the load filter the table before anything is counted; they are measured and
+    broadcast if they are few. With a key index ``key_index.duplicates_after`` reads less.
     """
-    keys = touched.where(F.col(key).isNotNull()).select(key).distinct()
+    given = touched.where(F.col(key).isNotNull()).select(key)
+    keys = given.distinct()
+    if small_enough(given):
+        keys = F.broadcast(keys)
     return (
         whole.select(key)
         .join(keys, key, "left_semi")

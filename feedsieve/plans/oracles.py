@@ -152,6 +152,8 @@ loaded AS MATERIALIZED (
   SELECT * FROM first_batch WHERE trade_id NOT IN (SELECT trade_id FROM second_batch)
   UNION ALL SELECT * FROM second_batch
 ),
+flagged_first AS ({_flagged("first_batch")}),
+flagged_second AS ({_flagged("second_batch")}),
 yearly AS (
   SELECT *, 'run-' || CAST(year(ingested_at) AS VARCHAR) AS run_id FROM flagged
 )
@@ -494,6 +496,12 @@ FROM (SELECT 'sound' AS name, CAST(0 AS BIGINT) AS n UNION ALL
 JOIN (SELECT 'sound' AS name, * FROM ({_verdict(_report("flagged_valid"))}) UNION ALL
       SELECT 'unsound', * FROM ({_verdict(_report("stored"))})) v ON v.name = m.name,
   (SELECT unnest(['always', 'on_failure', 'never']) AS route) r""",
+        "rule_results": f"""
+SELECT b.run_id, b.rule, b.category, b.scope, b.success, b.failing_rows, b.observed, b.rows_checked,
+  CASE WHEN b.success THEN NULL WHEN b.run_id = 'run-a' OR a.success THEN b.run_id ELSE 'run-a' END AS failing_since
+FROM (SELECT 'run-a' AS run_id, * FROM ({_report("flagged_first")}) UNION ALL
+      SELECT 'run-b', * FROM ({_report("flagged_second")})) b
+JOIN ({_report("flagged_first")}) a ON a.rule = b.rule""",
         "owned_tables": f"""
 SELECT 'rejected_trades' AS table_name, count(*) AS after_run, count(*) AS after_ensure, CAST(0 AS BIGINT) AS after_reset
 FROM flagged WHERE {_BROKEN}

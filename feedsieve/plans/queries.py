@@ -7,6 +7,7 @@ arrays are joined to text so that results compare across engines.
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -486,6 +487,16 @@ def quality_routes(spark: SparkSession, d: str) -> DataFrame:
     )
 
 
+def rule_results(spark: SparkSession, d: str) -> DataFrame:
+    """What each rule found in the runs over two batches, and since when it fails."""
+    landed, instruments = _both(spark, d)
+    owned = QualityTables(spark, shared_folder(spark))
+    for run, time, batch in zip((FIRST_RUN, SECOND_RUN), (FIRST_TIME, SECOND_TIME), _batches(landed), strict=True):
+        stamp = dt.datetime.fromisoformat(time)
+        run_quality(_written(spark, batch, run), instruments, owned, RULES, run, AS_OF, stamp)
+    return owned.rule_results().drop("finished_at")
+
+
 def owned_tables(spark: SparkSession, d: str) -> DataFrame:
     """Rows of each owned table after a run, after a second ``ensure`` and after a reset."""
     trades, instruments = _both(spark, d)
@@ -743,6 +754,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         worst_reason,
         quality_routes,
         owned_tables,
+        rule_results,
         run_start,
         run_history,
         history_lines,

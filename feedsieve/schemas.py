@@ -123,3 +123,20 @@ def counter_schema() -> T.StructType:
 def duplicate_schema() -> T.StructType:
     """``duplicate_changes``: by how much each load changed the number of duplicate rows."""
     return T.StructType([T.StructField("load", T.LongType()), T.StructField("duplicate_rows", T.LongType())])
+
+
+def result_schema() -> T.StructType:
+    """``rule_result``: what each rule found in each run."""
+    return T.StructType(
+        [
+            T.StructField("run_id", T.StringType()),
+            T.StructField("finished_at", T.TimestampType()),
+            T.StructField("rule", T.StringType()),
+            T.StructField("category", T.StringType()),
+            T.StructField("scope", T.StringType()),
+            T.StructField("success", T.BooleanType()),
+            T.StructField("failing_rows", T.LongType()),
+            T.StructField("observed", T.StringType()),
+            T.StructField("rows_checked", T.LongType()),
+        ]
+    )

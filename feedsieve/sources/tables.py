@@ -14,7 +14,7 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -32,6 +32,7 @@ from feedsieve.schemas import (
     counter_schema,
     duplicate_schema,
     rejected_schema,
+    result_schema,
     run_schema,
     watermark_schema,
 )
@@ -67,6 +68,7 @@ class QualityTables:
             "rejected_trades": (rejected_schema(), ["run_id"]),
             "validation_run": (run_schema(), []),
             "etl_watermark": (watermark_schema(), []),
+            "rule_result": (result_schema(), []),
             "partition_counters": (counter_schema(), []),
             "duplicate_changes": (duplicate_schema(), []),
         }
@@ -210,6 +212,9 @@ class QualityTables:
         """Close a run. What it rejected is read from the quarantine table itself."""
         rejected = quarantine_result(self.rejected(run_id), rules, ["run_id"])
         results = run_results(report.withColumn("run_id", F.lit(run_id)), rejected)
+        # Before the run row: a run that shows as finished has its results.
+        stamps = {"run_id": F.lit(run_id), "finished_at": F.lit(finished_at)}
+        self._append("rule_result", report.withColumns(stamps))
         self._append("validation_run", finish_states(results, F.lit(finished_at)))
 
     def runs(self) -> DataFrame:
@@ -218,6 +223,24 @@ class QualityTables:
     def recent_runs(self, limit: int = 10) -> DataFrame:
         return recent_runs(self.runs(), limit)
 
+    def rule_results(self) -> DataFrame:
+        """What each rule found in each run, and since which run it has been failing without a break.
+
+        A repeated run counts as it ended last. There is a row per rule and run; the history of a rule is ordered in one task.
+        """
+        rows = self._read("rule_result")
+        found = [c for c in rows.columns if c not in ("run_id", "rule")]
+        latest = (
+            rows.groupBy("run_id", "rule")
+            .agg(F.max_by(F.struct(*found), "finished_at").alias("r"))
+            .select("run_id", "rule", "r.*")
+        )
+        so_far = Window.partitionBy("rule").orderBy("finished_at", "run_id")
+        spell = F.count_if(F.col("success")).over(so_far)
+        failing = Window.partitionBy("rule", "_spell", "success").orderBy("finished_at", "run_id")
+        since = F.when(~F.col("success"), F.first("run_id").over(failing))
+        return latest.withColumn("_spell", spell).withColumn("failing_since", since).drop("_spell")
+
     # Watermarks
 
     def advance_watermarks(self, trades: DataFrame) -> None:

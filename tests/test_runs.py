@@ -328,3 +328,15 @@ def test_cusum_equals_adding_up_run_by_run(spark):
         assert (row_.expected_ppm, row_.cusum_ppm, row_.alarm) == (expected, level, level > 9_000)
     assert {r.alarm for r in found} == {True, False}
     assert R.rejection_alarm(runs.limit(0)).collect() == []
+
+
+def test_rule_results_tell_since_when_a_rule_fails(tables, load, instruments):
+    lines = {1: [row("A", price="")], 2: [row("A", price="")], 3: [row("A")], 4: [row("A", price="", side="")]}
+    for number, batch in lines.items():
+        run_quality(load(*batch), instruments, tables, RULES, f"r{number}", AS_OF, at(number))
+    run_quality(load(row("A", price="")), instruments, tables, RULES, "r4", AS_OF, at(9))  # repeated
+    found = {(r.run_id, r.rule): (r.success, r.failing_since) for r in tables.rule_results().collect()}
+    assert len(found) == 4 * len(RULES)
+    price = [found[f"r{n}", "price_present"] for n in range(1, 5)]
+    assert price == [(False, "r1"), (False, "r1"), (True, None), (False, "r4")]
+    assert found["r4", "side_present"] == (True, None)
