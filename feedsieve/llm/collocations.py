@@ -8,14 +8,14 @@ walked from every position of a block of text at once; the accepting states are
    languages, by a trie over their bytes, and texts become numbers: 0 stands for any rarer
    word and for the end of a piece, since no phrase passes either.
 2. A window of k + 1 words can only be frequent if both windows of k words in it are. Windows for which
-   this holds are hashed into buckets, about one for four words of the corpus, and the buckets are counted by
-   a grouping with map-side combining; one that stays below ``support`` holds no frequent window. What is left, once
-   each, are the candidates.
+   this holds are hashed into buckets of 64 bits, which are counted by a grouping with map-side combining; one
+   that stays below ``support`` holds no frequent window. Each bucket also keeps one text that has a window of it: only
+   that text names it as a candidate. A bucket in which a second hash differs holds several windows, and all texts name theirs.
 3. Numbers at which no candidate begins or passes are dropped from the text, so every level reads less.
 
 Counts are whole and exact at every level; buckets only spare candidates. A trie holds ``MOST_KEYS`` keys
 at most, 30 MB or so for phrases; with more candidates there are several tries, each broadcast on
-its own and walked in a pass of its own. Buckets that reach the support are broadcast ``MOST_HOT`` at a time (8 bytes
+its own and walked in a pass of its own. Buckets that reach the support are broadcast ``MOST_HOT`` at a time (16 bytes
 each), also one lot to a pass. So passes, not memory, grow with the number of frequent phrases.
 
 Scores are quotients of decimals without fraction, exact up to 38 digits.
@@ -47,7 +47,6 @@ LONGEST = 5
 TOP = 2_000
 MOST_KEYS = 500_000
 MOST_HOT = 2_000_000
-LEAST_BITS = 12
 SLICE_BYTES = 1 << 20
 HELD_WORDS = 200_000
 HELD_WINDOWS = 1 << 21
@@ -62,7 +61,7 @@ _PLAIN = bytes.maketrans(
 # The sign marks where a candidate begins; this bit, one found in the pass under way.
 FOUND = np.int32(1 << 30)
 NUMBER = np.int32((1 << 29) - 1)
-PARTS = "ids binary, block long, salt int, counts binary"
+PARTS = "ids binary, number long, block long, salt int, counts binary"
 
 
 def _cut(raw: bytes) -> Iterator[bytes]:
@@ -124,21 +123,33 @@ def _count_rows(counts: np.ndarray) -> Iterator[pa.RecordBatch]:
     for at in range(0, len(counts), BLOCK):
         part = counts[at : at + BLOCK]
         if part.any():
-            yield _row(None, at // BLOCK, salt, part.tobytes())
+            yield _row(None, None, at // BLOCK, salt, part.tobytes())
 
 
-def _row(ids: bytes | None, block: int | None, salt: int | None, counts: bytes | None) -> pa.RecordBatch:
+def _row(ids: bytes | None, number: int | None, block: int | None, salt: int | None, counts: bytes | None) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays(
         [
             pa.array([ids], pa.binary()),
+            pa.array([number], pa.int64()),
             pa.array([block], pa.int64()),
             pa.array([salt], pa.int32()),
             pa.array([counts], pa.binary()),
         ],
-        names=["ids", "block", "salt", "counts"],
+        names=["ids", "number", "block", "salt", "counts"],
     )
 
 
+class _Numbers:
+    """Numbers for the texts a task writes; a repeated task gives the same."""
+
+    def __init__(self):
+        self.next = TaskContext.get().partitionId() << 32
+
+    def text(self, ids: bytes) -> pa.RecordBatch:
+        self.next += 1
+        return _row(ids, self.next, None, None, None)
+
+
 def _summed(parts: DataFrame, size: int) -> np.ndarray:
     """The counts of a trie's keys: the blocks of all tasks added up, in two rounds."""
 
@@ -164,13 +175,14 @@ def _summed(parts: DataFrame, size: int) -> np.ndarray:
     return total[:size]
 
 
-def _bucket(ids: np.ndarray, at: np.ndarray, width: int, bits: int) -> np.ndarray:
-    """Bucket of the window of ``width`` words at each place."""
-    mixed = np.zeros(len(at), np.uint64)
+def _bucket(ids: np.ndarray, at: np.ndarray, width: int, seed: int = 0) -> np.ndarray:
+    """Bucket of the window of ``width`` words at each place; another seed gives another hash."""
+    mixed = np.full(len(at), seed, np.uint64)
     for k in range(width):
         mixed = (mixed + ids[at + k].astype(np.uint64)) * np.uint64(0x9E3779B97F4A7C15)
         mixed ^= mixed >> np.uint64(29)
-    return ((mixed * np.uint64(0xD6E8FEB86659FD93)) >> np.uint64(64 - bits)).astype(np.int64)
+    mixed *= np.uint64(0xD6E8FEB86659FD93)
+    return (mixed ^ (mixed >> np.uint64(32))).view(np.int64)
 
 
 DIGITS = (24, 16, 8, 0)  # a word number as symbols
@@ -278,7 +290,7 @@ def _numbered_texts(
         shared, is_last, is_first = spark.sparkContext.broadcast(trie), turn == n_tries - 1, turn == 0
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            trie, roots = shared.value, {}
+            trie, roots, numbers = shared.value, {}, _Numbers()
             for batch in batches:
                 for plain, ends, langs, before in _from_texts(batch) if is_first else _from_rows(batch):
                     for lang in set(langs) - roots.keys():
@@ -299,7 +311,7 @@ def _numbered_texts(
                         continue
                     left = passed_on(ids, ids > 0, 1)
                     if left is not None:
-                        yield _row(left, None, None, None)
+                        yield numbers.text(left)
 
         texts = stored(texts.mapInArrow(run, PARTS if is_last else between), "numbered")
         shared.unpersist()
@@ -317,64 +329,71 @@ def _from_rows(batch: pa.RecordBatch) -> Iterator[tuple[bytes, np.ndarray, list[
         yield row["plain"], np.frombuffer(row["ends"], np.int64), row["langs"], np.frombuffer(row["ids"], np.int32)
 
 
-def _windows(batches: Iterator[pa.RecordBatch], width: int, bits: int) -> Iterator[tuple]:
-    """Numbers, places and buckets of the windows of each text that may be frequent."""
-    for batch in batches:
-        for blob in batch.column(0):
-            raw = np.frombuffer(blob.as_buffer(), np.int32)
-            ids, at = raw & NUMBER, starts(raw < 0, width)
-            yield ids, at, _bucket(ids, at, width, bits)
-
-
-def _hot_buckets(texts: DataFrame, width: int, bits: int, support: int) -> DataFrame:
-    """bucket: those whose windows together reach the support."""
+def _hot_buckets(texts: DataFrame, width: int, support: int) -> DataFrame:
+    """bucket, number: those whose windows together reach the support, and the text to name them; -1 for all texts."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, n = [], 0
 
         def flush() -> pa.RecordBatch:
-            buckets, counts = np.unique(np.concatenate([*held, np.zeros(0, np.int64)]), return_counts=True)
+            none = [np.zeros(0, np.int64)] * 3
+            buckets, second, numbers = (np.concatenate(c) for c in zip(none, *held, strict=True))
             held.clear()
-            return pa.RecordBatch.from_arrays([pa.array(buckets), pa.array(counts)], names=["bucket", "n"])
-
-        for _, _, buckets in _windows(batches, width, bits):
-            held.append(buckets)
-            n += len(buckets)
-            if n > HELD_WINDOWS:
-                yield flush()
-                n = 0
+            # Windows that differ in the second hash stay apart.
+            order = np.lexsort((second, buckets))
+            buckets, second, numbers = buckets[order], second[order], numbers[order]
+            new = np.append(True, (buckets[1:] != buckets[:-1]) | (second[1:] != second[:-1]))[: len(buckets)]
+            first = np.flatnonzero(new)
+            counts = np.diff(np.append(first, len(buckets)))
+            return pa.RecordBatch.from_arrays(
+                [pa.array(c) for c in (buckets[first], second[first], numbers[first], counts.astype(np.int64))],
+                names=["bucket", "second", "number", "n"],
+            )
+
+        for batch in batches:
+            for blob, number in zip(*batch.columns, strict=True):
+                raw = np.frombuffer(blob.as_buffer(), np.int32)
+                ids, at = raw & NUMBER, starts(raw < 0, width)
+                own = _bucket(ids, at, width), _bucket(ids, at, width, 1), np.full(len(at), number.as_py())
+                held.append(own)
+                n += len(at)
+                if n > HELD_WINDOWS:
+                    yield flush()
+                    n = 0
         yield flush()
 
-    counted = texts.where("ids IS NOT NULL").select("ids").mapInArrow(run, "bucket long, n long")
-    return counted.groupBy("bucket").agg(F.sum("n").alias("n")).where(F.col("n") >= support).select("bucket")
+    layout = "bucket long, second long, number long, n long"
+    counted = texts.where("ids IS NOT NULL").select("ids", "number").mapInArrow(run, layout)
+    alike = F.min("second") == F.max("second")
+    return (
+        counted.groupBy("bucket")
+        .agg(F.sum("n").alias("n"), F.when(alike, F.min("number")).otherwise(F.lit(-1)).alias("number"))
+        .where(F.col("n") >= support)
+        .select("bucket", "number")
+    )
 
 
-def _candidates(texts: DataFrame, hot: np.ndarray, width: int, bits: int) -> DataFrame:
-    """w1 to w``width``: every window of the sorted hot buckets, once."""
-    shared = texts.sparkSession.sparkContext.broadcast(hot)
+def _candidates(texts: DataFrame, hot: pa.Table, width: int) -> DataFrame:
+    """w1 to w``width``: the windows of the hot buckets (sorted), named by the texts these keep."""
+    shared = texts.sparkSession.sparkContext.broadcast((hot["bucket"].to_numpy(), hot["number"].to_numpy()))
     names = [f"w{k + 1}" for k in range(width)]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hot, held, n = shared.value, [], 0
-
-        def flush() -> pa.RecordBatch:
-            rows = np.concatenate([*held, np.zeros((0, width), np.int32)])
-            rows = np.unique(rows, axis=0) if len(rows) else rows
-            held.clear()
-            return pa.RecordBatch.from_arrays([pa.array(rows[:, k]) for k in range(width)], names=names)
-
-        for ids, at, buckets in _windows(batches, width, bits):
-            if len(hot):
-                at = at[hot[np.minimum(np.searchsorted(hot, buckets), len(hot) - 1)] == buckets]
-                held.append(np.stack([ids[at + k] for k in range(width)], 1))
-                n += len(at)
-            if n > HELD_WINDOWS // width:
-                yield flush()
-                n = 0
-        yield flush()
+        hot, owner = shared.value
+        for batch in batches:
+            for blob, number in zip(*batch.columns, strict=True):
+                raw = np.frombuffer(blob.as_buffer(), np.int32)
+                ids, at = raw & NUMBER, starts(raw < 0, width)
+                if not len(hot) or not len(at):
+                    continue
+                buckets = _bucket(ids, at, width)
+                near = np.minimum(np.searchsorted(hot, buckets), len(hot) - 1)
+                named = (hot[near] == buckets) & ((owner[near] == number.as_py()) | (owner[near] == -1))
+                rows = np.unique(np.stack([ids[at[named] + k] for k in range(width)], 1), axis=0)
+                yield pa.RecordBatch.from_arrays([pa.array(rows[:, k]) for k in range(width)], names=names)
 
-    rows = texts.where("ids IS NOT NULL").select("ids").mapInArrow(run, ", ".join(f"{c} int" for c in names))
-    return rows.distinct()
+    rows = texts.where("ids IS NOT NULL").select("ids", "number")
+    return rows.mapInArrow(run, ", ".join(f"{c} int" for c in names)).distinct()
 
 
 def _counted(
@@ -387,7 +406,7 @@ def _counted(
     shared = texts.sparkSession.sparkContext.broadcast(trie)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        trie, counts = shared.value, np.zeros(size, np.int64)
+        trie, counts, numbers = shared.value, np.zeros(size, np.int64), _Numbers()
         for batch in batches:
             for blob in batch.column(0):
                 raw = np.frombuffer(blob.as_buffer(), np.int32)
@@ -401,7 +420,7 @@ def _counted(
                 else:
                     left = np.where(found, raw | FOUND, raw).tobytes()
                 if left is not None:
-                    yield _row(left, None, None, None)
+                    yield numbers.text(left)
         yield from _count_rows(counts)
 
     texts = stored(texts.where("ids IS NOT NULL").select("ids").mapInArrow(run, PARTS), f"level-{width}")
@@ -430,8 +449,6 @@ def phrase_counts(
     counts = word_counts(docs, lang_col, text_col)
     counts = stored(counts.where((F.col("f") >= support) | (F.col("word") == "")), "words")
     sizes = counts.where("word = ''").select("lang", F.col("f").alias("n"))
-    n_words = sizes.agg(F.sum("n")).first()[0] or 0
-    bits = max(LEAST_BITS, (n_words // 4).bit_length())
 
     frequent = counts.where((F.col("word") != "") & (F.col("f") >= support))
     n_tries, rows_of = _in_turn(frequent, ["lang", "word"], most_keys)
@@ -456,9 +473,9 @@ def phrase_counts(
     levels = [named]
     for width in range(2, LONGEST + 1):
         columns = [f"w{k + 1}" for k in range(width)]
-        hot = stored(_hot_buckets(texts, width, bits, support), "buckets")
+        hot = stored(_hot_buckets(texts, width, support), "buckets")
         n_lots, lot_of = _in_turn(hot, ["bucket"], most_hot)
-        found = _union([_candidates(texts, lot_of(i)["bucket"].to_numpy(), width, bits) for i in range(n_lots)])
+        found = _union([_candidates(texts, lot_of(i), width) for i in range(n_lots)])
         before = levels[-1].select(*columns[:-1])
         after = before.toDF(*columns[1:])
         # Both parts are frequent; bounded by nothing but their number, so Spark picks the joins.
