@@ -37,3 +37,28 @@ def test_a_load_broadcasts_keys_only_if_they_were_measured_as_few(spark, lines,
     assert told == [few]
     assert sorted(map(str, found)) == expected
     assert {r.version for r in found} == {1, 2}
+
+
+def plan_of(rows):
+    return rows._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_positions_are_refreshed_from_batches_merged_once(spark, lines, monkeypatch):
+    given, plain = [], queries.pnl.touched_days
+    monkeypatch.setattr(queries.pnl, "touched_days", lambda *tables: given.extend(tables) or plain(*tables))
+    assert queries.position_refresh(spark, lines).count() > 0
+    assert len(given) == 2
+    assert not [t for t in given if "Aggregate" in plan_of(t) or "Join" in plan_of(t)]
+
+
+def test_touched_days_are_found_without_moving_rows(spark):
+    layout = "trade_id string, executed_at timestamp_ntz, `unit price` long, other long"
+    first, second, third = (START + dt.timedelta(i, 3600) for i in range(3))
+    same = [("A", first, 1, 1), (None, first, 2, 2), (None, first, 2, 2), ("Z", None, 5, 5)]
+    before = [*same, ("B", second, 7, None), ("C", third, 1, 1), ("C", third, 1, 1)]
+    after = [*reversed(same), ("B", second, None, 7), ("C", third, 1, 1), ("D", None, 1, 1)]
+    days = queries.pnl.touched_days(*(spark.createDataFrame(rows, layout) for rows in (before, after)))
+    found = {r.trade_date for r in days.collect()}
+    assert found == {second.date(), third.date(), None}
+    plan = days._jdf.queryExecution().executedPlan().toString()
+    assert "hashpartitioning(trade_date" in plan and "trade_id" not in plan.split("Union")[0]
