@@ -62,3 +62,10 @@ def test_touched_days_are_found_without_moving_rows(spark):
     assert found == {second.date(), third.date(), None}
     plan = days._jdf.queryExecution().executedPlan().toString()
     assert "hashpartitioning(trade_date" in plan and "trade_id" not in plan.split("Union")[0]
+
+
+def test_routes_merge_the_trades_once(spark, lines, monkeypatch):
+    plans, plain = {}, queries._written
+    monkeypatch.setattr(queries, "_written", lambda s, rows, name: plans.setdefault(name, plan_of(rows)) and plain(s, rows, name))
+    assert queries.quality_routes(spark, lines).count() == 6
+    assert {name: "Aggregate [trade_id" in plan for name, plan in plans.items()} == {"trades": True, "sound": False}
