@@ -147,3 +147,19 @@ def test_positions_resumed_from_carries_equal_the_full_window(load):
         )
         expected = whole.drop("month").where(F.col("trade_date") >= since)
         assert sorted(map(str, resumed.collect())) == sorted(map(str, expected.collect()))
+
+
+def test_instruments_marked_together_make_the_same_book(load):
+    lines = [
+        row(f"T{i}-{day}", instrument_id=i, quantity=i, price=f"{i}.{day}1", executed_at=f"2024-05-0{day}")
+        for i in range(1, 31)
+        for day in ((1, 4) if i % 2 else (2, 4, 5))
+    ]
+    positions = positions_of(load, *lines)
+    together = pnl.marked_daily(positions, together=True)
+    # Two ways to stand from day to day, not thirty.
+    assert together.count() == 3 + 2 + 1 + 1
+    book = pnl.daily_book(pnl.marked_daily(positions))
+    assert book.count() == 5
+    assert sorted(map(str, pnl.daily_book(together).collect())) == sorted(map(str, book.collect()))
+    assert pnl.marked_daily(positions.limit(0), together=True).collect() == []
