@@ -69,3 +69,14 @@ def test_routes_merge_the_trades_once(spark, lines, monkeypatch):
     monkeypatch.setattr(queries, "_written", lambda s, rows, name: plans.setdefault(name, plan_of(rows)) and plain(s, rows, name))
     assert queries.quality_routes(spark, lines).count() == 6
     assert {name: "Aggregate [trade_id" in plan for name, plan in plans.items()} == {"trades": True, "sound": False}
+
+
+def test_a_refresh_stores_only_what_daily_figures_need(spark, lines, monkeypatch):
+    stored, plain = {}, queries._written
+    monkeypatch.setattr(queries, "_written", lambda s, rows, name: stored.setdefault(name, rows.columns) and plain(s, rows, name))
+    given, replaced = [], queries.pnl.replace_days
+    monkeypatch.setattr(queries.pnl, "replace_days", lambda a, b, days: given.append(plan_of(days)) or replaced(a, b, days))
+    assert queries.daily_refresh(spark, lines).count() > 0
+    needed = ["trade_id", "instrument_id", "side", "quantity", "price", "executed_at"]
+    assert stored == {"first": needed, "second": needed, "loaded": needed, "days": ["trade_date"]}
+    assert "Join" not in given[0]  # the touched days are found once
