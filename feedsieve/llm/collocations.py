@@ -8,10 +8,9 @@ walked from every position of a block of text at once; the accepting states are
    languages, by a trie over their bytes, and texts become numbers: 0 stands for any rarer
    word and for the end of a piece, since no phrase passes either.
 2. A window of k + 1 words can only be frequent if both windows of k words in it are. Windows for which
-   this holds are hashed into buckets of 48 bits, which are counted by a grouping with map-side combining; one
-   that stays below ``support`` holds no frequent window. Each bucket also keeps one task that wrote a text with a window of
-   it: only the texts of that task name it as a candidate. A bucket in which a second hash (31 bits) differs holds several
-   windows, and all texts name theirs.
+   this holds are hashed into buckets of 64 bits and by a second hash of 32, and counted by a grouping with map-side
+   combining; what stays below ``support`` is no frequent window. Each also keeps one task that wrote a text with it: only
+   the texts of that task name it as a candidate. Of a bucket that holds several frequent windows all texts name theirs.
 3. Numbers at which no candidate begins or passes are dropped from the text, so every level reads less.
 
 Counts are whole and exact at every level; buckets only spare candidates. A trie holds ``MOST_KEYS`` keys
@@ -183,7 +182,7 @@ def _bucket(ids: np.ndarray, at: np.ndarray, width: int, seed: int = 0) -> np.nd
         mixed = (mixed + ids[at + k].astype(np.uint64)) * np.uint64(0x9E3779B97F4A7C15)
         mixed ^= mixed >> np.uint64(29)
     mixed *= np.uint64(0xD6E8FEB86659FD93)
-    return ((mixed ^ (mixed >> np.uint64(32))) >> np.uint64(16)).view(np.int64)
+    return (mixed ^ (mixed >> np.uint64(32))).view(np.int64)
 
 
 DIGITS = (24, 16, 8, 0)  # a word number as symbols
@@ -331,50 +330,45 @@ def _from_rows(batch: pa.RecordBatch) -> Iterator[tuple[bytes, np.ndarray, list[
 
 
 def _hot_buckets(texts: DataFrame, width: int, support: int) -> DataFrame:
-    """bucket, owner: those whose windows together reach the support, and the task whose texts name them; -1 for all.
+    """bucket, owner: those with a window that reaches the support, and the task whose texts name it; -1 for all.
 
-    A row of counts is sent for nearly every window of the corpus, so second hash and task share one number.
+    A row of counts is sent for nearly every window of the corpus: it holds both hashes, the count and the task, no more.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, n = [], 0
 
         def flush() -> pa.RecordBatch:
-            none = [np.zeros(0, np.int64)] * 2
-            buckets, marks = (np.concatenate(c) for c in zip(none, *held, strict=True))
+            none = [np.zeros(0, np.int64)] * 3
+            buckets, second, owners = (np.concatenate(c) for c in zip(none, *held, strict=True))
             held.clear()
-            order = np.lexsort((marks, buckets))
-            buckets, marks = buckets[order], marks[order]
-            first = np.flatnonzero(np.append(True, buckets[1:] != buckets[:-1])[: len(buckets)])
-            after = np.append(first[1:], len(buckets))[: len(first)]
-            counts = (after - first).astype(np.int64)
+            order = np.lexsort((owners, second, buckets))
+            buckets, second, owners = buckets[order], second[order], owners[order]
+            new = np.append(True, (buckets[1:] != buckets[:-1]) | (second[1:] != second[:-1]))[: len(buckets)]
+            first = np.flatnonzero(new)
+            counts = np.diff(np.append(first, len(buckets)))
             return pa.RecordBatch.from_arrays(
-                [pa.array(c) for c in (buckets[first], marks[first], marks[after - 1], counts)],
-                names=["bucket", "low", "high", "n"],
+                [pa.array(c) for c in (buckets[first], second[first], owners[first], counts.astype(np.int64))],
+                names=["bucket", "second", "owner", "n"],
             )
 
         for batch in batches:
             for blob, number in zip(*batch.columns, strict=True):
                 raw = np.frombuffer(blob.as_buffer(), np.int32)
                 ids, at = raw & NUMBER, starts(raw < 0, width)
-                second = _bucket(ids, at, width, 1) & 0x7FFFFFFF
-                held.append((_bucket(ids, at, width), second << 32 | number.as_py() >> 32))
+                second = _bucket(ids, at, width, 1) & 0xFFFFFFFF
+                held.append((_bucket(ids, at, width), second, np.full(len(at), number.as_py() >> 32)))
                 n += len(at)
                 if n > HELD_WINDOWS:
                     yield flush()
                     n = 0
         yield flush()
 
-    layout = "bucket long, low long, high long, n long"
+    layout = "bucket long, second long, owner long, n long"
     counted = texts.where("ids IS NOT NULL").select("ids", "number").mapInArrow(run, layout)
-    alike = F.shiftright("low", 32) == F.shiftright("high", 32)
-    owner = F.when(alike, F.col("low").bitwiseAND(F.lit(0xFFFFFFFF))).otherwise(F.lit(-1).cast("long"))
-    return (
-        counted.groupBy("bucket")
-        .agg(F.sum("n").alias("n"), F.min("low").alias("low"), F.max("high").alias("high"))
-        .where(F.col("n") >= support)
-        .select("bucket", owner.alias("owner"))
-    )
+    windows = counted.groupBy("bucket", "second").agg(F.sum("n").alias("n"), F.min("owner").alias("owner"))
+    alone = F.when(F.count(F.lit(1)) == 1, F.min("owner")).otherwise(F.lit(-1).cast("long"))
+    return windows.where(F.col("n") >= support).groupBy("bucket").agg(alone.alias("owner"))
 
 
 def _candidates(texts: DataFrame, hot: pa.Table, width: int) -> DataFrame:

@@ -112,3 +112,19 @@ def test_double_array_holds_its_keys_and_no_others():
         state = trie.state_of(other)
         assert (state >= 0 and trie.value[state] > 0) == (other in set(keys))
     assert double_array([]).state_of(b"a") == -1
+
+
+@pytest.mark.parametrize("apart", [True, False])
+def test_windows_that_share_a_bucket_are_counted_apart(spark, rows, monkeypatch, apart):
+    """A bucket is as hot as its most frequent window, not as all of its windows together."""
+    docs = spark.createDataFrame([("a b x a c x d b", "en")] * 3, "text string, lang string")
+    plain = C._bucket
+    if not apart:
+        monkeypatch.setattr(C, "_bucket", lambda ids, at, width, seed=0: plain(ids, at, width, 1) * seed)
+    found = []
+    hot = C._hot_buckets
+    monkeypatch.setattr(C, "_hot_buckets", lambda *a: found.append(hot(*a)) or found[-1])
+    got = C.collocations(docs, support=3).select(*RESULT).collect()
+    assert sorted(map(tuple, got)) == by_counting([("en", "a b x a c x d b")] * 3, 3)
+    assert found[0].columns == ["bucket", "owner"]
+    assert {r.owner == -1 for r in found[0].collect()} == {not apart}
